@@ -8,48 +8,48 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BLOCK_ROWS = 20_000
 
 
-def _day_blocks(right: DataFrame, key: str, at: str, block_rows: int) -> DataFrame:
-    """(key, day, block, blocks) for keys above ``block_rows``; blocks follow time.
+def day_blocks(rows: DataFrame, key: str, at: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(key, day, block, last_block) for keys with more than ``block_rows`` rows.
 
-    Counts are combined map-side, so the window sees one row per key and calendar day.
+    Blocks follow time and hold about ``block_rows`` rows (more only if one day does). Counts
+    are combined map-side, so the window sees one row per key and calendar day.
     """
-    daily = (right.groupBy(key, F.to_date(at).alias("__day"))
-             .agg(F.count(F.lit(1)).alias("__n")))
-    heavy = (daily.groupBy(key).agg(F.sum("__n").alias("__total"))
-             .where(F.col("__total") > block_rows).select(key))
-    w = Window.partitionBy(key).orderBy("__day")
-    before = F.sum("__n").over(w) - F.col("__n")
+    daily = (rows.groupBy(key, F.to_date(at).alias("day"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    heavy = (daily.groupBy(key).agg(F.sum("n").alias("total"))
+             .where(F.col("total") > block_rows).select(key))
+    before = F.sum("n").over(Window.partitionBy(key).orderBy("day")) - F.col("n")
     numbered = (daily.join(heavy, key, "left_semi")
-                .withColumn("__block", F.floor(before / block_rows).cast("int")))
-    last = F.max("__block").over(Window.partitionBy(key))
-    return numbered.select(key, "__day", "__block", last.alias("__last"))
+                .withColumn("block", F.floor(before / block_rows).cast("int")))
+    last = F.max("block").over(Window.partitionBy(key))
+    return numbered.select(key, "day", "block", last.alias("last_block"))
 
 
 def earlier_join(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str,
-                 residual: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 residual: Column | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Rows of ``right`` with the same ``key`` and a strictly earlier time.
 
-    A heavy key is cut into time blocks and joined block by block: cell (i, j) pairs the left
-    rows of block i with the right rows of block j, and only j <= i can match. No task gets
-    more than one block of either side. Every left time must occur among the right times of
-    its key (true for edges joined with edges). The result is whole: nothing is capped.
-    Non-key column names must differ between the two sides.
+    ``blocks`` (from ``day_blocks`` of the right side) cuts heavy keys into time blocks: cell
+    (i, j) pairs the left rows of block i with the right rows of block j, and only j <= i can
+    match. No task gets more than one block of either side and nothing is capped. Every left
+    day must occur among the right days of its key, which holds for edges joined with edges.
+    Without ``blocks`` no key is heavy and the plain join is used. Non-key column names must
+    differ between the two sides.
     """
-    blocks = _day_blocks(right, key, right_at, block_rows)
-    lkeys = (left.withColumn("__day", F.to_date(left_at))
-             .join(blocks, [key, "__day"], "left")
-             .withColumn("__i", F.coalesce("__block", F.lit(0)))
-             .withColumn("__j", F.explode(F.sequence(F.lit(0), "__i")))
-             .drop("__day", "__block", "__last"))
-    rkeys = (right.withColumn("__day", F.to_date(right_at))
-             .join(blocks, [key, "__day"], "left")
-             .withColumn("__j", F.coalesce("__block", F.lit(0)))
-             .withColumn("__i", F.explode(F.sequence("__j", F.coalesce("__last", F.lit(0)))))
-             .drop("__day", "__block", "__last"))
+    on = [key]
+    if blocks is not None:
+        on = [key, "i", "j"]
+        block, last = F.coalesce("block", F.lit(0)), F.coalesce("last_block", F.lit(0))
+        left = (left.withColumn("day", F.to_date(left_at)).join(blocks, [key, "day"], "left")
+                .withColumns({"i": block, "j": F.explode(F.sequence(F.lit(0), block))})
+                .drop("day", "block", "last_block"))
+        right = (right.withColumn("day", F.to_date(right_at)).join(blocks, [key, "day"], "left")
+                 .withColumns({"j": block, "i": F.explode(F.sequence(block, last))})
+                 .drop("day", "block", "last_block"))
     cond = F.col(left_at) > F.col(right_at)
     if residual is not None:
         cond = cond & residual
-    return lkeys.join(rkeys, [key, "__i", "__j"]).where(cond).drop("__i", "__j")
+    return left.join(right, on).where(cond).drop("i", "j")
 
 
 def salted_lookup(facts: DataFrame, small: DataFrame, on: list[str], spread: Column,

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.schemas import (APPLICATION_FIELDS, APPLY_NODE_FIELDS, EDGES, MISSING,
+from riskgraph.functions.joins import BLOCK_ROWS, day_blocks
+from riskgraph.schemas import (APPLY_NODE_FIELDS, EDGES, MISSING,
                                NODE_PROPERTIES, PERSON_EDGES)
+from riskgraph.sources.staging import stage
 
 
 def clean_applications(raw: DataFrame, order_by: tuple = ("source_file", "source_pos")) -> DataFrame:
@@ -39,6 +43,22 @@ def to_edges(applications: DataFrame, keep: tuple = NODE_PROPERTIES,
             .where(F.col("entity_value").isNotNull()))
 
 
+@dataclass(frozen=True)
+class Graph:
+    applications: DataFrame
+    edges: DataFrame
+    blocks: DataFrame | None = None      # time blocks of heavy entities, None if there are none
+
+
+def load(applications: DataFrame, strict_idcard: bool = True,
+         block_rows: int = BLOCK_ROWS) -> Graph:
+    """Load the graph: stage applications and edges once and look for heavy entities."""
+    nodes = stage(applications, "applications")
+    edges = stage(to_edges(nodes, strict_idcard=strict_idcard), "edges")
+    blocks = stage(day_blocks(edges, "entity_value", "apply_date", block_rows), "blocks")
+    return Graph(nodes, edges, None if blocks.isEmpty() else blocks)
+
+
 def entity_nodes(edges: DataFrame) -> DataFrame:
     """Distinct entity values with a label and the number of distinct orders."""
     per_order = edges.groupBy("entity_value", "order_id").agg(F.min("label").alias("label"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.functions.joins import BLOCK_ROWS, earlier_join, salted_lookup
+from riskgraph.functions.joins import earlier_join, salted_lookup
 from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, EDGES, ENTITY_METRICS,
                                PRODUCT_METRICS)
@@ -20,10 +20,6 @@ ALL_BIT = -1                          # bit number of the all-edge scope
 PAIR_KEYS = ["order_id_src", "cert_no_src", "apply_date_src", "order_id_dst", "apply_date_dst"]
 
 
-def _bit(index):
-    return F.expr("shiftleft(1L, {})".format(index))
-
-
 def _indexed(edges: DataFrame) -> DataFrame:
     return edges.select("order_id", "apply_date", "cert_no", "entity_value",
                         C.edge_index(F.col("edge_type")).alias("edge"))
@@ -45,7 +41,7 @@ def _with_self(links: DataFrame) -> DataFrame:
             .groupBy(*PAIR_KEYS).agg(F.bit_or("mask").alias("mask")))
 
 
-def _degree1_links(edges: DataFrame, sources: DataFrame | None, block_rows: int,
+def _degree1_links(edges: DataFrame, sources: DataFrame | None, blocks: DataFrame | None,
                    keep_far_type: bool) -> DataFrame:
     idx = _indexed(edges)
     src = from_orders(idx, sources).select(
@@ -57,17 +53,18 @@ def _degree1_links(edges: DataFrame, sources: DataFrame | None, block_rows: int,
     if not keep_far_type:
         dst = dst.drop("r1").distinct()
     links = earlier_join(src, dst, "entity_value", "apply_date_src", "apply_date_dst",
-                         block_rows=block_rows)
-    return links.withColumn("mask", _bit(f"e1 * {N_EDGES} + r1" if keep_far_type else "e1"))
+                         blocks=blocks)
+    return links.withColumn(
+        "mask", F.expr(f"shiftleft(1L, {f'e1 * {N_EDGES} + r1' if keep_far_type else 'e1'})"))
 
 
 def degree1_pairs(edges: DataFrame, sources: DataFrame | None = None,
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
-    return _with_self(_degree1_links(edges, sources, block_rows, keep_far_type=False))
+                  blocks: DataFrame | None = None) -> DataFrame:
+    return _with_self(_degree1_links(edges, sources, blocks, keep_far_type=False))
 
 
 def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  blocks: DataFrame | None = None) -> DataFrame:
     """Pairs two hops apart, without enumerating the paths.
 
     1. (source, middle) with an 8 x 8 mask of (outgoing type, type at the middle);
@@ -76,7 +73,7 @@ def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
        reachable exactly if it is earlier than that middle;
     3. far orders of the value, earlier than that date and of another person.
     """
-    middle = (_degree1_links(edges, sources, block_rows, keep_far_type=True)
+    middle = (_degree1_links(edges, sources, blocks, keep_far_type=True)
               .groupBy("order_id_src", "cert_no_src", "apply_date_src",
                        F.col("order_id_dst").alias("order_id"))
               .agg(F.bit_or("mask").alias("hop")))
@@ -96,33 +93,50 @@ def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
     other = ((F.col("order_id_src") != F.col("order_id_dst"))
              & (F.col("cert_no_src") != F.col("cert_no_dst")))
     return _with_self(earlier_join(hops, far, "entity_value", "apply_date_mid",
-                                   "apply_date_dst", residual=other, block_rows=block_rows))
+                                   "apply_date_dst", residual=other, blocks=blocks))
+
+
+def unfold(rows: DataFrame, keys: list, columns: dict, name: str, value: str) -> DataFrame:
+    """One row per key row and entry of ``columns`` (number: long column) that is not zero."""
+    flat = rows.select(*keys, *[c.alias(str(i)) for i, c in columns.items()])
+    long = flat.unpivot(keys, [str(i) for i in columns], name, value)
+    return long.where(F.col(value) != 0).withColumn(name, F.col(name).cast("int"))
+
+
+def _bit(mask: str, i: int):
+    return F.shiftright(mask, i).bitwiseAND(F.lit(1).cast("long"))
+
+
+def _byte(mask: str, i: int):
+    return F.shiftright(mask, N_EDGES * i).bitwiseAND(F.lit(255).cast("long"))
 
 
-def _set_bits(mask: str, shift: str, extra: list) -> list:
-    return extra + [f"if(shiftright({mask}, {i}) & 1 != 0, {shift} + {i}, null)"
-                    for i in range(N_EDGES)]
+def explode_edges(rows: DataFrame, keys: list, degree: int) -> DataFrame:
+    """``keys`` and ``bit``: one row per edge type (or pair) set in ``mask``."""
+    bits = N_EDGES if degree == 1 else N_EDGES * N_EDGES
+    return unfold(rows, keys, {i: _bit("mask", i) for i in range(bits)}, "bit", "set").drop("set")
 
 
-def explode_edges(rows: DataFrame, degree: int, with_all: bool = False) -> DataFrame:
-    """One row per edge type (or pair) set in ``mask``, as column ``bit``.
+def count_edges(counts: DataFrame, keys: list, degree: int) -> DataFrame:
+    """(keys, mask, n) to (keys, bit, n): totals per edge type, and over all as bit -1.
 
-    ``with_all`` adds the all-edge scope as bit -1. A degree-2 mask is opened in two steps, by
-    outgoing type and then by second type, so only bytes that are not empty are looked into.
+    A degree-2 mask is opened in two steps, by outgoing type and then by second type, and equal
+    bytes are added up in between, so few rows reach the last step.
     """
-    extra = [str(ALL_BIT)] if with_all else []
+    every = {ALL_BIT: F.lit(1).cast("long")}
+    total = F.sum("n").alias("n")
     if degree == 1:
-        bits = ", ".join(_set_bits("mask", "0", extra))
-        return rows.withColumn("bit", F.expr(f"explode(array({bits}))")).where("bit is not null")
-    parts = ", ".join(
-        ([f"named_struct('lo', {ALL_BIT}, 'b', 1L)"] if with_all else [])
-        + [f"named_struct('lo', {N_EDGES * i}, 'b', shiftright(mask, {N_EDGES * i}) & 255L)"
-           for i in range(N_EDGES)])
-    bits = ", ".join(_set_bits("part.b", "part.lo", []))
-    return (rows.withColumn("part", F.expr(f"explode(array({parts}))"))
-            .where("part.b != 0")
-            .withColumn("bit", F.expr(f"explode(array({bits}))"))
-            .where("bit is not null").drop("part"))
+        bits = {i: _bit("mask", i) for i in range(N_EDGES)}
+        return unfold(counts, keys + ["n"], {**every, **bits}, "bit", "set").groupBy(
+            *keys, "bit").agg(total)
+    byte = {i: _byte("mask", i) for i in range(N_EDGES)}
+    opened = (unfold(counts, keys + ["n"], {**every, **byte}, "first", "byte")
+              .groupBy(*keys, "first", "byte").agg(total))
+    bits = {i: _bit("byte", i) for i in range(N_EDGES)}
+    number = F.when(F.col("first") == ALL_BIT, ALL_BIT).otherwise(
+        F.col("first") * N_EDGES + F.col("second"))
+    return (unfold(opened, keys + ["n", "first"], bits, "second", "set")
+            .withColumn("bit", number).groupBy(*keys, "bit").agg(total))
 
 
 def edge_columns(bit, degree: int) -> list:
@@ -135,7 +149,7 @@ def edge_columns(bit, degree: int) -> list:
 
 def pairs_by_edge(pairs: DataFrame, degree: int = 1) -> DataFrame:
     """One row per pair and edge type (or pair of edge types)."""
-    return explode_edges(pairs, degree).select("order_id_src", *edge_columns(F.col("bit"), degree), "apply_date_src",
+    return explode_edges(pairs, PAIR_KEYS, degree).select("order_id_src", *edge_columns(F.col("bit"), degree), "apply_date_src",
                        "cert_no_src", "order_id_dst", "apply_date_dst")
 
 

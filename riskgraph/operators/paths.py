@@ -1,10 +1,13 @@
-"""One-hop and two-hop paths between an order and strictly earlier orders."""
+"""One-hop and two-hop paths between an order and strictly earlier orders.
+
+``blocks`` is the table of heavy entities from ``graph.load``; see ``earlier_join``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskgraph.functions.joins import BLOCK_ROWS, earlier_join
+from riskgraph.functions.joins import earlier_join
 from riskgraph.schemas import NODE_PROPERTIES
 
 SRC = ["order_id_src"] + [f"{p}_src" for p in NODE_PROPERTIES]
@@ -32,12 +35,12 @@ def _end(edges: DataFrame, end: str, edge_col: str, value_col: str, *more: str)
 
 
 def degree1(edges: DataFrame, sources: DataFrame | None = None,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+            blocks: DataFrame | None = None) -> DataFrame:
     """Distinct paths order - value - earlier order (21 columns)."""
     src = _end(from_orders(edges, sources), "src", "edg_type_src1", "contact_value1")
     dst = _end(edges, "dst1", "edg_type_dst1", "contact_value1")
     paths = earlier_join(src, dst, "contact_value1", "apply_date_src", "apply_date_dst1",
-                         block_rows=block_rows)
+                         blocks=blocks)
     # Edges are unique per (order, type), so the paths are distinct as they come.
     return paths.select(*DEGREE1_COLUMNS)
 
@@ -65,9 +68,9 @@ def degree1_unordered(edges: DataFrame, sources: DataFrame | None = None,
 
 
 def degree2(edges: DataFrame, sources: DataFrame | None = None,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+            blocks: DataFrame | None = None) -> DataFrame:
     """Distinct paths order - value - earlier order - value - still earlier order (33 columns)."""
-    first = degree1(edges, sources, block_rows)
+    first = degree1(edges, sources, blocks)
     out = edges.select(
         F.col("order_id").alias("order_id_dst1"), F.col("edge_type").alias("edg_type_src2"),
         F.col("entity_value").alias("contact_value2"))
@@ -78,7 +81,7 @@ def degree2(edges: DataFrame, sources: DataFrame | None = None,
     other = ((F.col("order_id_src") != F.col("order_id_dst2"))
              & (F.col("cert_no_src") != F.col("cert_no_dst2")))
     return (earlier_join(middle, far, "contact_value2", "apply_date_dst1", "apply_date_dst2",
-                         residual=other, block_rows=block_rows)
+                         residual=other, blocks=blocks)
             .select(*DEGREE2_COLUMNS))
 
 

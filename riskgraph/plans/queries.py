@@ -13,6 +13,7 @@ from riskgraph.plans import fixtures as fx
 from riskgraph.schemas import (ALL_EDGES, BLACK_GROUP, CONTRACT_GROUP, ENTITY_GROUP,
                                INCLUDE_METRICS, SLICE_GROUP, group_columns)
 from riskgraph.sources import readers
+from riskgraph.sources.staging import stage
 
 TRAIN_TO, VALID_FROM, VALID_TO = "1999-12", "2000-01", "2001-08"
 SAMPLE_GOOD = 1000
@@ -78,30 +79,35 @@ def person_entities(spark, sf):
 
 
 # ------------------------------------------------------------------------------- paths
+def _graph(spark, sf) -> graph.Graph:
+    return graph.load(fx.applications(spark, sf))
+
+
 def degree1_paths(spark, sf):
-    return as_text(paths.degree1(fx.edges(spark, sf)))
+    g = _graph(spark, sf)
+    return as_text(paths.degree1(g.edges, blocks=g.blocks))
 
 
 def degree1_paths_unordered(spark, sf):
-    apps = fx.applications(spark, sf)
-    return paths.degree1_unordered(graph.to_edges(apps), fx.contracts(apps))
+    g = _graph(spark, sf)
+    return paths.degree1_unordered(g.edges, fx.contracts(g.applications))
 
 
 def smoke_export(spark, sf):
-    apps = fx.applications(spark, sf)
-    return paths.degree1_unordered(graph.to_edges(apps), fx.contracts(apps), limit=10)
+    g = _graph(spark, sf)
+    return paths.degree1_unordered(g.edges, fx.contracts(g.applications), limit=10)
 
 
 def degree1_capped(spark, sf):
-    return as_text(paths.degree1_capped(fx.edges(spark, sf), CAP)).select(
+    return as_text(paths.degree1_capped(_graph(spark, sf).edges, CAP)).select(
         "order_id_src", "edg_type_src1", "contact_value1", "edg_type_dst1", "order_id_dst1",
         "apply_date_dst1")
 
 
 def degree1_backfill_range(spark, sf):
-    apps = fx.applications(spark, sf)
-    days = readers.scan_days(fx.order_table(apps), *RANGE)
-    return as_text(paths.degree1(graph.to_edges(apps), days)).select(
+    g = _graph(spark, sf)
+    days = readers.scan_days(fx.order_table(g.applications), *RANGE)
+    return as_text(paths.degree1(g.edges, days, g.blocks)).select(
         "order_id_src", "apply_date_src", "edg_type_src1", "contact_value1", "edg_type_dst1",
         "order_id_dst1", "apply_date_dst1")
 
@@ -114,21 +120,21 @@ def monthly_orders(spark, sf):
 
 
 def degree2_paths(spark, sf):
-    apps = fx.applications(spark, sf)
+    g = _graph(spark, sf)
     cols = ["order_id_src"] + paths.HOP1 + ["order_id_dst1"] + paths.HOP2 + [
         "order_id_dst2", "apply_date_dst2", "cert_no_dst2"]
-    return as_text(paths.degree2(graph.to_edges(apps), fx.contracts(apps)).select(*cols))
+    return as_text(paths.degree2(g.edges, fx.contracts(g.applications), g.blocks).select(*cols))
 
 
 # ---------------------------------------------------------------------------- features
-def _pairs(spark, sf, degree):
-    apps = fx.applications(spark, sf)
+def _pairs(spark, sf, degree, g=None):
+    g = g or _graph(spark, sf)
     make = neighbours.degree1_pairs if degree == 1 else neighbours.degree2_pairs
-    return apps, make(graph.to_edges(apps), fx.contracts(apps))
+    return g.applications, make(g.edges, fx.contracts(g.applications), g.blocks)
 
 
-def feature_frame(spark, sf, degree, metrics=None):
-    apps, pairs = _pairs(spark, sf, degree)
+def feature_frame(spark, sf, degree, metrics=None, g=None):
+    apps, pairs = _pairs(spark, sf, degree, g)
     prepared = neighbours.prepare_attributes(fx.attributes(apps), fx.blacklist(apps))
     return feat.features(pairs, prepared, degree, metrics)
 
@@ -193,15 +199,18 @@ def degree2_sparse(spark, sf):
 
 
 def feature_counts(spark, sf):
+    g = _graph(spark, sf)
+
     def sources(degree):
-        return feature_frame(spark, sf, degree, CONTRACT_GROUP[:1]).where(
+        return feature_frame(spark, sf, degree, CONTRACT_GROUP[:1], g).where(
             F.col("edge1") == ALL_EDGES)
+
     return reshape.feature_counts(sources(2), sources(1))
 
 
 # ----------------------------------------------------------------- labels and training
-def _labels(spark, sf, **kw):
-    apps = fx.applications(spark, sf)
+def _labels(spark, sf, apps=None, **kw):
+    apps = apps or fx.applications(spark, sf)
     return labels.label_orders(fx.performance(apps), fx.order_table(apps), fx.fraud(apps),
                                from_year=LABEL_YEAR, **kw)
 
@@ -215,12 +224,13 @@ def label_v2(spark, sf):
 
 
 def _training(spark, sf):
-    one = reshape.to_wide(feat.to_long(feature_frame(spark, sf, 1), 1),
+    g = _graph(spark, sf)
+    one = reshape.to_wide(feat.to_long(feature_frame(spark, sf, 1, g=g), 1),
                           reshape.degree1_wide_titles())
-    two = feature_frame(spark, sf, 2, CONTRACT_GROUP + ENTITY_GROUP).where(
+    two = feature_frame(spark, sf, 2, CONTRACT_GROUP + ENTITY_GROUP, g).where(
         F.col("edge1") == ALL_EDGES).drop("edge1", "edge2")
-    apps = fx.applications(spark, sf)
-    contract_labels = _labels(spark, sf).join(fx.contracts(apps), "order_id", "left_semi")
+    contract_labels = _labels(spark, sf, g.applications).join(
+        fx.contracts(g.applications), "order_id", "left_semi")
     return labels.training_table(contract_labels, one, two)
 
 
@@ -253,8 +263,8 @@ def random_split(spark, sf):
 
 
 def gbt_scores(spark, sf):
-    data = sampling.out_of_time(_training(spark, sf).where(F.col("label") != 2),
-                                TRAIN_TO, VALID_FROM, VALID_TO)
+    table = stage(_training(spark, sf).where(F.col("label") != 2), "training")
+    data = sampling.out_of_time(table, TRAIN_TO, VALID_FROM, VALID_TO)
     skip = model.ID_COLUMNS + ("part",)
     fitted = model.train(data.where(F.col("part") == "train"), seed=SEED, skip=skip)
     return as_text(model.score(fitted, data.where(F.col("part") == "valid"), skip))
