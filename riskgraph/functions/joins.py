@@ -39,6 +39,7 @@ def earlier_join(left: DataFrame, right: DataFrame, key: str, left_at: str, righ
     on = [key]
     if blocks is not None:
         on = [key, "i", "j"]
+        blocks = blocks.toDF(key, "day", "block", "last_block")
         block, last = F.coalesce("block", F.lit(0)), F.coalesce("last_block", F.lit(0))
         left = (left.withColumn("day", F.to_date(left_at)).join(blocks, [key, "day"], "left")
                 .withColumns({"i": block, "j": F.explode(F.sequence(F.lit(0), block))})
