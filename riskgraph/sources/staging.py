@@ -1,34 +1,60 @@
 """Intermediate tables in the cluster's shared folder.
 
 A staged table cuts the lineage and survives lost executors. Its folder is the one the session
-names in ``spark.checkpoint.dir``.
+names in ``spark.checkpoint.dir``; where that is unset, a folder inside the warehouse is used,
+which Spark's contract already makes a shared place.
 """
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTING = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder; a local session without the setting gets a folder of its own."""
+    """The shared folder for staged tables."""
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="riskgraph-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+        spark.conf.set(SETTING, folder)
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{staging_folder(spark)}/{name}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new staged table and return the table."""
     spark = df.sparkSession
-    path = f"{staging_folder(spark)}/{name}-{uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a path that this module made, through the file system that holds it."""
+    root = staging_folder(spark)
+    if root.split(":", 1)[-1].strip("/") not in path:
+        raise ValueError(f"{path} is not below {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            drop_path(table.sparkSession, folder)
+
+
+def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast if the staged table ``df`` has at most ``rows`` narrow rows.
+
+    The count reads only the footers of a staged table. Above the bound the table is joined by
+    shuffling, with the same result.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
