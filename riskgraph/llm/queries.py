@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import packing, token_files
+from riskgraph.llm import packing, secret_scan, token_files
 from riskgraph.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,22 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs)
+    kinds = [k for k, *_ in secret_scan.BASE_KINDS]
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["rank"] < len(kinds))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in kinds]
+    return found.select("doc_id", *counts,
+                        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+                        secret_scan.span_text(spans).alias("spans"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -39,6 +55,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
+    "op4_secret_scan": op4_secret_scan,
     "op9_token_files": op9_token_files,
 }
 
