@@ -20,6 +20,6 @@ def write_files(rows: DataFrame, path: str, end: bytes, by: tuple[str, ...] = ()
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content, and the columns of partition folders) of the files below ``path``."""
-    return (spark.read.format("binaryFile").load(path).where("length > 0")
+    """(path, content) of all files below ``path``."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
             .drop("modificationTime", "length"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import packing, secret_scan, token_files
+from riskgraph.llm import packing, secret_scan, token_files, warc
 from riskgraph.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(spans).alias("spans"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.round_trip(table(spark, sf_dir, "pages"), new_path(spark, "warc"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -56,6 +61,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
+    "op6_warc": op6_warc,
     "op9_token_files": op9_token_files,
 }
 
