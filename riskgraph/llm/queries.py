@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import packing, secret_scan, token_files, warc
+from riskgraph.llm import (
+    decontaminate, packing, secret_scan, token_files, toxicity, warc,
+)
 from riskgraph.sources.staging import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", (~toxicity.may_learn()).alias("held_out"), "score", "predicted")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     """Rows of the packing query; the ids themselves stay behind."""
     cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -59,6 +73,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op6_warc": op6_warc,
