@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import (
-    decontaminate, packing, secret_scan, token_files, toxicity, warc,
+    decontaminate, license_scan, packing, secret_scan, token_files, toxicity, warc,
 )
 from riskgraph.sources.staging import new_path
 
@@ -72,6 +72,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"),
+                                      license_scan.templates(spark))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op6_warc": op6_warc,
     "op9_token_files": op9_token_files,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {}

@@ -232,7 +232,7 @@ class _Rows:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame,
                  groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, fairness: float = 3.0,
-                 ridge: float = 2e-4, rows: int = FIT_ROWS, features: int = FEATURES,
+                 ridge: float = 1e-5, rows: int = FIT_ROWS, features: int = FEATURES,
                  ) -> ToxicityModel:
     """Model from the learnable rows of ``labels`` (doc_id, toxic) and their texts.
 
