@@ -13,7 +13,7 @@ from riskgraph.sources.staging import stage
 
 SEQUENCE_TOKENS = 2048
 # Rows of one length that one ranking task takes on average.
-RANK_ROWS = 50_000
+RANK_ROWS = 5_000
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 1,

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskgraph.llm.files import read_files, write_files
-from riskgraph.llm.token_ids import chunk_ids
+from riskgraph.llm.token_ids import token_coder
 from riskgraph.sources.staging import stage
 
 BLOCK_IDS = 1 << 16
@@ -124,7 +124,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = chunk_ids(vocabulary)
+        coder = token_coder(vocabulary)
         doc_ids, documents, size = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -159,8 +159,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     name = F.regexp_extract
     files = read_files(spark, path).select(
-        name("path", r"part-(\d+)", 1).cast("long").alias("part"),
-        name("path", r"-c(\d+)", 1).cast("long").alias("chunk"), "content")
+        name("path", r"/part-(\d+)-[^/]*$", 1).cast("long").alias("part"),
+        name("path", r"-c(\d+)\.[a-z]+$", 1).cast("long").alias("chunk"), "content")
     return files.mapInPandas(
         decode, "part long, chunk long, doc_id long, at long, n_tokens long, ids binary")
 

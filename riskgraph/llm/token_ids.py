@@ -8,11 +8,12 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-# Distinct text chunks whose ids a worker remembers before it starts afresh.
-CACHE_CHUNKS = 600_000
+# Distinct pieces whose ids a worker remembers in each of two generations.
+CACHE_PIECES = 600_000
 # Python's white space has these four characters more than the tokenizers' own.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
-SIMPLE = re.compile(r"( ?[^\W\d_]+)([.,;:!?]*)")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
+# Letters of the Latin blocks that stay one letter in lower case, and marks after them.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -21,60 +22,102 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - printing))}
 
 
-class ChunkIds(dict):
-    """Ids of text chunks, remembered by chunk.
+class _Pieces(dict):
+    """Ids of pieces of text, each with ``lead`` before it, remembered while met lately.
 
-    A chunk is a run of other characters, with the white space before it where the vocabulary
-    keeps white space. Every token of both kinds of vocabulary lies inside one chunk, so the ids
-    of a text are those of its chunks in a row. One word of common letters, with or without
-    punctuation after it, goes to the model as it is; any other chunk takes the whole tokenizer.
+    A word of common letters goes to the model as it is, marks after it on their own; any other
+    piece takes the whole tokenizer.
+    """
+
+    def __init__(self, coder: TokenCoder, lead: str) -> None:
+        super().__init__()
+        self.coder, self.lead = coder, lead
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if (ids := self.older.get(piece)) is not None:
+            pass
+        elif found := SIMPLE.fullmatch(piece):
+            word, marks = found.groups()
+            ids = (self[word] + self.coder.bare[marks] if marks else
+                   self.coder.word(self.lead + word))
+        else:
+            ids = self.coder.odd_piece(self, piece)
+        if len(piece) < 64:
+            self[piece] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
+class NotSplittable(Exception):
+    """White space in a row, whose tokens depend on more than the piece."""
+
+
+class TokenCoder:
+    """Ids of whole texts, put together from the ids of pieces.
+
+    Every token of the two kinds of vocabulary ends before white space that follows another
+    character. Vocabularies that drop white space are fed the runs between it. Byte-level ones
+    are fed the pieces between single spaces, each with its space; a text with more white space
+    in a row goes to the tokenizer as a whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.lower = self.tokenizer.normalizer is not None
+        self.drops_space = self.tokenizer.normalizer is not None
         self.letters = _byte_letters()
-        self.chunks = re.compile(r"\S+" if self.lower else r"\s*\S+|\s+")
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.bare = _Pieces(self, "")
+        self.spaced = _Pieces(self, " ")
+        self.line_feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        packed = self.packed
+        return b"".join([packed[i] for i in
+                         self.tokenizer.encode(text, add_special_tokens=False).ids])
 
-    def word(self, word: str) -> bytes | None:
-        """Ids of one plain word, None if it is not plain."""
-        if self.lower:
+    def word(self, word: str) -> bytes:
+        """Ids of one plain word, with a space before it or not."""
+        if self.drops_space:
             word = word.lower()
-            if not word.isalpha():
-                return None
-        word = word.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
-
-    def __missing__(self, chunk: str) -> bytes:
-        found, ids = SIMPLE.fullmatch(chunk), None
-        if found and max(chunk) < "ɐ":
-            word, marks = found.groups()
-            ids = self[word] + self[marks] if marks else self.word(word)
-        if ids is None:
-            ids = self.whole(chunk)
-        if len(chunk) < 64:
-            self[chunk] = ids
-        return ids
+        if not word.isascii() or word[0] == " ":
+            word = word.encode().decode("latin-1").translate(self.letters)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(word)])
+
+    def odd_piece(self, pieces: _Pieces, piece: str) -> bytes:
+        if not self.drops_space:
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                raise NotSplittable
+            left, feed, right = piece.partition("\n")
+            if feed and not left[-1].isspace() and not right[0].isspace():
+                return pieces[left] + self.line_feed + self.bare[right]
+        return self.whole(pieces.lead + piece)
 
     def encode(self, text: str) -> bytes:
-        if len(self) > CACHE_CHUNKS:
-            self.clear()
-        if ODD_SPACE.search(text):
+        if not text or any(c in text for c in ODD_SPACE):
+            return self.whole(text)
+        self.bare.age()
+        self.spaced.age()
+        if self.drops_space:
+            return b"".join(map(self.bare.__getitem__, text.split()))
+        first, *rest = text.split(" ")
+        try:
+            return b"".join([self.bare[first], *map(self.spaced.__getitem__, rest)])
+        except NotSplittable:
             return self.whole(text)
-        return b"".join(map(self.__getitem__, self.chunks.findall(text)))
 
 
 @lru_cache(maxsize=4)
-def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def token_coder(path: str) -> TokenCoder:
+    return TokenCoder(path)
 
 
 def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
@@ -87,7 +130,7 @@ def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
 
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
-        coder = chunk_ids(vocabulary)
+        coder = token_coder(vocabulary)
         return pd.Series([coder.encode(t or "") + end for t in texts], dtype=object)
 
     return ids(F.col(text) if isinstance(text, str) else text)

@@ -22,13 +22,13 @@ def ids_of(path, text, end):
     return t.encode(text or "", add_special_tokens=False).ids + [end]
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.text(alphabet=st.one_of(
-    st.sampled_from(" \n\t\x1c\x85\xa0'.,!sStTdD09éÉßİΣςñ<|>"), st.characters(codec="utf-8")),
+    st.sampled_from("     \n\n\t\x1c\x85\xa0'.,!sStTdD09éÉßİΣςñ<|>"), st.characters(codec="utf-8")),
     max_size=40))
-def test_chunks_give_the_ids_of_the_whole_text(text):
+def test_pieces_give_the_ids_of_the_whole_text(text):
     for path in (WORDS, BYTES):
-        coder = token_ids.chunk_ids(path)
+        coder = token_ids.token_coder(path)
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids_of(path, text, 0)[:-1]
 
 
