@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import (
-    decontaminate, license_scan, packing, secret_scan, token_files, toxicity, warc,
+    decontaminate, embedding_dedup, license_scan, packing, secret_scan, token_files, toxicity, warc,
 )
 from riskgraph.sources.staging import new_path
 
@@ -64,6 +64,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
     "op6_warc": op6_warc,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
 }
