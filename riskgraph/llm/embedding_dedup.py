@@ -86,16 +86,17 @@ def _ranked(keyed: DataFrame) -> DataFrame:
             .select("pass", "label", "size", "id", "rank"))
 
 
-def _window_links(ranked: DataFrame, vectors: DataFrame, cosine: float, window: int) -> DataFrame:
+def _window_links(ranked: DataFrame, vectors: DataFrame, cosine: float, window: int,
+                  rows: int) -> DataFrame:
     """(a, b): links between vectors at most ``window`` ranks apart, joined up within a block."""
-    block = F.floor(F.col("rank") / BLOCK)
-    halo = (F.col("rank") % BLOCK < window) & (block > 0)
+    block = F.floor(F.col("rank") / rows)
+    halo = (F.col("rank") % rows < window) & (block > 0)
     placed = ranked.withColumn("block", F.explode(F.when(halo, F.array(block, block - 1))
                                                   .otherwise(F.array(block))))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["id"].to_numpy()
-        home = (group["rank"] // BLOCK == group["block"]).to_numpy()
+        home = (group["rank"] // rows == group["block"]).to_numpy()
         kind = group[["pass", "label", "size"]].to_numpy(np.int64)
         lists = group["embedding"]
         left, right = [], []
@@ -153,7 +154,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, window: int = NEIGH
     passes = passes_for(most, cosine, window, recall)
     keys = classes.select("id", "label", F.size("embedding").alias("size"),
                           F.posexplode(_sort_keys(passes)("embedding")).alias("pass", "key"))
-    links = stage(_window_links(_ranked(keys), classes, cosine, window), "window-links")
+    links = stage(_window_links(_ranked(keys), classes, cosine, window, BLOCK), "window-links")
     groups = components(links)
     members = classes.join(groups, "id").select("id", "component", "copies", "embedding")
     exact = exact_links(members, _cosine_links(cosine), ["embedding"])

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import (
-    decontaminate, embedding_dedup, license_scan, packing, secret_scan, token_files, toxicity, warc,
+    decontaminate, embedding_dedup, license_scan, ngram_join, packing, secret_scan, suffix_dedup,
+    token_files, toxicity, warc,
 )
 from riskgraph.sources.staging import new_path
 
@@ -59,6 +60,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(spans).alias("spans"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.round_trip(table(spark, sf_dir, "pages"), new_path(spark, "warc"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -68,6 +73,12 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
@@ -86,8 +97,10 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
     "op4_secret_scan": op4_secret_scan,
+    "op5_ngram_join": op5_ngram_join,
     "op6_warc": op6_warc,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
 }

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskgraph.llm.files import read_files, write_files
@@ -23,7 +24,7 @@ from riskgraph.llm.token_ids import token_coder
 from riskgraph.sources.staging import stage
 
 BLOCK_IDS = 1 << 16
-FILE_IDS = 1 << 22
+FILE_IDS = 1 << 21
 MAGIC = b"FIXBITS1"
 TAIL = struct.Struct("<QQQB8s")
 END = b"\n"
@@ -113,34 +114,41 @@ class TokenFile:
             yield ids[a:b]
 
 
-def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -> None:
+def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0,
+                      file_ids: int | None = None) -> None:
     """Encode every whole text, append ``end_id`` and write token files in order of doc_id.
 
     Null text is empty; rows with a null doc_id are refused, as the format has no place for them.
-    Texts are shuffled once, by ranges of doc_id; a task holds one file of ``FILE_IDS`` ids.
+    Texts are shuffled once, by ranges of doc_id; a task holds one file of
+    ``file_ids`` ids (``FILE_IDS`` by default).
     """
     from tokenizers import Tokenizer
     bits = bits_for(max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1))
     end = end_id.to_bytes(4, "little")
+    file_ids = file_ids or FILE_IDS
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = token_coder(vocabulary)
         doc_ids, documents, size = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                doc_ids.append(int(doc_id))
-                documents.append(coder.encode(text or "") + end)
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), coder.encode(batch["text"])):
+                doc_ids.append(doc_id)
+                documents.append(ids + end)
                 size += len(documents[-1]) // 4
-                if size >= FILE_IDS:
-                    yield pd.DataFrame({"content": [file_bytes(doc_ids, documents, bits)]})
+                if size >= file_ids:
+                    yield one_file(doc_ids, documents)
                     doc_ids, documents, size = [], [], 0
         if doc_ids:
-            yield pd.DataFrame({"content": [file_bytes(doc_ids, documents, bits)]})
+            yield one_file(doc_ids, documents)
+
+    def one_file(doc_ids: list[int], documents: list[bytes]) -> pa.RecordBatch:
+        content = pa.array([file_bytes(doc_ids, documents, bits)], pa.binary())
+        return pa.RecordBatch.from_arrays([content], ["content"])
 
     ordered = (docs.select(F.expr("coalesce(doc_id, raise_error('null doc_id'))").cast("long")
                            .alias("doc_id"), "text")
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    write_files(ordered.mapInPandas(encode, "content binary"), path, END)
+    write_files(ordered.mapInArrow(encode, "content binary"), path, END)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

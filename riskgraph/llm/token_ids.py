@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # Distinct pieces whose ids a worker remembers in each of two generations.
-CACHE_PIECES = 600_000
-# Python's white space has these four characters more than the tokenizers' own.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
+CACHE_PIECES = 500_000
+# Characters of text that are split into pieces at a time, apart from a longer single text.
+PART_CHARS = 8 << 20
 # Letters of the Latin blocks that stay one letter in lower case, and marks after them.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
@@ -26,15 +29,15 @@ class _Pieces(dict):
     """Ids of pieces of text, each with ``lead`` before it, remembered while met lately.
 
     A word of common letters goes to the model as it is, marks after it on their own; any other
-    piece takes the whole tokenizer.
+    piece takes the whole tokenizer. None stands for a piece whose tokens depend on its neighbours.
     """
 
     def __init__(self, coder: TokenCoder, lead: str) -> None:
         super().__init__()
         self.coder, self.lead = coder, lead
-        self.older: dict[str, bytes] = {}
+        self.older: dict[str, bytes | None] = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> bytes | None:
         if (ids := self.older.get(piece)) is not None:
             pass
         elif found := SIMPLE.fullmatch(piece):
@@ -53,17 +56,12 @@ class _Pieces(dict):
             self.clear()
 
 
-class NotSplittable(Exception):
-    """White space in a row, whose tokens depend on more than the piece."""
-
-
 class TokenCoder:
-    """Ids of whole texts, put together from the ids of pieces.
+    """Ids of whole texts, put together from the ids of the pieces between single spaces.
 
-    Every token of the two kinds of vocabulary ends before white space that follows another
-    character. Vocabularies that drop white space are fed the runs between it. Byte-level ones
-    are fed the pieces between single spaces, each with its space; a text with more white space
-    in a row goes to the tokenizer as a whole.
+    Vocabularies that drop white space have no token across it. Byte-level ones begin a token at
+    a space between two other characters, so each piece is taken with the space before it; a
+    text with more white space around a space goes to the tokenizer as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -75,7 +73,7 @@ class TokenCoder:
         self.letters = _byte_letters()
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.bare = _Pieces(self, "")
-        self.spaced = _Pieces(self, " ")
+        self.spaced = self.bare if self.drops_space else _Pieces(self, " ")
         self.line_feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
@@ -92,27 +90,60 @@ class TokenCoder:
         packed = self.packed
         return b"".join([packed[t.id] for t in self.model.tokenize(word)])
 
-    def odd_piece(self, pieces: _Pieces, piece: str) -> bytes:
+    def odd_piece(self, pieces: _Pieces, piece: str) -> bytes | None:
         if not self.drops_space:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                raise NotSplittable
+            if not piece:
+                return None if pieces.lead else b""
+            if piece[0].isspace() or piece[-1].isspace():
+                return None
             left, feed, right = piece.partition("\n")
             if feed and not left[-1].isspace() and not right[0].isspace():
-                return pieces[left] + self.line_feed + self.bare[right]
+                before, after = pieces[left], self.bare[right]
+                return None if before is None or after is None else (
+                    before + self.line_feed + after)
         return self.whole(pieces.lead + piece)
 
-    def encode(self, text: str) -> bytes:
-        if not text or any(c in text for c in ODD_SPACE):
-            return self.whole(text)
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of an Arrow array of strings; null is empty.
+
+        Each distinct piece of a part is looked up once, the rest is done on whole columns.
+        """
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + PART_CHARS, "right")))
+            yield from self._encode_part(texts.slice(at, stop - at))
+            at = stop
+
+    def _encode_part(self, texts: pa.Array) -> Iterator[bytes]:
         self.bare.age()
-        self.spaced.age()
-        if self.drops_space:
-            return b"".join(map(self.bare.__getitem__, text.split()))
-        first, *rest = text.split(" ")
-        try:
-            return b"".join([self.bare[first], *map(self.spaced.__getitem__, rest)])
-        except NotSplittable:
-            return self.whole(text)
+        if self.spaced is not self.bare:
+            self.spaced.age()
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        place = coded.indices.to_numpy()
+        ids = list(map(self.spaced.__getitem__, pieces))
+        if self.spaced is not self.bare:  # the first piece of a text has no space before it
+            firsts = place[bounds[:-1]]
+            place = place.copy()
+            place[bounds[:-1]] = len(ids) + np.arange(len(firsts))
+            ids += [self.bare[pieces[k]] for k in firsts]
+        odd = np.fromiter((x is None for x in ids), bool, len(ids))
+        whole = set()
+        if odd.any():
+            whole = set((np.searchsorted(bounds, np.flatnonzero(odd[place]), "right") - 1)
+                        .tolist())
+        taken = pa.array([x or b"" for x in ids], pa.large_binary()).take(pa.array(place))
+        data = taken.buffers()[2]
+        data = memoryview(data if data is not None else b"")
+        offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:]
+        cuts = offsets[bounds].tolist()
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            yield self.whole(texts[k].as_py()) if k in whole else bytes(data[a:b])
 
 
 @lru_cache(maxsize=4)
@@ -128,9 +159,8 @@ def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
     """
     end = end_id.to_bytes(4, "little")
 
-    @F.pandas_udf("binary")
-    def ids(texts: pd.Series) -> pd.Series:
-        coder = token_coder(vocabulary)
-        return pd.Series([coder.encode(t or "") + end for t in texts], dtype=object)
+    @F.arrow_udf("binary")
+    def ids(texts: pa.Array) -> pa.Array:
+        return pa.array([x + end for x in token_coder(vocabulary).encode(texts)], pa.binary())
 
     return ids(F.col(text) if isinstance(text, str) else text)

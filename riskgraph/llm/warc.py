@@ -80,11 +80,13 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 
 def write_monolithic(records: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
-                     archive_bytes: int = ARCHIVE_BYTES, level: int = 1) -> None:
+                     archive_bytes: int | None = None, level: int = 1) -> None:
     """Write records (page_id, url, html, digest, refers_to) as whole-file gzip streams.
 
     A null html is an empty payload. A task holds one compressed archive and one record.
     """
+    archive_bytes = archive_bytes or ARCHIVE_BYTES
+
     def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size, gzip = [], 0, None
         for batch in batches:
@@ -162,7 +164,7 @@ def split_records(parts: Iterable[bytes]) -> Iterator[tuple[dict[str, str], byte
 
 
 def normalise(spark: SparkSession, source: str, target: str,
-              archive_bytes: int = ARCHIVE_BYTES, level: int = 6) -> None:
+              archive_bytes: int | None = None, level: int = 6) -> None:
     """Rewrite the archives below ``source`` with one gzip member per record, below ``target``.
 
     Each stream is inflated once, in parts. Archives and sidecars are written by the same tasks
@@ -170,6 +172,8 @@ def normalise(spark: SparkSession, source: str, target: str,
     is read as one value, which Spark bounds at 2 GB compressed; a new archive is begun after
     ``archive_bytes``, however long the source is.
     """
+    archive_bytes = archive_bytes or ARCHIVE_BYTES
+
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:

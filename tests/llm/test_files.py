@@ -1,8 +1,10 @@
+import functools
 import gzip
 import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -16,20 +18,26 @@ TEXTS = ["", None, " ", "That it.", "one  two\n\n three\t four ", "Ünï çode 
          "<|endoftext|> as text", "a\x1cb \x85 c", "word " * 3000, "That it."]
 
 
-def ids_of(path, text, end):
+@functools.cache
+def tokenizer(path):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids + [end]
+    return t
+
 
+def ids_of(path, text, end):
+    return tokenizer(path).encode(text or "", add_special_tokens=False).ids + [end]
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet=st.one_of(
-    st.sampled_from("     \n\n\t\x1c\x85\xa0'.,!sStTdD09éÉßİΣςñ<|>"), st.characters(codec="utf-8")),
-    max_size=40))
-def test_pieces_give_the_ids_of_the_whole_text(text):
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(
+    st.sampled_from("     \n\n\t\x1c\x85\xa0'.,!sStTdD09éÉßİΣςñ<|>"),
+    st.characters(codec="utf-8")), max_size=30), max_size=6))
+def test_pieces_give_the_ids_of_the_whole_text(texts):
     for path in (WORDS, BYTES):
-        coder = token_ids.token_coder(path)
-        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids_of(path, text, 0)[:-1]
+        got = list(token_ids.token_coder(path).encode(pa.array([*texts, None], pa.string())))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+            ids_of(path, t, 0)[:-1] for t in [*texts, None]]
 
 
 @given(st.lists(st.integers(0, 2 ** 17 - 1), max_size=70), st.integers(17, 23))
