@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskgraph.llm.shingles import token_hashes
-from riskgraph.sources.staging import stage
+from riskgraph.sources.staging import broadcast_below, stage
 
 #: Fixed masks of 11 positions, 7 of them looked at (1); any one or two neighbouring positions
 #: are ignored by some mask at some place.
@@ -23,6 +23,8 @@ AGREE = 0.8
 LEAST_TOKENS = 13
 #: Benchmark seeds that are broadcast (a seed is three numbers); more are joined by shuffling.
 BROADCAST_SEEDS = 1_000_000
+#: Ids of leaked documents that are broadcast; more are joined by shuffling.
+BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -147,5 +149,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]
                   rule: Rule = Rule()) -> DataFrame:
     """``docs`` without the documents that overlap a benchmark item; rows with a null doc_id,
     which no overlap can name, stay."""
-    leaked = leaks(docs, benchmark, masks, rule).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti")
+    leaked = stage(leaks(docs, benchmark, masks, rule).select("doc_id").distinct(), "leaked")
+    return docs.join(broadcast_below(leaked, BROADCAST_IDS), "doc_id", "left_anti")

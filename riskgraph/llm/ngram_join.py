@@ -276,7 +276,11 @@ def one_of_each(docs: DataFrame, threshold: float = JACCARD, recall: float = REC
 
     Rows that repeat doc_id and text are kept once; rows with a null doc_id stay.
     """
-    kept = similar_documents(docs, threshold, recall).where("kept and doc_id is not null")
-    first = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(
-        ["doc_id", "text"])
-    return first.unionAll(docs.where("doc_id is null").select(*first.columns))
+    rows = similar_documents(docs, threshold, recall)
+    later = stage(rows.where("not kept").select("doc_id").distinct(), "later-copies")
+    twice = stage(docs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    first = docs.join(broadcast_below(later, BROADCAST_IDS), "doc_id", "left_anti")
+    twice = broadcast_below(twice, BROADCAST_IDS)
+    return first.join(twice, "doc_id", "left_anti").unionByName(
+        first.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))

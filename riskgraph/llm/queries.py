@@ -92,6 +92,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       license_scan.templates(spark))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}

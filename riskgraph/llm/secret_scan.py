@@ -159,22 +159,22 @@ def _entropy_kind(text: Column, cls: CharacterClass, rank: int,
 
 
 def find_secrets(docs: DataFrame, classes: tuple[CharacterClass, ...] = CLASSES,
-                 allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
-    """``docs`` with ``secrets``: array of (start, rank, end, kind, value) by start, then kind.
+                 allowed: tuple[str, ...] = ALLOWED, column: str = "secrets") -> DataFrame:
+    """``docs`` with ``column``: array of (start, rank, end, kind, value) by start, then kind.
 
     Base kinds are always reported; the allow-list holds back candidates of the entropy kinds
-    only. A null or empty text has an empty array. All columns are kept as they are; a column
-    named ``secrets`` is replaced. Repeated rows are scanned each on its own.
+    only. A null or empty text has an empty array. All columns are kept as they are; one that
+    is named ``column`` already is replaced. Repeated rows are scanned each on its own.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = [_base_spans(text, rank) for rank in range(len(BASE_KINDS))]
     kinds += [_entropy_kind(text, cls, len(BASE_KINDS) + k, allowed)
               for k, cls in enumerate(classes)]
-    return docs.withColumn("secrets", F.array_sort(F.concat(*kinds)))
+    return docs.withColumn(column, F.array_sort(F.concat(*kinds)))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``mark`` and ``n_chars`` counted anew.
+def redact(docs: DataFrame, mark: str = "[SECRET]", column: str = "secrets") -> DataFrame:
+    """``docs`` without ``column`` and with every secret in ``text`` replaced by ``mark`` and ``n_chars`` counted anew.
 
     Spans that overlap or touch become one mark. Texts without a secret, null ones included,
     stay as they are.
@@ -189,14 +189,14 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             F.when(opens, F.concat(acc["text"], gap, F.lit(mark))).otherwise(acc["text"])
             .alias("text"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    clean = F.aggregate(F.col("secrets"), start, step, lambda acc: F.concat(
+    clean = F.aggregate(F.col(column), start, step, lambda acc: F.concat(
         acc["text"], F.substring(text, acc["at"] + 1, F.length(text))))
-    some = F.size("secrets") > 0
+    some = F.size(column) > 0
     out = docs.withColumn("text", F.when(some, clean).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long"))
                              .otherwise(F.col("n_chars")))
-    return out.drop("secrets")
+    return out.drop(column)
 
 
 def span_text(spans: Column) -> Column:

@@ -252,3 +252,9 @@ def score_documents(docs: DataFrame, model: ToxicityModel,
     """
     return docs.withColumn("score", model.score("text")).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel,
+               threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the documents that the model calls toxic."""
+    return docs.where(model.score("text") < threshold)
