@@ -51,10 +51,15 @@ def unstage(*tables: DataFrame) -> None:
             drop_path(table.sparkSession, folder)
 
 
-def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast if the staged table ``df`` has at most ``rows`` narrow rows.
-
-    The count reads only the footers of a staged table. Above the bound the table is joined by
-    shuffling, with the same result.
+def broadcast_below(df: DataFrame, rows: int, payload: str | None = None,
+                    payload_bytes: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast if the staged table ``df`` is small: at most ``rows`` rows, and at most
+    ``payload_bytes`` bytes in the one column of varying width, ``payload`` (binary or an array of
+    numbers). Above the bound the table is joined by shuffling, with the same result.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    width = F.lit(0)
+    if payload:
+        binary = dict(df.dtypes)[payload] == "binary"
+        width = F.octet_length(payload) if binary else F.size(payload) * 8
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= payload_bytes else df
