@@ -151,10 +151,13 @@ def _find_units(docs: DataFrame) -> DataFrame:
 def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """(bucket, share, doc_id, start, ids, places): identifiers of the strings that the first unit
     of each kind begins, dealt out over the bucket's shares by identifier."""
-    own = kinds.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "start", "n", "shares"))
-                                      .alias("units"))
-    own = stage(own, "kinds-of-documents")
-    texts = docs.select("doc_id", "text").join(broadcast_below(own, BROADCAST_ROWS), "doc_id")
+    place = F.expr("(cast(start as bigint) * 128 + n) * 65536 + shares")
+    units = F.flatten(F.transform("u", lambda u: F.array(u["bucket"], u["place"])))
+    own = stage(kinds.groupBy("doc_id").agg(
+        F.collect_list(F.struct("bucket", place.alias("place"))).alias("u")).select(
+        "doc_id", units.alias("units")), "kinds-of-documents")
+    texts = docs.select("doc_id", "text").join(
+        broadcast_below(own, BROADCAST_ROWS, "units"), "doc_id")
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,10 +166,10 @@ def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for k, found in enumerate(batch["units"].to_pylist()):
                 text = data[bounds[k]:bounds[k + 1]]
-                for u in found:
-                    part = text[u["start"]:u["start"] + u["n"] + LENGTH - 1]
-                    rows.append((u["bucket"], u["shares"], ids[k], u["start"], part))
-                if len(rows) > 20_000:
+                for bucket, place in zip(found[::2], found[1::2]):
+                    start, n, shares = place >> 23, place >> 16 & 127, place & 65535
+                    rows.append((bucket, shares, ids[k], start, text[start:start + n + LENGTH - 1]))
+                if len(rows) > 4_000:
                     yield dealt(rows)
                     rows = []
             yield dealt(rows)
@@ -240,7 +243,7 @@ def _marks(docs: DataFrame) -> DataFrame:
     sizes = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"))
     sized = stage(kinds.join(stage(sizes, "bucket-sizes"), "bucket"), "sized-kinds")
     differing = sized.where("kinds > 1").withColumn(
-        "shares", F.ceil(F.col("kinds") / KINDS).cast("int"))
+        "shares", F.least(F.ceil(F.col("kinds") / KINDS), F.lit(65_535)).cast("int"))
     parts = _new_starts(_strings(differing, docs))
     repeated = (kept.select("doc_id", code).unionAll(again).groupBy("doc_id")
                 .agg(F.collect_list("code").alias("repeated")))
@@ -250,22 +253,41 @@ def _marks(docs: DataFrame) -> DataFrame:
     return repeated.join(whole, "doc_id", "left").join(parts, "doc_id", "left")
 
 
-def removed_bytes(n: int, repeated, whole, parts) -> np.ndarray:
-    """True for the bytes of a document of ``n`` bytes that a repeated string covers."""
+def removed_spans(repeated: np.ndarray, whole: np.ndarray, parts: list | None) -> np.ndarray:
+    """(first, end) of the runs of bytes that repeated strings cover, for one document's marks."""
+    n = int(((repeated >> 7) + (repeated & 127)).max())
     starts = np.zeros(n + 1, np.int32)
     for codes, step in ((repeated, 1), (whole, -1)):
-        if codes is not None and len(codes):
-            codes = np.asarray(codes, np.int64)
-            np.add.at(starts, codes >> 7, step)
-            np.add.at(starts, (codes >> 7) + (codes & 127), -step)
-    dup = np.cumsum(starts) > 0
+        np.add.at(starts, codes >> 7, step)
+        np.add.at(starts, (codes >> 7) + (codes & 127), -step)
+    dup = np.cumsum(starts[:n]) > 0
     for part in parts or ():
         dup[part["start"] + np.frombuffer(part["places"], np.uint8).astype(np.int64)] = False
     at = np.flatnonzero(dup)
-    cover = np.zeros(n + 1, np.int32)
-    np.add.at(cover, at, 1)
-    np.add.at(cover, at + LENGTH, -1)
-    return np.cumsum(cover)[:n] > 0
+    if not len(at):
+        return np.empty((0, 2), np.int64)
+    breaks = np.flatnonzero(np.diff(at) > LENGTH)
+    first = at[np.append(0, breaks + 1)]
+    return np.stack([first, at[np.append(breaks, len(at) - 1)] + LENGTH], axis=1)
+
+
+def _lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The lists of an Arrow column of numbers; a null list is empty."""
+    bounds, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        yield values[a:b]
+
+
+def _spans(marks: DataFrame) -> DataFrame:
+    """(doc_id, spans): the removed runs of each document as pairs of int64."""
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [removed_spans(*mark).astype("<i8").tobytes() for mark in zip(
+                _lists(batch["repeated"]), _lists(batch["whole"]), batch["parts"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(spans, pa.binary())],
+                                             ["doc_id", "spans"])
+
+    return marks.mapInArrow(cover, "doc_id long, spans binary").where(F.octet_length("spans") > 0)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -282,23 +304,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
              .agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b"))
     if not twice.isEmpty():
         raise ValueError("a doc_id has two texts")
-    marks = stage(_marks(docs), "marks")
-    rows = docs.select("doc_id", "text").join(broadcast_below(marks, BROADCAST_ROWS), "doc_id",
-                                              "left")
+    spans = stage(_spans(_marks(docs)), "spans")
+    rows = docs.select("doc_id", "text").join(
+        broadcast_below(spans, BROADCAST_ROWS, "spans"), "doc_id", "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = _bytes_of(batch["text"])
             out = []
-            marked = zip(*(batch[c].to_pylist() for c in ("repeated", "whole", "parts")))
-            for k, mark in enumerate(marked):
+            for k, marked in enumerate(batch["spans"].to_pylist()):
                 own = data[bounds[k]:bounds[k + 1]]
-                if mark[0] is None:
-                    out.append((len(own), 0, 0, own.tobytes()))
-                    continue
-                gone = removed_bytes(len(own), *mark)
-                spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                out.append((len(own), int(gone.sum()), spans, own[~gone].tobytes()))
+                gone = np.frombuffer(marked or b"", "<i8").reshape(-1, 2)
+                stay = zip(np.append(0, gone[:, 1]), np.append(gone[:, 0], len(own)))
+                out.append((len(own), int((gone[:, 1] - gone[:, 0]).sum()), len(gone),
+                            b"".join([own[a:b].tobytes() for a, b in stay])))
             columns = list(zip(*out)) or [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
