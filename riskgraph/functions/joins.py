@@ -9,48 +9,59 @@ BLOCK_ROWS = 20_000
 
 
 def day_blocks(rows: DataFrame, key: str, at: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(key, day, block, last_block) for keys with more than ``block_rows`` rows.
+    """(key, day, day_start, day_rows, last_block) for keys with more than ``block_rows`` rows.
 
-    Blocks follow time and hold about ``block_rows`` rows (more only if one day does). Counts
-    are combined map-side, so the window sees one row per key and calendar day.
+    A row's block is its place divided by ``block_rows``; rows are placed by day, and within a day
+    by a hash, so a single day of a heavy key is cut as well. Counts are combined map-side, so the
+    window sees one row per key and calendar day.
     """
     daily = (rows.groupBy(key, F.to_date(at).alias("day"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    heavy = (daily.groupBy(key).agg(F.sum("n").alias("total"))
-             .where(F.col("total") > block_rows).select(key))
-    before = F.sum("n").over(Window.partitionBy(key).orderBy("day")) - F.col("n")
-    numbered = (daily.join(heavy, key, "left_semi")
-                .withColumn("block", F.floor(before / block_rows).cast("int")))
-    last = F.max("block").over(Window.partitionBy(key))
-    return numbered.select(key, "day", "block", last.alias("last_block"))
+             .agg(F.count(F.lit(1)).alias("day_rows")))
+    heavy = (daily.groupBy(key).agg(F.sum("day_rows").alias("total"))
+             .where(F.col("total") > block_rows))
+    before = F.sum("day_rows").over(Window.partitionBy(key).orderBy("day")) - F.col("day_rows")
+    last = F.floor((F.col("total") - 1) / block_rows).cast("int")
+    return (daily.join(heavy, key).withColumns({
+        "day_start": before, "last_block": last, "block_rows": F.lit(block_rows)}).drop("total"))
 
 
-def earlier_join(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str,
-                 residual: Column | None = None, blocks: DataFrame | None = None) -> DataFrame:
-    """Rows of ``right`` with the same ``key`` and a strictly earlier time.
+def _placed(rows: DataFrame, key: str, at: str, spread: str, blocks: DataFrame) -> DataFrame:
+    """``rows`` with their block and the first and last block of their day (0 for light keys)."""
+    blocks = blocks.withColumnsRenamed({blocks.columns[0]: "__key", "day": "__day"})
+    on = (F.col(key) == F.col("__key")) & (F.to_date(at) == F.col("__day"))
+    place = F.col("day_start") + F.pmod(F.xxhash64(spread), F.col("day_rows"))
+    ends = {"own": place, "first": F.col("day_start"),
+            "upto": F.col("day_start") + F.col("day_rows") - 1}
+    found = {n: F.coalesce(F.floor(c / F.col("block_rows")).cast("int"), F.lit(0))
+             for n, c in ends.items()}
+    return (rows.join(blocks, on, "left")
+            .withColumns({**found, "last": F.coalesce("last_block", F.lit(0))})
+            .drop("__key", "__day", "day_start", "day_rows", "last_block", "block_rows"))
 
-    ``blocks`` (from ``day_blocks`` of the right side) cuts heavy keys into time blocks: cell
-    (i, j) pairs the left rows of block i with the right rows of block j, and only j <= i can
-    match. No task gets more than one block of either side and nothing is capped. Every left
-    day must occur among the right days of its key, which holds for edges joined with edges.
-    Without ``blocks`` no key is heavy and the plain join is used. Non-key column names must
-    differ between the two sides.
+
+def block_join(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str,
+               left_id: str, right_id: str, blocks: DataFrame, earlier: bool = True,
+               residual: Column | None = None) -> DataFrame:
+    """Rows of ``right`` with the same ``key``, and with ``earlier`` of a strictly earlier time.
+
+    ``blocks`` (from ``day_blocks`` of the right side) cuts heavy keys: cell (i, j) pairs the left
+    rows of block i with the right rows of block j, and with ``earlier`` only blocks up to the end
+    of the left row's day can match. No task gets more than about one block of either side and
+    nothing is capped; light keys have the one cell (0, 0). The plan is the same whether there are
+    heavy keys or not. Every left day must occur among the right days of its key, which holds for
+    edges joined with edges. Non-key column names must differ between the two sides.
     """
-    on = [key]
-    if blocks is not None:
-        on = [key, "i", "j"]
-        blocks = blocks.toDF(key, "day", "block", "last_block")
-        block, last = F.coalesce("block", F.lit(0)), F.coalesce("last_block", F.lit(0))
-        left = (left.withColumn("day", F.to_date(left_at)).join(blocks, [key, "day"], "left")
-                .withColumns({"i": block, "j": F.explode(F.sequence(F.lit(0), block))})
-                .drop("day", "block", "last_block"))
-        right = (right.withColumn("day", F.to_date(right_at)).join(blocks, [key, "day"], "left")
-                 .withColumns({"j": block, "i": F.explode(F.sequence(block, last))})
-                 .drop("day", "block", "last_block"))
-    cond = F.col(left_at) > F.col(right_at)
-    if residual is not None:
-        cond = cond & residual
-    return left.join(right, on).where(cond).drop("i", "j")
+    reach, start = ("upto", "first") if earlier else ("last", None)
+    left = _placed(left, key, left_at, left_id, blocks).withColumns({
+        "i": F.col("own"), "j": F.explode(F.sequence(F.lit(0), F.col(reach)))})
+    right = _placed(right, key, right_at, right_id, blocks).withColumns({
+        "j": F.col("own"),
+        "i": F.explode(F.sequence(F.col(start) if start else F.lit(0), F.col("last")))})
+    ends = ("own", "first", "upto", "last")
+    joined = left.drop(*ends).join(right.drop(*ends), [key, "i", "j"]).drop("i", "j")
+    if earlier:
+        joined = joined.where(F.col(left_at) > F.col(right_at))
+    return joined if residual is None else joined.where(residual)
 
 
 def salted_lookup(facts: DataFrame, small: DataFrame, on: list[str], spread: Column,

@@ -22,15 +22,14 @@ def cumulative(counts: DataFrame) -> DataFrame:
 
     Running sums over all distinct scores without a one-task window: the scores are cut into
     at most 256 ranges of similar size, the range totals are accumulated, and each range adds
-    its own running sum to what lies above it.
+    its own running sum to what lies above it. The cut points are one value of the running query.
     """
-    cuts = counts.approxQuantile("score", [i / RANGES for i in range(1, RANGES)], 0.001)
-    cuts = sorted(set(cuts))
-    rng = F.lit(0)
-    if cuts:
-        # Number of cut points at or below the score.
-        rng = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda x: x <= F.col("score")))
-    ranged = counts.withColumn("__r", rng)
+    share = [i / RANGES for i in range(1, RANGES)]
+    cuts = counts.agg(F.percentile_approx("score", share, 10_000)).scalar()
+    # Number of cut points at or below the score.
+    rng = F.size(F.filter(F.coalesce("__cuts", F.array().cast("array<double>")),
+                          lambda x: x <= F.col("score")))
+    ranged = counts.withColumn("__cuts", cuts).withColumn("__r", rng).drop("__cuts")
     totals = ranged.groupBy("__r").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
     above = Window.orderBy(F.col("__r").desc())
     totals = totals.select(

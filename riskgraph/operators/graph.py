@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.functions.joins import BLOCK_ROWS, day_blocks
+from riskgraph.functions.joins import BLOCK_ROWS, day_blocks, salted_lookup
 from riskgraph.schemas import (APPLY_NODE_FIELDS, EDGES, MISSING,
                                NODE_PROPERTIES, PERSON_EDGES)
 from riskgraph.sources.staging import stage
@@ -47,7 +47,7 @@ def to_edges(applications: DataFrame, keep: tuple = NODE_PROPERTIES,
 class Graph:
     applications: DataFrame
     edges: DataFrame
-    blocks: DataFrame | None = None      # time blocks of heavy entities, None if there are none
+    blocks: DataFrame                    # time blocks of heavy entities
 
 
 def load(applications: DataFrame, strict_idcard: bool = True,
@@ -56,7 +56,7 @@ def load(applications: DataFrame, strict_idcard: bool = True,
     nodes = stage(applications, "applications")
     edges = stage(to_edges(nodes, strict_idcard=strict_idcard), "edges")
     blocks = stage(day_blocks(edges, "entity_value", "apply_date", block_rows), "blocks")
-    return Graph(nodes, edges, None if blocks.isEmpty() else blocks)
+    return Graph(nodes, edges, blocks)
 
 
 def entity_nodes(edges: DataFrame) -> DataFrame:
@@ -66,17 +66,29 @@ def entity_nodes(edges: DataFrame) -> DataFrame:
         F.min("label").alias("label"), F.count(F.lit(1)).alias("degree"))
 
 
+def first_persons(persons: DataFrame, order_by: tuple = ("source_file", "source_pos"),
+                  ) -> DataFrame:
+    """Persons with an id, the first row read of each; ``order_by`` columns that are missing are
+    passed over, and rows that are then still equal in order are taken by their content."""
+    order = [c for c in order_by if c in persons.columns]
+    rest = [c for c in persons.columns if c not in order and c != "cert_no"]
+    first = F.min(F.struct(*order, *rest)).alias("row")
+    return (persons.where(F.coalesce("cert_no", F.lit("")) != "").groupBy("cert_no").agg(first)
+            .select("cert_no", *[F.col(f"row.{c}").alias(c) for c in rest]))
+
+
 def unpack_person_sets(persons: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Packed ``value@@time##value@@time`` sets to (items, rejects).
 
     items: cert_no, apply_date, edge_type, entity_value, label, entity_at;
     rejects: cert_no, edge_type, item (an item without a time).
-    A set cell equal to a missing marker has no items.
+    A set cell equal to a missing marker has no items. Of a person on several lines the first
+    line read counts.
     """
     cells = [F.struct(F.lit(e.name).alias("edge_type"), F.lit(e.label).alias("label"),
                       F.when(C.present(F.col(e.column), e.missing), F.col(e.column)).alias("cell"))
              for e in PERSON_EDGES]
-    items = (persons.where(F.coalesce(F.col("cert_no"), F.lit("")) != "")
+    items = (first_persons(persons)
              .select("cert_no", "apply_date", F.explode(F.array(*cells)).alias("c"))
              .select("cert_no", "apply_date", "c.edge_type", "c.label",
                      F.explode(F.split("c.cell", "##")).alias("item")))
@@ -96,7 +108,7 @@ def person_edges(items: DataFrame) -> DataFrame:
     """Distinct person-entity edges; an entity carries the earliest time seen anywhere."""
     links = items.select("cert_no", "apply_date", "edge_type", "entity_value", "label").distinct()
     dated = items.groupBy("entity_value").agg(F.min("entity_at").alias("entity_at"))
-    return links.join(dated, "entity_value")
+    return salted_lookup(links, dated, ["entity_value"], F.col("cert_no"))
 
 
 def person_sample(good: DataFrame, black: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
@@ -33,24 +33,35 @@ def numeric_features(df: DataFrame, skip: tuple = ID_COLUMNS) -> DataFrame:
     return df.select(*cols)
 
 
+def vectors(df: DataFrame, skip: tuple = ID_COLUMNS) -> DataFrame:
+    """The ``skip`` columns and ``features``, one vector of all others in their order.
+
+    One expression for any number of columns; the vector is what a model trains on.
+    """
+    data = numeric_features(df, skip)
+    return data.select(*skip, array_to_vector(F.array(*feature_columns(df, skip)))
+                       .alias("features"))
+
+
 def train(df: DataFrame, seed: int = 11, skip: tuple = ID_COLUMNS, **overrides) -> PipelineModel:
-    """Fit on label 0/1 rows; ``overrides`` replace single model parameters."""
-    data = numeric_features(df, skip).withColumn("label", F.col("label").cast("double"))
+    """Fit on label 0/1 rows, given as columns or as ``vectors``; ``overrides`` replace single
+    model parameters."""
+    data = (df if "features" in df.columns else vectors(df, skip)).withColumn(
+        "label", F.col("label").cast("double"))
     gbt = GBTRegressor(featuresCol="features", labelCol="label", seed=seed,
                        **{**MODEL_PARAMETERS, **overrides})
-    assembler = VectorAssembler(inputCols=feature_columns(df, skip), outputCol="features")
-    return Pipeline(stages=[assembler, gbt]).fit(data)
+    return Pipeline(stages=[gbt]).fit(data)
 
 
 def score(model: PipelineModel, df: DataFrame, skip: tuple = ID_COLUMNS) -> DataFrame:
-    data = numeric_features(df, skip).withColumn("label", F.col("label").cast("double"))
+    data = (df if "features" in df.columns else vectors(df, skip)).withColumn(
+        "label", F.col("label").cast("double"))
     return model.transform(data).select(*skip, F.col("prediction").alias("score"))
 
 
-def describe_model(model: PipelineModel) -> dict:
-    """Tree dump and feature importances by name."""
-    assembler, gbt = model.stages
-    names = assembler.getInputCols()
+def describe_model(model: PipelineModel, names: list[str]) -> dict:
+    """Tree dump and feature importances by name; ``names`` are the features in their order."""
+    gbt = model.stages[-1]
     weights = gbt.featureImportances
     return {"dump": gbt.toDebugString,
             "importances": {names[i]: float(w) for i, w in zip(weights.indices, weights.values)}}

@@ -7,15 +7,17 @@ edge scope and the all-edge scope.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.functions.joins import earlier_join, salted_lookup
+from riskgraph.functions.joins import block_join, salted_lookup
 from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, EDGES, ENTITY_METRICS,
                                PRODUCT_METRICS)
 
 N_EDGES = len(EDGES)
+if N_EDGES != 8:
+    raise ValueError("masks hold 8 edge types: pairs of types fill a 64-bit integer")
 ALL_BIT = -1                          # bit number of the all-edge scope
 PAIR_KEYS = ["order_id_src", "cert_no_src", "apply_date_src", "order_id_dst", "apply_date_dst"]
 
@@ -41,7 +43,7 @@ def _with_self(links: DataFrame) -> DataFrame:
             .groupBy(*PAIR_KEYS).agg(F.bit_or("mask").alias("mask")))
 
 
-def _degree1_links(edges: DataFrame, sources: DataFrame | None, blocks: DataFrame | None,
+def _degree1_links(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None,
                    keep_far_type: bool) -> DataFrame:
     idx = _indexed(edges)
     src = from_orders(idx, sources).select(
@@ -52,19 +54,19 @@ def _degree1_links(edges: DataFrame, sources: DataFrame | None, blocks: DataFram
         "entity_value", F.col("edge").alias("r1"))
     if not keep_far_type:
         dst = dst.drop("r1").distinct()
-    links = earlier_join(src, dst, "entity_value", "apply_date_src", "apply_date_dst",
-                         blocks=blocks)
+    links = block_join(src, dst, "entity_value", "apply_date_src", "apply_date_dst",
+                       "order_id_src", "order_id_dst", blocks)
     return links.withColumn(
         "mask", F.expr(f"shiftleft(1L, {f'e1 * {N_EDGES} + r1' if keep_far_type else 'e1'})"))
 
 
-def degree1_pairs(edges: DataFrame, sources: DataFrame | None = None,
-                  blocks: DataFrame | None = None) -> DataFrame:
-    return _with_self(_degree1_links(edges, sources, blocks, keep_far_type=False))
+def degree1_pairs(edges: DataFrame, blocks: DataFrame,
+                  sources: DataFrame | None = None) -> DataFrame:
+    return _with_self(_degree1_links(edges, blocks, sources, keep_far_type=False))
 
 
-def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
-                  blocks: DataFrame | None = None) -> DataFrame:
+def degree2_pairs(edges: DataFrame, blocks: DataFrame,
+                  sources: DataFrame | None = None) -> DataFrame:
     """Pairs two hops apart, without enumerating the paths.
 
     1. (source, middle) with an 8 x 8 mask of (outgoing type, type at the middle);
@@ -73,17 +75,20 @@ def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
        reachable exactly if it is earlier than that middle;
     3. far orders of the value, earlier than that date and of another person.
     """
-    middle = (_degree1_links(edges, sources, blocks, keep_far_type=True)
+    middle = (_degree1_links(edges, blocks, sources, keep_far_type=True)
               .groupBy("order_id_src", "cert_no_src", "apply_date_src",
                        F.col("order_id_dst").alias("order_id"))
               .agg(F.bit_or("mask").alias("hop")))
-    out = _indexed(edges).select("order_id", F.col("apply_date").alias("apply_date_mid"),
-                                 "entity_value", F.col("edge").alias("e2"))
+    # At most one edge per type: the edges of a middle order travel as one short list.
+    out = _indexed(edges).groupBy("order_id").agg(
+        F.max("apply_date").alias("apply_date_mid"),
+        F.collect_list(F.struct("entity_value", F.col("edge").alias("e2"))).alias("out"))
     # For outgoing type e1 the middle is reached over some type other than e2.
     reach = " + ".join(
         f"if(shiftright(hop, {N_EDGES * e}) & 255 & ~shiftleft(1L, e2) != 0, "
         f"shiftleft(1L, {N_EDGES * e} + e2), 0L)" for e in range(N_EDGES))
-    hops = (middle.join(out, "order_id")
+    hops = (salted_lookup(middle, out, ["order_id"], F.col("order_id_src"), salts=4)
+            .withColumn("o", F.explode("out")).drop("out").select("*", "o.*").drop("o")
             .withColumn("mask", F.expr(reach)).where(F.col("mask") != 0)
             .groupBy("order_id_src", "cert_no_src", "apply_date_src", "entity_value", "mask")
             .agg(F.max("apply_date_mid").alias("apply_date_mid")))
@@ -92,51 +97,24 @@ def degree2_pairs(edges: DataFrame, sources: DataFrame | None = None,
         F.col("cert_no").alias("cert_no_dst"), "entity_value").distinct()
     other = ((F.col("order_id_src") != F.col("order_id_dst"))
              & (F.col("cert_no_src") != F.col("cert_no_dst")))
-    return _with_self(earlier_join(hops, far, "entity_value", "apply_date_mid",
-                                   "apply_date_dst", residual=other, blocks=blocks))
+    return _with_self(block_join(hops, far, "entity_value", "apply_date_mid", "apply_date_dst",
+                                 "order_id_src", "order_id_dst", blocks, residual=other))
 
 
-def unfold(rows: DataFrame, keys: list, columns: dict, name: str, value: str) -> DataFrame:
-    """One row per key row and entry of ``columns`` (number: long column) that is not zero."""
-    flat = rows.select(*keys, *[c.alias(str(i)) for i, c in columns.items()])
-    long = flat.unpivot(keys, [str(i) for i in columns], name, value)
-    return long.where(F.col(value) != 0).withColumn(name, F.col(name).cast("int"))
+def bits_of(mask: str, degree: int, also_all: bool = False) -> Column:
+    """Generator: one row per edge type (or pair) set in ``mask``, with ``also_all`` one more.
 
-
-def _bit(mask: str, i: int):
-    return F.shiftright(mask, i).bitwiseAND(F.lit(1).cast("long"))
-
-
-def _byte(mask: str, i: int):
-    return F.shiftright(mask, N_EDGES * i).bitwiseAND(F.lit(255).cast("long"))
-
-
-def explode_edges(rows: DataFrame, keys: list, degree: int) -> DataFrame:
-    """``keys`` and ``bit``: one row per edge type (or pair) set in ``mask``."""
+    A fixed list is exploded and filtered by the caller with ``has_bit``, which keeps both in
+    generated code.
+    """
     bits = N_EDGES if degree == 1 else N_EDGES * N_EDGES
-    return unfold(rows, keys, {i: _bit("mask", i) for i in range(bits)}, "bit", "set").drop("set")
-
+    return F.explode(F.array(*[F.lit(b) for b in range(-1 if also_all else 0, bits)]))
 
-def count_edges(counts: DataFrame, keys: list, degree: int) -> DataFrame:
-    """(keys, mask, n) to (keys, bit, n): totals per edge type, and over all as bit -1.
 
-    A degree-2 mask is opened in two steps, by outgoing type and then by second type, and equal
-    bytes are added up in between, so few rows reach the last step.
-    """
-    every = {ALL_BIT: F.lit(1).cast("long")}
-    total = F.sum("n").alias("n")
-    if degree == 1:
-        bits = {i: _bit("mask", i) for i in range(N_EDGES)}
-        return unfold(counts, keys + ["n"], {**every, **bits}, "bit", "set").groupBy(
-            *keys, "bit").agg(total)
-    byte = {i: _byte("mask", i) for i in range(N_EDGES)}
-    opened = (unfold(counts, keys + ["n"], {**every, **byte}, "first", "byte")
-              .groupBy(*keys, "first", "byte").agg(total))
-    bits = {i: _bit("byte", i) for i in range(N_EDGES)}
-    number = F.when(F.col("first") == ALL_BIT, ALL_BIT).otherwise(
-        F.col("first") * N_EDGES + F.col("second"))
-    return (unfold(opened, keys + ["n", "first"], bits, "second", "set")
-            .withColumn("bit", number).groupBy(*keys, "bit").agg(total))
+def has_bit(mask: str, bit: str = "bit") -> Column:
+    """1 if ``bit`` is set in ``mask``; the all-edge bit is set in every mask but 0."""
+    return F.expr(f"if({bit} < 0, if({mask} <> 0, 1L, 0L), "
+                  f"shiftright({mask}, greatest({bit}, 0)) & 1L)")
 
 
 def edge_columns(bit, degree: int) -> list:
@@ -149,8 +127,9 @@ def edge_columns(bit, degree: int) -> list:
 
 def pairs_by_edge(pairs: DataFrame, degree: int = 1) -> DataFrame:
     """One row per pair and edge type (or pair of edge types)."""
-    return explode_edges(pairs, PAIR_KEYS, degree).select("order_id_src", *edge_columns(F.col("bit"), degree), "apply_date_src",
-                       "cert_no_src", "order_id_dst", "apply_date_dst")
+    opened = pairs.withColumn("bit", bits_of("mask", degree)).where(has_bit("mask") == 1)
+    return opened.select("order_id_src", *edge_columns(F.col("bit"), degree), "apply_date_src",
+                         "cert_no_src", "order_id_dst", "apply_date_dst")
 
 
 def blacklisted_orders(attributes: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -186,12 +165,12 @@ def prepare_attributes(attributes: DataFrame, blacklist: DataFrame | None = None
 def with_attributes(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
     """Attach the neighbour's attributes; pairs whose neighbour has none are dropped.
 
-    Attributes are unique per order. An order that very many sources reach makes its partition
-    large on the pair side only; adaptive execution splits such a partition, and the grouping
-    that follows has its own shuffle, so the split is always allowed.
+    Attributes are unique per order; an order that very many sources reach is looked up by
+    several tasks.
     """
-    return (pairs.withColumnRenamed("order_id_dst", "order_id").join(prepared, "order_id")
-            .withColumnRenamed("order_id", "order_id_dst"))
+    found = salted_lookup(pairs.withColumnRenamed("order_id_dst", "order_id"), prepared,
+                          ["order_id"], F.col("order_id_src"), salts=4)
+    return found.withColumnRenamed("order_id", "order_id_dst")
 
 
 FLAG_METRICS = CONTRACT_METRICS + PRODUCT_METRICS

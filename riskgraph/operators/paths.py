@@ -1,13 +1,13 @@
 """One-hop and two-hop paths between an order and strictly earlier orders.
 
-``blocks`` is the table of heavy entities from ``graph.load``; see ``earlier_join``.
+``blocks`` is the table of heavy entities from ``graph.load``; see ``block_join``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.functions.joins import earlier_join
+from riskgraph.functions.joins import block_join, salted_lookup
 from riskgraph.schemas import NODE_PROPERTIES
 
 SRC = ["order_id_src"] + [f"{p}_src" for p in NODE_PROPERTIES]
@@ -34,118 +34,53 @@ def _end(edges: DataFrame, end: str, edge_col: str, value_col: str, *more: str)
         F.col("edge_type").alias(edge_col), F.col("entity_value").alias(value_col), *more)
 
 
-def degree1(edges: DataFrame, sources: DataFrame | None = None,
-            blocks: DataFrame | None = None) -> DataFrame:
+def degree1(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """Distinct paths order - value - earlier order (21 columns)."""
     src = _end(from_orders(edges, sources), "src", "edg_type_src1", "contact_value1")
     dst = _end(edges, "dst1", "edg_type_dst1", "contact_value1")
-    paths = earlier_join(src, dst, "contact_value1", "apply_date_src", "apply_date_dst1",
-                         blocks=blocks)
+    paths = block_join(src, dst, "contact_value1", "apply_date_src", "apply_date_dst1",
+                       "order_id_src", "order_id_dst1", blocks)
     # Edges are unique per (order, type), so the paths are distinct as they come.
     return paths.select(*DEGREE1_COLUMNS)
 
 
-def degree1_unordered(edges: DataFrame, sources: DataFrame | None = None,
-                      limit: int | None = None) -> DataFrame:
+def degree1_unordered(edges: DataFrame, blocks: DataFrame,
+                      sources: DataFrame | None = None) -> DataFrame:
     """Five-column export without the date rule.
 
     A path may not use one relationship twice, so an order meets itself only through two
-    different edge types. ``limit`` keeps the first source orders by id.
+    different edge types.
     """
-    if limit is not None:
-        base = sources if sources is not None else edges
-        sources = base.select("order_id").distinct().orderBy("order_id").limit(limit)
     src = from_orders(edges, sources).select(
         F.col("order_id").alias("order_id_src"), F.col("edge_type").alias("edg_type_src1"),
-        F.col("entity_value").alias("contact_value1"))
+        F.col("entity_value").alias("contact_value1"), F.col("apply_date").alias("at_src"))
     dst = edges.select(
         F.col("order_id").alias("order_id_dst1"), F.col("edge_type").alias("edg_type_dst1"),
-        F.col("entity_value").alias("contact_value1"))
+        F.col("entity_value").alias("contact_value1"), F.col("apply_date").alias("at_dst1"))
     same = ((F.col("order_id_src") == F.col("order_id_dst1"))
             & (F.col("edg_type_src1") == F.col("edg_type_dst1")))
-    return (src.join(dst, "contact_value1").where(~same)
+    return (block_join(src, dst, "contact_value1", "at_src", "at_dst1", "order_id_src",
+                       "order_id_dst1", blocks, earlier=False, residual=~same)
             .select("order_id_src", *HOP1, "order_id_dst1"))
 
 
-def degree2(edges: DataFrame, sources: DataFrame | None = None,
-            blocks: DataFrame | None = None) -> DataFrame:
-    """Distinct paths order - value - earlier order - value - still earlier order (33 columns)."""
-    first = degree1(edges, sources, blocks)
-    out = edges.select(
-        F.col("order_id").alias("order_id_dst1"), F.col("edge_type").alias("edg_type_src2"),
-        F.col("entity_value").alias("contact_value2"))
+def degree2(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Distinct paths order - value - earlier order - value - still earlier order (33 columns).
+
+    A middle order has at most one edge per type, so its edges travel as one short list and are
+    looked up with salts: a middle order that very many paths share is joined by several tasks.
+    """
+    first = degree1(edges, blocks, sources)
+    out = edges.groupBy(F.col("order_id").alias("order_id_dst1")).agg(F.collect_list(
+        F.struct(F.col("edge_type").alias("edg_type_src2"),
+                 F.col("entity_value").alias("contact_value2"))).alias("out"))
     reused = ((F.col("edg_type_dst1") == F.col("edg_type_src2"))
               & (F.col("contact_value1") == F.col("contact_value2")))
-    middle = first.join(out, "order_id_dst1").where(~reused)
+    middle = (salted_lookup(first, out, ["order_id_dst1"], F.col("order_id_src"), salts=4)
+              .withColumn("o", F.explode("out")).select(*DEGREE1_COLUMNS, "o.*").where(~reused))
     far = _end(edges, "dst2", "edg_type_dst2", "contact_value2")
     other = ((F.col("order_id_src") != F.col("order_id_dst2"))
              & (F.col("cert_no_src") != F.col("cert_no_dst2")))
-    return (earlier_join(middle, far, "contact_value2", "apply_date_dst1", "apply_date_dst2",
-                         residual=other, blocks=blocks)
+    return (block_join(middle, far, "contact_value2", "apply_date_dst1", "apply_date_dst2",
+                       "order_id_src", "order_id_dst2", blocks, residual=other)
             .select(*DEGREE2_COLUMNS))
-
-
-def _recency(end: str, degree: int) -> list:
-    """Total order of a source's paths: latest neighbour first, then fixed ties."""
-    ties = (HOP1 + DST1[:1] + HOP2) if degree == 2 else HOP1
-    return [F.col(f"apply_date_{end}").desc(), F.col(f"order_id_{end}"), *map(F.col, ties)]
-
-
-def cap_paths(paths: DataFrame, cap: int, degree: int = 1, salts: int = 16) -> DataFrame:
-    """Keep at most ``cap`` paths per source order, the latest neighbours first.
-
-    Paths of one source are first ranked in salted parts, so the final ranking sees at most
-    ``salts * cap`` rows of a source however many paths it has.
-    """
-    end = f"dst{degree}"
-    order = _recency(end, degree)
-    part = F.pmod(F.xxhash64(f"order_id_{end}"), F.lit(salts))
-    local = Window.partitionBy("order_id_src", part).orderBy(*order)
-    final = Window.partitionBy("order_id_src").orderBy(*order)
-    for w in (local, final):
-        paths = (paths.withColumn("__rank", F.row_number().over(w))
-                 .where(F.col("__rank") <= cap).drop("__rank"))
-    return paths
-
-
-def _positions(edges: DataFrame) -> DataFrame:
-    """Adds ``pos`` (1-based place among the edges of the entity, oldest first, ties opposite to
-    the path order) and ``earlier`` (edges of the entity with a strictly smaller date).
-
-    Both are the total of the days before plus a place within the day, so no window holds more
-    than one entity's single day, and the day totals are combined map-side.
-    """
-    dated = edges.withColumn("day", F.to_date("apply_date"))
-    daily = dated.groupBy("entity_value", "day").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("entity_value").orderBy("day")
-    before = daily.select("entity_value", "day", (F.sum("n").over(upto) - F.col("n")).alias("b"))
-    within = Window.partitionBy("entity_value", "day")
-    place = F.row_number().over(
-        within.orderBy("apply_date", F.desc("order_id"), F.desc("edge_type")))
-    lower = F.rank().over(within.orderBy("apply_date")) - 1
-    return (dated.join(before, ["entity_value", "day"])
-            .withColumns({"pos": F.col("b") + place, "earlier": F.col("b") + lower})
-            .drop("day", "b"))
-
-
-def degree1_capped(edges: DataFrame, cap: int, sources: DataFrame | None = None) -> DataFrame:
-    """``cap_paths(degree1(edges, sources), cap)`` without building the paths it drops.
-
-    Of one entity a source can only keep its ``cap`` latest predecessors. The edges of an
-    entity are numbered and cut into cells of ``cap`` rows; a source joins just the cell of its
-    last predecessor and the one before. Work and output grow with edges times ``cap``, also
-    for an entity that a large share of all orders have in common.
-    """
-    placed = _positions(edges)
-    last = F.col("earlier") - 1
-    src = (from_orders(placed, sources).where(F.col("earlier") > 0)
-           .withColumn("cell", F.explode(F.array_distinct(F.array(
-               F.floor(last / cap), F.greatest(F.floor(last / cap) - 1, F.lit(0)))))))
-    src = _end(src, "src", "edg_type_src1", "contact_value1", "cell", "earlier")
-    dst = placed.withColumn("cell", F.floor((F.col("pos") - 1) / cap))
-    dst = _end(dst, "dst1", "edg_type_dst1", "contact_value1", "cell", "pos")
-    near = ((F.col("pos") <= F.col("earlier")) & (F.col("pos") > F.col("earlier") - cap))
-    final = Window.partitionBy("order_id_src").orderBy(*_recency("dst1", 1))
-    return (src.join(dst, ["contact_value1", "cell"]).where(near)
-            .withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= cap)
-            .select(*DEGREE1_COLUMNS))

@@ -10,8 +10,8 @@ from riskgraph.operators.reshape import degree1_wide_titles
 from riskgraph.plans import queries as q
 from riskgraph.schemas import (APPLY_NODE_FIELDS, BLACK_CONTRACT, BLACK_GROUP, CONTRACT_GROUP,
                                EDGES, ENTITY_GROUP, ENTITY_METRICS, EXCEPT_SELF,
-                               INCLUDE_METRICS, NODE_PROPERTIES, PERSON_EDGES, PRODUCT_METRICS,
-                               SLICE_DAYS, SLICE_GROUP)
+                               NODE_PROPERTIES, PERSON_EDGES, PRODUCT_METRICS, SLICE_DAYS,
+                               SLICE_GROUP)
 
 DAY = "strftime({}, '%Y-%m-%d')"
 
@@ -62,6 +62,9 @@ def _edge_select(e) -> str:
 
 
 CTE["edges"] = "\n    UNION ALL ".join(_edge_select(e) for e in EDGES)
+CTE["ends"] = """SELECT e.edge_type, e.entity_value, a.order_id, a.apply_date,
+    a.apply_last_state, a.apply_state, a.current_due_day, a.history_due_day, a.fail_reason,
+    a.performance, a.cert_no FROM edges e JOIN apps a ON a.order_id = e.order_id"""
 CTE["d1"] = """SELECT n.order_id AS order_id_src, r.edge_type AS edg_type_src1,
     r.entity_value AS contact_value1, r1.edge_type AS edg_type_dst1, m.order_id AS order_id_dst1
   FROM apps n JOIN edges r ON n.order_id = r.order_id
@@ -122,12 +125,16 @@ for _name in ("p1", "p1all", "p2", "p2all"):
 
 NEEDS = {
     "apps": ["li"], "contracts": ["apps"], "fraud": ["apps"], "edges": ["apps"],
-    "d1": ["edges"], "d1c": ["d1", "contracts"], "d2": ["d1c"], "black": ["fraud"],
+    "ends": ["edges"], "d1": ["edges"], "d1c": ["d1", "contracts"], "d2": ["d1c"], "black": ["fraud"],
     "p1": ["d1c"], "p1all": ["d1c"], "p2": ["d2"], "p2all": ["d2"],
     "ap1": ["p1"], "ap1all": ["p1all"], "ap2": ["p2"], "ap2all": ["p2all"],
 }
 
 
+# Parts that several others read.
+SHARED = ("apps", "edges", "ends", "one", "d1c", "d2", "long1", "long2")
+
+
 def _with(names: list[str], body: str, extra: dict | None = None) -> str:
     order: list[str] = []
 
@@ -139,8 +146,9 @@ def _with(names: list[str], body: str, extra: dict | None = None) -> str:
 
     for n in names:
         visit(n)
-    parts = [f"{n} AS (\n  {CTE[n]})" for n in order]
-    parts += [f"{n} AS (\n  {b})" for n, b in (extra or {}).items()]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}(\n  {CTE[n]})" for n in order]
+    parts += [f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}(\n  {b})"
+              for n, b in (extra or {}).items()]
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
@@ -214,9 +222,24 @@ LONG2 = (_long_sql("ap2", ["edge1", "edge2"], INC, False) + "\nUNION ALL "
 
 
 def _wide_sql(source: str, columns: list[str]) -> str:
-    return ("SELECT order_id_src, " + ", ".join(
-        f"CAST(sum(cnt) FILTER (WHERE title = '{t}') AS BIGINT) AS {t}" for t in columns)
-        + f" FROM {source} GROUP BY order_id_src")
+    """One column per title; a title that nobody has is null."""
+    return ("SELECT order_id_src, " + ", ".join(f"CAST({t} AS BIGINT) AS {t}" for t in columns)
+            + f" FROM (PIVOT (SELECT * FROM {source} WHERE title IN ({_quoted(columns)})"
+            + f" UNION ALL SELECT DISTINCT order_id_src, NULL, '{columns[0]}' FROM {source})"
+            + f" ON title IN ({_quoted(columns)}) USING sum(cnt) GROUP BY order_id_src)")
+
+
+# The metrics as the published scripts name them, written out apart from the engine's registry.
+ENTITIES = "cid mobile bankcard imei email contact_mobile emergency_mobile company_phone".split()
+BLACKS = "cid mobile bankcard imei email company_phone contract".split()
+METRICS2 = (["order_cnt", "pass_contract_cnt", "q_order_cnt", "product_cnt", "yfq_cnt", "tnh_cnt"]
+            + [f"{side}_overdue{d}_contract_cnt" for side in ("current", "history")
+               for d in (0, 3, 30)]
+            + [f"{e}_cnt{d}" for e in ENTITIES for d in ("", 1, 3, 7, 30)]
+            + [f"black_{b}_cnt" for b in BLACKS])
+SUFFIXES = "bankcard companyphone contact device email emergency idcard myphone".split()
+TITLES2 = sorted(m + s for m in METRICS2
+                 for s in ["", *(f"_{a}_{b}" for a in SUFFIXES for b in SUFFIXES)])
 
 
 # ------------------------------------------------------------------------------ statements
@@ -227,43 +250,40 @@ def _props(alias: str, end: str) -> str:
 
 
 def _path_statements() -> dict[str, str]:
-    full = (f"SELECT n.order_id AS order_id_src, {_props('n', 'src')}, edg_type_src1, "
-            f"contact_value1, edg_type_dst1, m.order_id AS order_id_dst1, {_props('m', 'dst1')} "
-            "FROM d1 JOIN apps n ON n.order_id = order_id_src "
-            "JOIN apps m ON m.order_id = order_id_dst1")
-    unordered = """SELECT r.order_id AS order_id_src, r.edge_type AS edg_type_src1,
-        r.entity_value AS contact_value1, r1.edge_type AS edg_type_dst1,
-        r1.order_id AS order_id_dst1
-      FROM edges r JOIN edges r1 ON r.entity_value = r1.entity_value
-      WHERE r.order_id IN ({}) AND NOT (r.order_id = r1.order_id AND r.edge_type = r1.edge_type)"""
     start, end = q.RANGE
+    early = f"CAST({{}}.apply_date AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"
+    hop1 = """n.edge_type AS edg_type_src1, n.entity_value AS contact_value1,
+            m.edge_type AS edg_type_dst1"""
+    step = "JOIN ends m ON n.entity_value = m.entity_value AND n.apply_date > m.apply_date"
     return {
-        "degree1_paths": _with(["d1"], full),
-        "degree1_paths_unordered": _with(
-            ["edges", "contracts"], unordered.format("SELECT order_id FROM contracts")),
-        "smoke_export": _with(["edges", "contracts"], unordered.format(
-            "SELECT order_id FROM contracts ORDER BY order_id LIMIT 10")),
-        "degree1_capped": _with(["d1"], f"""SELECT order_id_src, edg_type_src1, contact_value1,
-            edg_type_dst1, order_id_dst1, {_day('apply_date', 'apply_date_dst1')}
-          FROM (SELECT d1.*, m.apply_date, row_number() OVER (PARTITION BY order_id_src
-            ORDER BY m.apply_date DESC, order_id_dst1, edg_type_src1, contact_value1,
-              edg_type_dst1) AS rn
-            FROM d1 JOIN apps m ON m.order_id = order_id_dst1) WHERE rn <= {q.CAP}"""),
-        "degree1_backfill_range": _with(["d1"], f"""SELECT order_id_src,
-            {_day('n.apply_date', 'apply_date_src')}, edg_type_src1, contact_value1,
-            edg_type_dst1, order_id_dst1, {_day('m.apply_date', 'apply_date_dst1')}
-          FROM d1 JOIN apps n ON n.order_id = order_id_src
-          JOIN apps m ON m.order_id = order_id_dst1
-          WHERE CAST(n.apply_date AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'"""),
+        "degree1_paths": _with(["ends"], f"""SELECT n.order_id AS order_id_src,
+            {_props('n', 'src')}, {hop1}, m.order_id AS order_id_dst1, {_props('m', 'dst1')}
+          FROM ends n {step} ORDER BY ALL"""),
+        "degree1_paths_unordered": _with(["edges"], """SELECT r.order_id AS order_id_src,
+            r.edge_type AS edg_type_src1, r.entity_value AS contact_value1,
+            r1.edge_type AS edg_type_dst1, r1.order_id AS order_id_dst1
+          FROM edges r JOIN edges r1 ON r.entity_value = r1.entity_value
+            AND (r.order_id <> r1.order_id OR r.edge_type <> r1.edge_type) ORDER BY ALL"""),
+        "degree1_backfill_range": _with(["ends"], f"""SELECT n.order_id AS order_id_src,
+            {_day('n.apply_date', 'apply_date_src')}, {hop1}, m.order_id AS order_id_dst1,
+            {_day('m.apply_date', 'apply_date_dst1')}
+          FROM ends n {step} WHERE {early.format('n')} ORDER BY ALL"""),
         "monthly_orders": _with(["apps"], """SELECT CAST(year(apply_date) AS INTEGER) AS year,
             CAST(month(apply_date) AS INTEGER) AS month, count(*) AS orders FROM apps
           WHERE apply_date >= DATE '1996-01-01' AND apply_date < DATE '1998-01-01'
           GROUP BY 1, 2"""),
-        "degree2_paths": _with(["d2"], f"""SELECT order_id_src, edg_type_src1, contact_value1,
-            edg_type_dst1, order_id_dst1, edg_type_src2, contact_value2, edg_type_dst2,
-            order_id_dst2, {_day('m2.apply_date', 'apply_date_dst2')},
-            m2.cert_no AS cert_no_dst2
-          FROM d2 JOIN apps m2 ON m2.order_id = order_id_dst2"""),
+        "degree2_paths": _with(["ends"], f"""SELECT p.order_id_src, p.edg_type_src1,
+            p.contact_value1, p.edg_type_dst1, p.order_id_dst1, r.edge_type AS edg_type_src2,
+            r.entity_value AS contact_value2, f.edge_type AS edg_type_dst2,
+            f.order_id AS order_id_dst2, {_day('f.apply_date', 'apply_date_dst2')},
+            f.cert_no AS cert_no_dst2
+          FROM one p JOIN edges r ON r.order_id = p.order_id_dst1
+          JOIN ends f ON f.entity_value = r.entity_value AND f.apply_date < p.at_dst1
+          WHERE f.order_id <> p.order_id_src AND f.cert_no <> p.cert_src
+            AND NOT (p.edg_type_dst1 = r.edge_type AND p.contact_value1 = r.entity_value)
+          ORDER BY ALL""", {"one": f"""SELECT n.order_id AS order_id_src, n.cert_no AS cert_src,
+            {hop1}, m.order_id AS order_id_dst1, m.apply_date AS at_dst1
+          FROM ends n {step} WHERE {early.format('n')}"""}),
     }
 
 
@@ -328,10 +348,9 @@ def _feature_statements() -> dict[str, str]:
     out["degree1_pairs"] = _with(["p1"], f"""SELECT order_id_src, edge1, {dates},
         s.cert_no AS cert_no_src, order_id_dst, {_day('d.apply_date', 'apply_date_dst')}
       FROM p1 JOIN apps s ON s.order_id = order_id_src JOIN apps d ON d.order_id = order_id_dst""")
-    out["degree2_pairs"] = _with(["p2"], f"""SELECT order_id_src, edge1, edge2,
-        count(*) AS pairs, min({DAY.format('d.apply_date')}) AS first_date,
-        CAST(sum(CAST(order_id_dst AS BIGINT)) AS BIGINT) AS id_sum
-      FROM p2 JOIN apps d ON d.order_id = order_id_dst GROUP BY 1, 2, 3""")
+    out["degree2_pairs"] = _with(["p2"], f"""SELECT order_id_src, edge1, edge2, {dates},
+        s.cert_no AS cert_no_src, order_id_dst, {_day('d.apply_date', 'apply_date_dst')}
+      FROM p2 JOIN apps s ON s.order_id = order_id_src JOIN apps d ON d.order_id = order_id_dst""")
     marks = ", ".join(
         f"CAST(EXISTS (SELECT 1 FROM black b WHERE b.type = '{k}' AND b.content = a."
         f"{'order_id_dst' if k == BLACK_CONTRACT else c}) AS INTEGER) AS {k}"
@@ -346,11 +365,16 @@ def _feature_statements() -> dict[str, str]:
     out["degree1_wide"] = _with(["black", "ap1", "ap1all"],
                                 _wide_sql("long1", degree1_wide_titles()), {"long1": LONG1})
     out["degree2_wide"] = _with(["black", "ap2", "ap2all"],
-                                _wide_sql("long2", q.wide2_titles()), {"long2": LONG2})
+                                _wide_sql("long2", TITLES2), {"long2": LONG2})
+    numbers = ", ".join(f"('{t}', {i})" for i, t in enumerate(TITLES2))
     out["degree2_sparse"] = _with(
         ["black", "ap2", "ap2all"], """SELECT order_id_src,
-        CAST(count(*) FILTER (WHERE cnt <> 0) AS INTEGER) AS nonzero,
-        CAST(sum(cnt) AS DOUBLE) AS total FROM long2 GROUP BY order_id_src""", {"long2": LONG2})
+        coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) FILTER (WHERE cnt <> 0), '')
+          AS indices,
+        coalesce(string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY idx) FILTER (WHERE cnt <> 0), '')
+          AS values
+      FROM long2 JOIN numbers USING (title) GROUP BY order_id_src""",
+        {"long2": LONG2, "numbers": f"SELECT * FROM (VALUES {numbers}) AS t(title, idx)"})
     out["feature_counts"] = _with(["d1c", "d2"], """SELECT 'degree2' AS table_name,
         count(DISTINCT order_id_src) AS n FROM d2
       UNION ALL SELECT 'degree1', count(DISTINCT order_id_src) FROM d1c""")
@@ -372,26 +396,32 @@ def _label_sql(overdue: bool, raw_time: bool = False) -> str:
 def _training_statements() -> dict[str, str]:
     labels = {"labels": _label_sql(True)}
     cols1 = degree1_wide_titles()
-    cols2 = [m for m in INCLUDE_METRICS if m in CONTRACT_GROUP + ENTITY_GROUP]
-    training = _with(
-        ["black", "ap1", "ap1all", "ap2all"],
-        "SELECT label, order_id, apply_time, "
-        + ", ".join(f"coalesce(o.{c}, 0) AS degree1_{c}" for c in cols1) + ", "
-        + ", ".join(f"coalesce(t.{c}, 0) AS {c}" for c in cols2)
-        + " FROM labels l LEFT JOIN one o ON o.order_id_src = l.order_id"
-          " LEFT JOIN two t ON t.order_id_src = l.order_id"
-          " WHERE l.order_id IN (SELECT order_id FROM contracts)",
-        {**labels, "long1": LONG1, "one": _wide_sql("long1", cols1),
-         "two": _feature_sql("ap2all", [], [(CONTRACT_GROUP, False), (ENTITY_GROUP, False)]),
-         })
+    parts = {**labels, "long1": LONG1, "one": _wide_sql("long1", cols1), "long2": LONG2,
+             "two": _wide_sql("long2", TITLES2)}
+    tables = ["black", "ap1", "ap1all", "ap2", "ap2all"]
+    names = {f"degree1_{c}": f"o.{c}" for c in cols1} | {c: f"t.{c}" for c in TITLES2}
+    rows = (" FROM labels l LEFT JOIN one o ON o.order_id_src = l.order_id"
+            " LEFT JOIN two t ON t.order_id_src = l.order_id"
+            " WHERE l.order_id IN (SELECT order_id FROM contracts)")
+    training = _with(tables, "SELECT label, l.order_id, apply_time, " + ", ".join(
+        f"coalesce({c}, 0) AS {n}" for n, c in names.items()) + rows, parts)
+    # Opened to (column, value) with the missing ones counted by difference.
+    values = ("SELECT l.order_id, 'degree1_' || title AS column_name, cnt FROM labels l"
+              " JOIN long1 ON order_id_src = l.order_id WHERE l.order_id IN"
+              f" (SELECT order_id FROM contracts) AND title IN ({_quoted(cols1)})"
+              " UNION ALL SELECT l.order_id, title, cnt FROM labels l JOIN long2"
+              " ON order_id_src = l.order_id WHERE l.order_id IN (SELECT order_id FROM contracts)")
+    listed = "SELECT unnest([" + _quoted(names) + "]) AS column_name"
     profile = _with(
-        ["black", "ap1", "ap1all"], "\n UNION ALL ".join(
-            f"""SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean,
-        round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS min,
-        CAST(max({c}) AS DOUBLE) AS max,
-        round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 4) AS missing_rate FROM wide"""
-            for c in q.PROFILED),
-        {"long1": LONG1, "wide": _wide_sql("long1", list(q.PROFILED))})
+        tables, """SELECT c.column_name, count(cnt) AS count, round(avg(cnt), 4) AS mean,
+        round(stddev_samp(cnt), 4) AS stddev, CAST(min(cnt) AS DOUBLE) AS min,
+        CAST(max(cnt) AS DOUBLE) AS max,
+        round(1 - count(cnt) / any_value(n_rows), 4) AS missing_rate
+      FROM total, listed c LEFT JOIN vals v ON v.column_name = c.column_name
+      GROUP BY c.column_name""",
+        {**labels, "long1": LONG1, "long2": LONG2, "vals": values, "listed": listed,
+         "total": """SELECT count(*) AS n_rows FROM labels l
+            WHERE l.order_id IN (SELECT order_id FROM contracts)"""})
     key = f"md5('{q.SEED}:' || order_id)"
     share = f"{int(0.7 * 16 ** 8):08x}"
     return {
@@ -403,11 +433,26 @@ def _training_statements() -> dict[str, str]:
           UNION ALL (SELECT * FROM labels WHERE label = 0 ORDER BY {key}, order_id
             LIMIT {q.SAMPLE_GOOD})""", labels),
         "large_sample": _with(["fraud"], f"""SELECT * FROM labels ORDER BY {key}, order_id
-            LIMIT {q.sampling.TOP_K_ROWS + 1}""", labels),
+            LIMIT {q.LARGE_SAMPLE}""", labels),
         "out_of_time_split": _with(["fraud"], f"""SELECT *, CASE
             WHEN substr(apply_time, 1, 7) <= '{q.TRAIN_TO}' THEN 'train' ELSE 'valid' END AS part
           FROM labels WHERE substr(apply_time, 1, 7) <= '{q.TRAIN_TO}'
             OR substr(apply_time, 1, 7) BETWEEN '{q.VALID_FROM}' AND '{q.VALID_TO}'""", labels),
+        "person_split": _with(["fraud", "contracts"], f"""SELECT cert_no, label,
+            CASE WHEN substr(md5('{q.SEED}:' || cert_no), 1, 8) < '{share}' THEN 'train'
+              ELSE 'test' END AS part
+          FROM (SELECT cert_no, CAST(1 AS INTEGER) AS label FROM bad UNION ALL
+            (SELECT cert_no, CAST(0 AS INTEGER) FROM good
+              ORDER BY md5('{q.SEED}:' || cert_no), cert_no LIMIT {q.SAMPLE_GOOD}))""",
+            {"bad": """SELECT DISTINCT cert_no FROM apps
+                WHERE order_id IN (SELECT order_id FROM fraud)""",
+             "good": """SELECT DISTINCT cert_no FROM apps
+                WHERE order_id IN (SELECT order_id FROM contracts)
+                  AND cert_no NOT IN (SELECT cert_no FROM bad)"""}),
+        "gbt_scores": _with(["fraud", "contracts"], f"""SELECT order_id, apply_time, label,
+            'valid' AS part, true AS scored FROM labels
+          WHERE label <> 2 AND order_id IN (SELECT order_id FROM contracts)
+            AND substr(apply_time, 1, 7) BETWEEN '{q.VALID_FROM}' AND '{q.VALID_TO}'""", labels),
         "random_split": _with(["fraud"], f"""SELECT *, CASE WHEN substr({key}, 1, 8) < '{share}'
             THEN 'train' ELSE 'test' END AS part FROM labels""", labels),
     }

@@ -11,22 +11,16 @@ from riskgraph.operators import (evaluate, features as feat, graph, labels, mode
                                  paths, profile, reshape, sampling)
 from riskgraph.plans import fixtures as fx
 from riskgraph.schemas import (ALL_EDGES, BLACK_GROUP, CONTRACT_GROUP, ENTITY_GROUP,
-                               INCLUDE_METRICS, SLICE_GROUP, group_columns)
+                               SLICE_GROUP, group_columns, title_suffixes, titles)
 from riskgraph.sources import readers
 from riskgraph.sources.staging import stage
 
 TRAIN_TO, VALID_FROM, VALID_TO = "1999-12", "2000-01", "2001-08"
 SAMPLE_GOOD = 1000
 SEED = 11
-CAP = 20
+LARGE_SAMPLE = 5000
 LABEL_YEAR = 1996
 RANGE = (date(1996, 1, 1), date(1996, 12, 31))
-# Degree-2 columns of the wide query: all-edge metrics and three edge pairs.
-WIDE2_SUFFIXES = ("", "_idcard_idcard", "_bankcard_myphone", "_companyphone_contact")
-
-PROFILED = ("order_cnt", "cid_cnt1", "cid_cnt7", "mobile_cnt30", "black_cid_cnt",
-            "order_cnt_exception_self", "order_cnt_bankcard", "cid_cnt_companyphone",
-            "mobile_cnt7_exception_self_bankcard", "history_overdue3_contract_cnt")
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -85,29 +79,21 @@ def _graph(spark, sf) -> graph.Graph:
 
 def degree1_paths(spark, sf):
     g = _graph(spark, sf)
-    return as_text(paths.degree1(g.edges, blocks=g.blocks))
+    return as_text(paths.degree1(g.edges, g.blocks))
 
 
 def degree1_paths_unordered(spark, sf):
     g = _graph(spark, sf)
-    return paths.degree1_unordered(g.edges, fx.contracts(g.applications))
-
-
-def smoke_export(spark, sf):
-    g = _graph(spark, sf)
-    return paths.degree1_unordered(g.edges, fx.contracts(g.applications), limit=10)
+    return paths.degree1_unordered(g.edges, g.blocks)
 
 
-def degree1_capped(spark, sf):
-    return as_text(paths.degree1_capped(_graph(spark, sf).edges, CAP)).select(
-        "order_id_src", "edg_type_src1", "contact_value1", "edg_type_dst1", "order_id_dst1",
-        "apply_date_dst1")
+def _days(g):
+    return readers.scan_days(fx.order_table(g.applications), *RANGE)
 
 
 def degree1_backfill_range(spark, sf):
     g = _graph(spark, sf)
-    days = readers.scan_days(fx.order_table(g.applications), *RANGE)
-    return as_text(paths.degree1(g.edges, days, g.blocks)).select(
+    return as_text(paths.degree1(g.edges, g.blocks, _days(g))).select(
         "order_id_src", "apply_date_src", "edg_type_src1", "contact_value1", "edg_type_dst1",
         "order_id_dst1", "apply_date_dst1")
 
@@ -120,22 +106,23 @@ def monthly_orders(spark, sf):
 
 
 def degree2_paths(spark, sf):
+    """Degree-2 export of all orders of a date range."""
     g = _graph(spark, sf)
     cols = ["order_id_src"] + paths.HOP1 + ["order_id_dst1"] + paths.HOP2 + [
         "order_id_dst2", "apply_date_dst2", "cert_no_dst2"]
-    return as_text(paths.degree2(g.edges, fx.contracts(g.applications), g.blocks).select(*cols))
+    return as_text(paths.degree2(g.edges, g.blocks, _days(g)).select(*cols))
 
 
 # ---------------------------------------------------------------------------- features
 def _pairs(spark, sf, degree, g=None):
     g = g or _graph(spark, sf)
     make = neighbours.degree1_pairs if degree == 1 else neighbours.degree2_pairs
-    return g.applications, make(g.edges, fx.contracts(g.applications), g.blocks)
+    return g.applications, make(g.edges, g.blocks, fx.contracts(g.applications))
 
 
-def feature_frame(spark, sf, degree, metrics=None, g=None):
+def feature_frame(spark, sf, degree, metrics=None, g=None, prepared=None):
     apps, pairs = _pairs(spark, sf, degree, g)
-    prepared = neighbours.prepare_attributes(fx.attributes(apps), fx.blacklist(apps))
+    prepared = prepared or neighbours.prepare_attributes(fx.attributes(apps), fx.blacklist(apps))
     return feat.features(pairs, prepared, degree, metrics)
 
 
@@ -146,10 +133,7 @@ def degree1_pairs(spark, sf):
 
 def degree2_pairs(spark, sf):
     _, pairs = _pairs(spark, sf, 2)
-    return as_text(neighbours.pairs_by_edge(pairs, 2)).groupBy(
-        "order_id_src", "edge1", "edge2").agg(
-            F.count(F.lit(1)).alias("pairs"), F.min("apply_date_dst").alias("first_date"),
-            F.sum(F.col("order_id_dst").cast("bigint")).alias("id_sum"))
+    return as_text(neighbours.pairs_by_edge(pairs, 2))
 
 
 def degree1_attributes(spark, sf):
@@ -177,25 +161,33 @@ def features_long_by_title(spark, sf):
     return feat.to_long(feature_frame(spark, sf, 1), 1)
 
 
-def degree1_wide(spark, sf):
-    return reshape.to_wide(feat.to_long(feature_frame(spark, sf, 1), 1),
-                           reshape.degree1_wide_titles())
+def _metrics_of(columns: list[str], degree: int) -> tuple:
+    """Metrics that some of the titles need."""
+    wanted = set(columns)
+    return tuple(m for m in feat.all_metrics(degree)
+                 if any(m + x in wanted for x in title_suffixes(degree)))
+
 
+def _wide(spark, sf, degree, columns, g=None, prepared=None):
+    frame = feature_frame(spark, sf, degree, _metrics_of(columns, degree), g, prepared)
+    return reshape.to_wide(frame, degree, columns)
 
-def wide2_titles() -> list[str]:
-    return [m + s for s in WIDE2_SUFFIXES for m in INCLUDE_METRICS]
+
+def degree1_wide(spark, sf):
+    return _wide(spark, sf, 1, reshape.degree1_wide_titles())
 
 
 def degree2_wide(spark, sf):
-    return reshape.to_wide(feat.to_long(feature_frame(spark, sf, 2), 2), wide2_titles())
+    return _wide(spark, sf, 2, titles(2))
 
 
 def degree2_sparse(spark, sf):
-    long = feat.to_long(feature_frame(spark, sf, 2), 2)
-    packed = reshape.to_sparse(long, 2)
-    from pyspark.ml.functions import vector_to_array
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
-    return packed.select("order_id_src", "nonzero", total.alias("total"))
+    packed = reshape.to_sparse(feat.to_long(feature_frame(spark, sf, 2), 2), 2)
+
+    def text(c):
+        return F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+
+    return packed.select("order_id_src", text("indices"), text("values"))
 
 
 def feature_counts(spark, sf):
@@ -223,25 +215,45 @@ def label_v2(spark, sf):
     return as_text(_labels(spark, sf, overdue_is_bad=False, year="performance"))
 
 
+def _contract_labels(spark, sf, apps):
+    return _labels(spark, sf, apps).join(fx.contracts(apps), "order_id", "left_semi")
+
+
+def _attributes(apps):
+    return stage(neighbours.prepare_attributes(fx.attributes(apps), fx.blacklist(apps)),
+                 "attributes")
+
+
 def _training(spark, sf):
+    """Labelled contract orders with all degree-1 and degree-2 columns; attributes are shared."""
     g = _graph(spark, sf)
-    one = reshape.to_wide(feat.to_long(feature_frame(spark, sf, 1, g=g), 1),
-                          reshape.degree1_wide_titles())
-    two = feature_frame(spark, sf, 2, CONTRACT_GROUP + ENTITY_GROUP, g).where(
-        F.col("edge1") == ALL_EDGES).drop("edge1", "edge2")
-    contract_labels = _labels(spark, sf, g.applications).join(
-        fx.contracts(g.applications), "order_id", "left_semi")
-    return labels.training_table(contract_labels, one, two)
+    prepared = _attributes(g.applications)
+    one = stage(_wide(spark, sf, 1, reshape.degree1_wide_titles(), g, prepared), "degree1")
+    two = stage(_wide(spark, sf, 2, titles(2), g, prepared), "degree2")
+    found = stage(_contract_labels(spark, sf, g.applications), "labels")
+    return labels.training_table(found, one, two)
 
 
 def training_table(spark, sf):
     table = _training(spark, sf)
-    return as_text(table).na.fill(0, model.feature_columns(table))
+    return as_text(table.select("label", "order_id", "apply_time", *[
+        F.coalesce(c, F.lit(0)).alias(c) for c in model.feature_columns(table)]))
 
 
 def column_profile(spark, sf):
-    wide = reshape.to_wide(feat.to_long(feature_frame(spark, sf, 1), 1), list(PROFILED))
-    return rounded(profile.column_profile(wide, list(PROFILED)), 4)
+    """Every feature column of the training table."""
+    g = _graph(spark, sf)
+    prepared = _attributes(g.applications)
+    rows = stage(_contract_labels(spark, sf, g.applications), "labels")
+    one, two = reshape.degree1_wide_titles(), titles(2)
+    first, second = (feat.to_long(feature_frame(spark, sf, d, _metrics_of(t, d), g, prepared), d)
+                     for d, t in ((1, one), (2, two)))
+    first = first.where(F.col("title").isin(one)).withColumn(
+        "title", F.concat(F.lit("degree1_"), "title"))
+    long = first.unionByName(second).join(
+        rows, F.col("order_id_src") == F.col("order_id"), "left_semi")
+    columns = [f"degree1_{t}" for t in one] + two
+    return rounded(profile.long_profile(long, columns, rows), 4)
 
 
 def balanced_sample(spark, sf):
@@ -249,9 +261,7 @@ def balanced_sample(spark, sf):
 
 
 def large_sample(spark, sf):
-    """Half of all labelled orders by exact count, through the hash histogram."""
-    data = _labels(spark, sf)
-    return as_text(sampling.random_rows(data, sampling.TOP_K_ROWS + 1, "order_id", SEED))
+    return as_text(sampling.random_rows(_labels(spark, sf), LARGE_SAMPLE, "order_id", SEED))
 
 
 def out_of_time_split(spark, sf):
@@ -262,12 +272,35 @@ def random_split(spark, sf):
     return as_text(sampling.random_split(_labels(spark, sf), 0.7, seed=SEED))
 
 
-def gbt_scores(spark, sf):
-    table = stage(_training(spark, sf).where(F.col("label") != 2), "training")
+def scored_months(spark, sf) -> DataFrame:
+    """The model chain: all bad and some good orders of the early months train the model, and the
+    orders of the later months get its score."""
+    table = stage(model.vectors(_training(spark, sf)), "training").where("label <> 2")
     data = sampling.out_of_time(table, TRAIN_TO, VALID_FROM, VALID_TO)
-    skip = model.ID_COLUMNS + ("part",)
-    fitted = model.train(data.where(F.col("part") == "train"), seed=SEED, skip=skip)
-    return as_text(model.score(fitted, data.where(F.col("part") == "valid"), skip))
+    train = sampling.balanced_sample(data.where(F.col("part") == "train"), SAMPLE_GOOD, seed=SEED)
+    fitted = model.train(train, seed=SEED)
+    return model.score(fitted, data.where(F.col("part") == "valid"), model.ID_COLUMNS + ("part",))
+
+
+def gbt_scores(spark, sf):
+    """Scored orders of the later months; the score itself is told only to be a number here."""
+    rows = scored_months(spark, sf)
+    return as_text(rows.select("order_id", "apply_time", F.col("label").cast("int").alias("label"),
+                               "part", (F.col("score").between(-1, 2)).alias("scored")))
+
+
+def model_metrics(spark, sf):
+    """Areas and mean squared error of the model's own scores on the later months."""
+    return _summary(stage(scored_months(spark, sf), "scores"))
+
+
+def person_split(spark, sf):
+    """Person-level run: all bad persons and some good ones, split 0.7 to 0.3."""
+    good, black = fx.person_samples(fx.applications(spark, sf))
+    persons = good.distinct().withColumn("label", F.lit(0)).unionByName(
+        black.distinct().withColumn("label", F.lit(1)))
+    sample = sampling.balanced_sample(persons, SAMPLE_GOOD, "cert_no", SEED)
+    return sampling.random_split(sample, 0.7, "cert_no", SEED)
 
 
 # -------------------------------------------------------------------------- evaluation
@@ -287,8 +320,7 @@ def roc_curve(spark, sf):
     return rounded(evaluate.roc_curve(_cumulative(spark, sf)))
 
 
-def auc_summary(spark, sf):
-    scored = fx.scored(fx.applications(spark, sf))
+def _summary(scored):
     areas = evaluate.areas(evaluate.cumulative(evaluate.score_counts(scored)))
     names = ("area_under_pr", "area_under_roc")
     long = areas.select(F.explode(F.array(*[
@@ -298,16 +330,20 @@ def auc_summary(spark, sf):
     return rounded(long.select("r.*").unionByName(mse))
 
 
+def auc_summary(spark, sf):
+    return _summary(fx.scored(fx.applications(spark, sf)))
+
+
 QUERIES = {
     f.__name__: f for f in (
         clean_applications, clean_company_phone, unpack_person_sets, application_edges,
         entity_nodes, apply_nodes, person_entities, degree1_paths, degree1_paths_unordered,
-        smoke_export, degree1_capped, degree1_backfill_range, monthly_orders, degree2_paths,
+        degree1_backfill_range, monthly_orders, degree2_paths,
         degree1_pairs, degree2_pairs, degree1_attributes, degree1_all_edges, degree2_all_edges,
         features_long_by_title, degree1_wide, degree2_wide, degree2_sparse, feature_counts,
         label_v1, label_v2, training_table, column_profile, balanced_sample, large_sample,
-        out_of_time_split, random_split, gbt_scores, threshold_metrics, pr_curve, roc_curve,
-        auc_summary)
+        out_of_time_split, random_split, person_split, gbt_scores, model_metrics,
+        threshold_metrics, pr_curve, roc_curve, auc_summary)
 }
 GROUP_QUERIES = {
     "degree1_contract_metrics": (1, CONTRACT_GROUP, False),

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.operators.graph import person_sample
 from riskgraph.schemas import APPLICATION_FIELDS, PERSON_FIELDS
 
 TIMESTAMPS = ("apply_date",)
 INTEGERS = ("current_due_day", "history_due_day")
+# White space of any script, no-break blanks included, is no part of a field.
+BLANKS = r"(?U)^\s+|\s+$"
 
 
 def _read_fields(spark: SparkSession, path: str, fields: tuple) -> tuple[DataFrame, DataFrame]:
@@ -27,43 +29,61 @@ def _read_fields(spark: SparkSession, path: str, fields: tuple) -> tuple[DataFra
              .withColumn("part", F.split("line", ",")))
     complete = F.size("part") >= len(fields)
     rows = lines.where(complete).select(
-        *[F.trim(F.col("part")[i]).alias(n) for i, n in enumerate(fields)],
-        "source_file", "source_pos")
+        *[F.regexp_replace(F.col("part")[i], BLANKS, "").alias(n) for i, n in enumerate(fields)],
+        "source_file", "source_pos", "line")
     rejects = lines.where(~complete).select("source_file", "source_pos", "line")
     return rows, rejects
 
 
 def read_applications(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Application CSV tree to (typed rows, rejects). Empty text stays '', bad numbers are null."""
+    """Application CSV tree to (typed rows, rejects). Empty text stays '', bad numbers are null.
+
+    An application without a readable date can be linked with nothing, so its line is a reject.
+    """
     rows, rejects = _read_fields(spark, path, APPLICATION_FIELDS)
     typed = rows.withColumns(
         {**{c: F.expr(f"try_cast({c} as timestamp)") for c in TIMESTAMPS},
          **{c: F.expr(f"try_cast({c} as int)") for c in INTEGERS}})
-    return typed, rejects
+    readable = F.lit(True)
+    for c in TIMESTAMPS:
+        readable = readable & F.col(c).isNotNull()
+    undated = typed.where(~readable).select("source_file", "source_pos", "line")
+    return typed.where(readable).drop("line"), rejects.unionByName(undated)
 
 
 def read_person_sets(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Person-set CSV tree to (rows, rejects); the packed sets stay text."""
-    return _read_fields(spark, path, PERSON_FIELDS)
+    rows, rejects = _read_fields(spark, path, PERSON_FIELDS)
+    return rows.drop("line"), rejects
 
 
-def scan_days(orders: DataFrame, start: date, end: date) -> DataFrame:
-    """Orders of an inclusive day range of a table partitioned by year, month, day.
+def _from(parts: list[tuple[str, int]], strict: bool = False) -> Column:
+    """The date of the partition columns is at or after the given one, told by plain comparisons
+    of the columns, by which a metastore and Spark's file listing leave out folders."""
+    name, value = parts[0]
+    column = F.col(name).cast("int")
+    if len(parts) == 1:
+        return column > value if strict else column >= value
+    return (column > value) | ((column == value) & _from(parts[1:], strict))
 
-    The range is compared on the partition columns themselves, so only matching folders are
-    listed and read.
-    """
-    key = (F.col("year").cast("int") * 10000 + F.col("month").cast("int") * 100
-           + F.col("day").cast("int"))
-    low, high = (d.year * 10000 + d.month * 100 + d.day for d in (start, end))
-    return orders.where(key.between(low, high))
+
+def _parts(day: date, names: tuple[str, ...]) -> list[tuple[str, int]]:
+    return [(n, getattr(day, n)) for n in names]
+
+
+def scan_days(orders: DataFrame, start: date, end: date) -> DataFrame:
+    """Orders of an inclusive day range of a table partitioned by year, month, day."""
+    names = ("year", "month", "day")
+    years = F.col("year").between(start.year, end.year)
+    return orders.where(years & _from(_parts(start, names))
+                        & ~_from(_parts(end, names), strict=True))
 
 
 def scan_months(orders: DataFrame, start: date, end: date) -> DataFrame:
     """Orders of a month range: first month included, last month left out."""
-    key = F.col("year").cast("int") * 100 + F.col("month").cast("int")
-    return orders.where((key >= start.year * 100 + start.month)
-                        & (key < end.year * 100 + end.month))
+    names = ("year", "month")
+    years = F.col("year").between(start.year, end.year)
+    return orders.where(years & _from(_parts(start, names)) & ~_from(_parts(end, names)))
 
 
 def read_person_sample(spark: SparkSession, good_table: str, black_table: str) -> DataFrame:

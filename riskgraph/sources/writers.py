@@ -5,24 +5,34 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from riskgraph.functions.joins import salted_lookup
+
+
+# Rows of one partition folder that go into one file.
+FILE_ROWS = 2_000_000
+
+
+def _by_folder(rows: DataFrame, keys: list[str], spread: str, file_rows: int) -> DataFrame:
+    """Rows dealt out by folder and, within large folders, by a hash of ``spread``, so that a file
+    holds about ``file_rows`` rows. Sizes are counted map-side, one row per folder."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("files"))
+    dealt = salted_lookup(rows, sizes, keys, F.col(spread))
+    part = F.pmod(F.xxhash64(spread), F.col("files")).alias("part")
+    return dealt.repartition(*keys, part).drop("files")
+
 
 def write_paths(paths: DataFrame, folder: str, at: str = "apply_date_src",
-                files_per_day: int = 8) -> None:
-    """Path table partitioned by year, month and day of the source order.
-
-    Each day is spread over a few files by source order, so a busy day is not one task.
-    """
-    spread = F.pmod(F.xxhash64("order_id_src"), F.lit(files_per_day))
-    (paths.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
-     .repartition("year", "month", "day", spread)
+                file_rows: int = FILE_ROWS) -> None:
+    """Path table partitioned by year, month and day of the source order."""
+    dated = paths.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
+    (_by_folder(dated, ["year", "month", "day"], "order_id_src", file_rows)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day").parquet(folder))
 
 
-def write_features_by_title(long: DataFrame, folder: str, files_per_title: int = 1) -> None:
+def write_features_by_title(long: DataFrame, folder: str, file_rows: int = FILE_ROWS) -> None:
     """Long features, one partition per title; only the titles present are replaced."""
-    spread = F.pmod(F.xxhash64("order_id_src"), F.lit(files_per_title))
-    (long.select("order_id_src", "cnt", "title").repartition("title", spread)
+    (_by_folder(long.select("order_id_src", "cnt", "title"), ["title"], "order_id_src", file_rows)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("title").parquet(folder))
 

@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from riskgraph.functions.joins import BLOCK_ROWS, day_blocks  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -43,5 +45,9 @@ def make_apps(spark):
     return build
 
 
+def blocks(edges, block_rows=BLOCK_ROWS):
+    return day_blocks(edges, "entity_value", "apply_date", block_rows)
+
+
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)

@@ -4,13 +4,16 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from riskgraph.operators import features, graph, neighbours, reshape
+from riskgraph.plans import oracle
 from riskgraph.schemas import INCLUDE_METRICS, titles
-from tests.conftest import SF
+from riskgraph.sources import staging
+from tests.conftest import SF, blocks
 
 CHECKED = ["clean_applications", "unpack_person_sets", "entity_nodes", "degree1_paths",
            "degree1_exclude_self_slices", "degree2_slice_metrics", "degree1_black_metrics",
            "degree1_exclude_self_contract", "features_long_by_title", "label_v2",
-           "balanced_sample", "large_sample", "auc_summary"]
+           "balanced_sample", "large_sample", "auc_summary", "degree2_wide", "degree2_sparse",
+           "degree2_pairs", "degree2_paths", "degree1_paths_unordered", "person_split"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -29,7 +32,8 @@ def test_query_matches_sql(spark, name):
 
 
 def _frame(apps, blacklist=None, metrics=None):
-    pairs = neighbours.degree1_pairs(graph.to_edges(apps))
+    edges = graph.to_edges(apps)
+    pairs = neighbours.degree1_pairs(edges, blocks(edges))
     return features.features(pairs, neighbours.prepare_attributes(apps, blacklist), 1, metrics)
 
 
@@ -73,17 +77,37 @@ def test_slices_scopes_and_wide_form(spark):
     assert frame.where("black_cid_cnt > cid_cnt").isEmpty()
     long = features.to_long(frame)
     names = [t for t in titles(1) if t in set(INCLUDE_METRICS)]
-    wide = reshape.to_wide(long.where(F.col("title").isin(names)), names + ["no_such_title"])
+    wide = reshape.to_wide(frame, 1, names + ["no_such_title"])
     assert wide.where("no_such_title is not null").isEmpty()
     back = wide.drop("no_such_title").unpivot("order_id_src", names, "title", "cnt").where(
         "cnt is not null").select("order_id_src", "cnt", "title")
     assert back.exceptAll(long.where(F.col("title").isin(names))).isEmpty()
-    sparse = reshape.to_sparse(long, 1).select("order_id_src", "nonzero")
-    direct = long.groupBy("order_id_src").agg(
-        F.sum(F.when(F.col("cnt") != 0, 1).otherwise(0)).cast("int").alias("nonzero"))
-    assert sparse.exceptAll(direct).isEmpty() and sparse.count() == frame.count()
+    sparse = reshape.to_sparse(long, 1)
+    order = titles(1)
+    opened = sparse.select("order_id_src", F.posexplode("indices").alias("k", "idx"),
+                           "values").select(
+        "order_id_src", F.get("values", F.col("k")).alias("cnt"),
+        F.get(F.array(*map(F.lit, order)), F.col("idx")).alias("title"))
+    assert opened.exceptAll(long.where("cnt <> 0")).isEmpty()
+    assert opened.count() == long.where("cnt <> 0").count() and sparse.count() == frame.count()
+
+
+def test_counting_shuffles_twice_and_combines_first(spark, make_apps):
+    """One source with many neighbours of one product: partial sums before each exchange."""
+    apps = make_apps(*[(str(i), 1, dict(mobile="5", cert_no=str(i))) for i in range(300)],
+                     ("900", 2, dict(mobile="5", cert_no="z")))
+    edges = graph.to_edges(apps)
+    pairs = staging.stage(neighbours.degree1_pairs(edges, blocks(edges)), "pairs")
+    prepared = staging.stage(neighbours.prepare_attributes(apps), "prepared")
+    frame = features.features(pairs, prepared, 1)
+    row = frame.where("order_id_src = '900' and edge1 = 'MYPHONE'").first()
+    assert (row.order_cnt, row.cid_cnt, row.product_cnt, row.cid_cnt1) == (300, 301, 1, 301)
+    plan = frame._jdf.queryExecution().sparkPlan().toString()
+    counted = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert counted.count("Exchange hashpartitioning") <= 4 and "partial_sum" in plan
 
 
 def test_title_lists():
     assert len(titles(2)) == 3835 and len(titles(1)) == 118 * 9
     assert len(reshape.degree1_wide_titles()) == 309
+    assert oracle.TITLES2 == titles(2)

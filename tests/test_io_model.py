@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskgraph.operators import evaluate, labels, model, paths, profile, sampling, graph
 from riskgraph.schemas import APPLICATION_FIELDS
 from riskgraph.sources import readers, writers
-from tests.conftest import rows
+from tests.conftest import blocks, rows
 
 
 def test_read_applications(spark, tmp_path):
@@ -21,6 +21,14 @@ def test_read_applications(spark, tmp_path):
     assert str(row.apply_date) == "2020-01-02 03:04:05"
     assert bad.first().line == "too,short" and bad.first().source_file.endswith("a.csv")
     assert graph.clean_applications(good).first().order_id == "v0"
+    odd = ["x"] * len(APPLICATION_FIELDS)
+    odd[0], odd[5], odd[11] = "\u30001\t", "2020-01-02", "\t\u00a0555\u3000"
+    late = ["y"] * len(APPLICATION_FIELDS)
+    late[5] = "2020/13/44"
+    (tmp_path / "odd.csv").write_text(",".join(odd) + "\n" + ",".join(late) + "\n")
+    good, bad = readers.read_applications(spark, str(tmp_path / "odd.csv"))
+    assert [(r.order_id, r.mobile) for r in good.collect()] == [("1", "555")]
+    assert bad.first().line == ",".join(late) and bad.count() == 1
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / "a.csv").write_text("c,d,1@@2,,,,,,\nc,d\n")
     good, bad = readers.read_person_sets(spark, str(tmp_path / "p"))
@@ -38,8 +46,9 @@ def test_ranges(spark):
 
 
 def test_partitioned_writes_are_repeatable(spark, make_apps, tmp_path):
-    found = paths.degree1(graph.to_edges(make_apps(
-        ("1", 1, dict(mobile="5")), ("2", 2, dict(mobile="5")), ("3", 3, dict(mobile="5")))))
+    edges = graph.to_edges(make_apps(
+        ("1", 1, dict(mobile="5")), ("2", 2, dict(mobile="5")), ("3", 3, dict(mobile="5"))))
+    found = paths.degree1(edges, blocks(edges))
     for _ in range(2):
         writers.write_paths(found, str(tmp_path / "paths"))
     assert spark.read.parquet(str(tmp_path / "paths")).count() == 3
@@ -48,6 +57,10 @@ def test_partitioned_writes_are_repeatable(spark, make_apps, tmp_path):
     long = spark.createDataFrame([("1", 2, "a_cnt"), ("1", 3, "b_cnt")],
                                  "order_id_src string, cnt long, title string")
     writers.write_features_by_title(long, str(tmp_path / "long"))
+    many = spark.range(90).selectExpr("cast(id as string) order_id_src", "id cnt", "'t' title")
+    writers.write_features_by_title(many, str(tmp_path / "many"), file_rows=30)
+    assert len(list((tmp_path / "many" / "title=t").glob("*.parquet"))) <= 3
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 90
     writers.write_features_by_title(long.where("title = 'a_cnt'"), str(tmp_path / "long"))
     assert spark.read.parquet(str(tmp_path / "long")).count() == 2
     writers.create_table(long, "long_t")
@@ -73,13 +86,13 @@ def test_labels(spark):
     assert two == {"1": 2, "2": 0, "3": 2, "4": 2, "6": 1}
 
 
-def test_exact_random_sample(spark, monkeypatch):
+def test_exact_random_sample(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("order_id"))
-    small = sampling.random_rows(df, 700, "order_id", 3)
-    monkeypatch.setattr(sampling, "TOP_K_ROWS", 10)
-    large = sampling.random_rows(df, 700, "order_id", 3)
-    assert large.count() == 700 and large.exceptAll(small).isEmpty()
-    assert sampling.random_rows(df, 9000, "order_id", 3).count() == 5000
+    for n in (1, 700, 4999, 5000, 9000):
+        top = df.orderBy(sampling.hash_key("order_id", 3), "order_id").limit(n)
+        got = sampling.random_rows(df, n, "order_id", 3)
+        assert got.count() == min(n, 5000) and got.exceptAll(top).isEmpty()
+    assert sampling.random_rows(df.limit(0), 3, "order_id", 3).count() == 0
     share = sampling.random_split(df).where("part = 'train'").count() / 5000
     assert 0.66 < share < 0.74
 
@@ -108,10 +121,15 @@ def test_profile_and_model(spark, tmp_path):
         F.when(F.col("id") > 5, F.col("id") % 7).alias("noise"), F.lit("text").alias("text"))
     stat = {r.column_name: r for r in profile.column_profile(df, ["noise", "good"]).collect()}
     assert stat["noise"]["count"] == 594 and abs(stat["noise"]["missing_rate"] - 0.01) < 1e-9
+    long = df.selectExpr("'noise' title", "noise cnt").where("cnt is not null").unionAll(
+        df.selectExpr("'good'", "good"))
+    opened = profile.long_profile(long, ["noise", "good", "never"], df)
+    assert {r.column_name: r for r in opened.collect()} | {"never": None} == stat | {"never": None}
     fitted = model.train(df, maxIter=2, maxDepth=2)
     out = model.score(fitted, df)
     assert evaluate.mean_squared_error(out).first()[0] < 0.01
-    assert list(model.describe_model(fitted)["importances"]) == ["good"]
+    assert list(model.describe_model(
+        fitted, model.feature_columns(df))["importances"]) == ["good"]
     writers.save_model(fitted, str(tmp_path / "m"))
     again = model.score(writers.load_model(str(tmp_path / "m")), df)
     assert again.exceptAll(out).isEmpty()
