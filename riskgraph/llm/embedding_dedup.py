@@ -54,7 +54,7 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 def _sort_keys(passes: int):
     @F.pandas_udf("array<bigint>")
     def keys(vectors: pd.Series) -> pd.Series:
-        out = pd.Series([None] * len(vectors), dtype=object)
+        out: list[list[int] | None] = [None] * len(vectors)
         sizes = vectors.map(len).to_numpy()
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
@@ -62,9 +62,9 @@ def _sort_keys(passes: int):
             signs = (_unit(vectors.iloc[rows]) @ turn > 0).reshape(len(rows), passes, KEY_BITS)
             packed = np.packbits(signs, axis=2).view(">u8")[..., 0]
             ordered = (packed.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-            for r, row in zip(rows, ordered):
-                out.iat[r] = row
-        return out
+            for r, row in zip(rows.tolist(), ordered.tolist()):
+                out[r] = row
+        return pd.Series(out, dtype=object)
 
     return keys
 

@@ -172,3 +172,9 @@ def test_near_duplicate_vectors(spark, vectors, monkeypatch):
 def test_passes_grow_with_the_rows():
     sizes = [emb.passes_for(n) for n in (0, 1, 64, 5_000, 500_000)]
     assert sizes[0] == sizes[2] == 1 and sizes == sorted(sizes)
+
+
+def test_few_vectors_need_one_pass(spark, vectors):
+    df = spark.createDataFrame([r for r in vectors if r[1] == 0][:40],
+                               "vec_id long, label int, embedding array<double>")
+    assert emb.near_duplicates(df).count() == 40
