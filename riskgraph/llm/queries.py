@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import (
-    decontaminate, embedding_dedup, license_scan, ngram_join, packing, secret_scan, suffix_dedup,
-    token_files, toxicity, warc,
+    decontaminate, embedding_dedup, license_scan, ngram_join, oracle, packing, secret_scan,
+    suffix_dedup, token_files, toxicity, warc,
 )
 from riskgraph.sources.staging import new_path
 
@@ -111,4 +111,4 @@ QUERIES: dict[str, Query] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracle.STATEMENTS)
