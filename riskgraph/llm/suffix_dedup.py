@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.llm.groups import in_groups
+from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import broadcast_below, stage, unstage
 
 LENGTH, GRAM = 100, 32
@@ -34,7 +35,7 @@ LENGTH, GRAM = 100, 32
 CHUNK, PLACE_BITS = 1 << 17, 20
 #: Kinds of a bucket that one task refines together; more are dealt out by identifier.
 KINDS = 1024
-#: Rows up to which buckets and documents' marks are broadcast to the texts.
+#: Rows up to which documents' units and spans are broadcast to the texts.
 BROADCAST_ROWS = 2_000_000
 
 _RNG = np.random.default_rng(100)
@@ -130,6 +131,7 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _find_units(docs: DataFrame) -> DataFrame:
     """(bucket, kind, doc_id, start, n, again): units of all documents. ``again`` marks those of
     a kind that began earlier in their document; they repeat it whatever else there is."""
+    @as_task
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = _bytes_of(batch["text"])
@@ -159,6 +161,7 @@ def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text").join(
         broadcast_below(own, BROADCAST_ROWS, "units"), "doc_id")
 
+    @as_task
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = _bytes_of(batch["text"])
@@ -199,6 +202,7 @@ def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _new_starts(strings: DataFrame) -> DataFrame:
     """(doc_id, start, places): the starts whose string begins nowhere earlier."""
+    @as_task
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         for group in in_groups(batches, ["bucket", "share"]):
@@ -232,9 +236,8 @@ def _marks(docs: DataFrame) -> DataFrame:
     once = found.where("not again")
     buckets = stage(once.groupBy("bucket").agg(F.count(F.lit(1)).alias("units")).where("units > 1")
                     .select("bucket"), "shared-buckets")
-    shared = broadcast_below(buckets, BROADCAST_ROWS)
     code = (F.col("start").cast("long") * 128 + F.col("n")).alias("code")
-    kept = stage(once.join(shared, "bucket").drop("again"), "shared-units")
+    kept = stage(once.join(buckets, "bucket").drop("again"), "shared-units")
     again = stage(found.where("again").select("doc_id", code), "units-again")
     unstage(found)
     kinds = stage(kept.groupBy("bucket", "kind").agg(
@@ -280,6 +283,7 @@ def _lists(column: pa.Array) -> Iterator[np.ndarray]:
 
 def _spans(marks: DataFrame) -> DataFrame:
     """(doc_id, spans): the removed runs of each document as pairs of int64."""
+    @as_task
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = [removed_spans(*mark).astype("<i8").tobytes() for mark in zip(
@@ -308,6 +312,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(
         broadcast_below(spans, BROADCAST_ROWS, "spans"), "doc_id", "left")
 
+    @as_task
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, bounds = _bytes_of(batch["text"])
