@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.joins import salted_lookup
+from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import stage, unstage
 
 #: Rows of a block; a cell of the pair grid holds two blocks.
@@ -103,6 +104,7 @@ def in_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.D
 
 def grouped_map(df: DataFrame, keys: list[str], order: list[str], func, schema: str) -> DataFrame:
     """``func`` on each group of ``keys`` (bounded by the caller), groups streamed in order."""
+    @as_task
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[pd.DataFrame] = []
         rows = 0

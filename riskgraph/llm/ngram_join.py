@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.joins import salted_lookup
 from riskgraph.llm.groups import components, exact_links, grouped_map, local_roots, pair_cells
+from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import broadcast_below, stage
 
 WORDS = 5
@@ -35,7 +36,9 @@ BUCKET = 256
 MARGIN = 0.15
 #: Groups' members whose ids are broadcast to the texts; more are joined by shuffling.
 BROADCAST_IDS = 2_000_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
+#: Sets of a block when pairs are decided; a cell holds two blocks of whole sets.
+SET_ROWS = 256
 
 MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -112,6 +115,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     Rows without words have nulls. The sets themselves stay where the texts are read.
     """
+    @as_task
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -138,7 +142,12 @@ def sketches(docs: DataFrame) -> DataFrame:
 def _children():
     """The nodes a set goes to below each given node."""
     @F.pandas_udf("array<bigint>")
-    def children(sketch: pd.Series, node: pd.Series) -> pd.Series:
+    @as_task
+    def children(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for sketch, node in batches:
+            yield below(sketch, node)
+
+    def below(sketch: pd.Series, node: pd.Series) -> pd.Series:
         values = np.frombuffer(b"".join(sketch), "<u4").reshape(len(sketch), COORDINATES)
         nodes = node.to_numpy(np.int64).view(np.uint64)
         out = np.empty((len(nodes), SAMPLED), np.uint64)
@@ -226,8 +235,10 @@ def _jaccard_links(threshold: float):
 
 def _shingles(text: str):
     @F.pandas_udf("binary")
-    def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
+    @as_task
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([shingle_set(t).tobytes() for t in texts], dtype=object)
 
     return shingles(text)
 
@@ -258,7 +269,8 @@ def similar_documents(docs: DataFrame, threshold: float = JACCARD,
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(
         broadcast_below(members, BROADCAST_IDS), "id")
     texts = texts.select("id", "component", "copies", _shingles("text").alias("shingles"))
-    exact = exact_links(texts.dropDuplicates(["id"]), _jaccard_links(threshold), ["shingles"])
+    exact = exact_links(texts.dropDuplicates(["id"]), _jaccard_links(threshold), ["shingles"],
+                        SET_ROWS)
     info = (sets.select("k1", "k2", "id", "copies").join(exact, "id", "left")
             .where("copies > 1 or n_links is not null")
             .select("k1", "k2", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1)

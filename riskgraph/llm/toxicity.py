@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import stage, unstage
 
 #: Labelled rows the model is fitted on, at most; taken in order of a hash of their doc_id.
@@ -29,7 +30,9 @@ PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 # Words whose features a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
+# Features that a task counts before it hands the counts on.
+COUNTED_FEATURES = 100_000
 
 # Names of groups, each line of one kind within one language.
 IDENTITY_TERMS = tuple(tuple(line.split()) for line in """
@@ -106,6 +109,7 @@ class ToxicityModel:
 
     def score(self, text: str | Column) -> Column:
         @F.pandas_udf("double")
+        @as_task
         def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             score = self.scorer()
             for texts in batches:
@@ -132,17 +136,23 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def _choose_features(sample: DataFrame, limit: int) -> list[str]:
     """Features associated with the label, the strongest first; at most ``limit``."""
+    @as_task
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         docs: tuple[Counter, Counter] = Counter(), Counter()
-        sizes = [0, 0]
         for batch in batches:
             for toxic, text in zip(batch["toxic"], batch["text"]):
-                sizes[toxic] += 1
-                docs[toxic].update({f for w in set(words(text)) for f in features_of(w)})
+                docs[toxic].update({"", *(f for w in set(words(text)) for f in features_of(w))})
+                if len(docs[0]) + len(docs[1]) > COUNTED_FEATURES:
+                    yield counted(docs)
+        yield counted(docs)
+
+    def counted(docs: tuple[Counter, Counter]) -> pd.DataFrame:
         keys = list(docs[0].keys() | docs[1].keys())
-        yield pd.DataFrame({"feature": ["", *keys],
-                            "clean": [sizes[0], *(docs[0][k] for k in keys)],
-                            "toxic": [sizes[1], *(docs[1][k] for k in keys)]})
+        out = pd.DataFrame({"feature": keys, "clean": [docs[0][k] for k in keys],
+                            "toxic": [docs[1][k] for k in keys]})
+        for counter in docs:
+            counter.clear()
+        return out
 
     counts = stage(
         sample.mapInPandas(count, "feature string, clean long, toxic long").groupBy("feature")
@@ -170,6 +180,7 @@ def _fit(sample: DataFrame, names: list[str], groups: tuple[tuple[str, ...], ...
     def present(found: list[str]) -> list[int]:
         return sorted({place[f] for w in set(found) for f in features_of(w) if f in place})
 
+    @as_task
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []

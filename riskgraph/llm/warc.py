@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskgraph.llm.files import read_files, write_files
+from riskgraph.llm.memory import as_task
 
 #: Equal payloads of at least so many bytes are stored once and revisited.
 REVISIT_BYTES = 1000
@@ -87,6 +88,7 @@ def write_monolithic(records: DataFrame, path: str, date: str = "1970-01-01T00:0
     """
     archive_bytes = archive_bytes or ARCHIVE_BYTES
 
+    @as_task
     def archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size, gzip = [], 0, None
         for batch in batches:
@@ -174,6 +176,7 @@ def normalise(spark: SparkSession, source: str, target: str,
     """
     archive_bytes = archive_bytes or ARCHIVE_BYTES
 
+    @as_task
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
@@ -249,6 +252,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     ``payload`` is null for revisits; its size and digest are those of the full payload. The
     digest of a response is computed from its payload and must agree with the header.
     """
+    @as_task
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, content in zip(batch["archive"], batch["content"]):
