@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -83,8 +84,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path,
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
-    rows = token_files.ids_crc32(token_files.read_token_files(spark, path))
-    return token_files.with_global_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    rows = token_files.read_token_files(
+        spark, path, lambda ids: crc32(token_files.little_endian(ids)), "long")
+    return token_files.with_global_start(rows).select(
+        "doc_id", "start", "n_tokens", F.col("value").alias("ids_crc32"))
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

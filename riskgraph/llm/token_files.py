@@ -12,7 +12,7 @@ Layout of a file, all integers little-endian:
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,11 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskgraph.llm.files import read_files, write_files
+from riskgraph.llm.memory import as_task
 from riskgraph.llm.token_ids import token_coder
 from riskgraph.sources.staging import stage
 
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 21
+# Pieces that a worker remembers; more than elsewhere, as a task holds little besides.
+CACHE_PIECES = 1_200_000
 MAGIC = b"FIXBITS1"
 TAIL = struct.Struct("<QQQB8s")
 END = b"\n"
@@ -127,8 +130,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     end = end_id.to_bytes(4, "little")
     file_ids = file_ids or FILE_IDS
 
+    @as_task
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = token_coder(vocabulary)
+        coder = token_coder(vocabulary, CACHE_PIECES)
         doc_ids, documents, size = [], [], 0
         for batch in batches:
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), coder.encode(batch["text"])):
@@ -151,11 +155,19 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     write_files(ordered.mapInArrow(encode, "content binary"), path, END)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): documents of the files below ``path``.
+def little_endian(ids: np.ndarray) -> bytes:
+    return ids.astype("<u4").tobytes()
 
-    ``start`` counts the ids of all documents before; ``ids`` are little-endian uint32.
+
+def read_token_files(spark: SparkSession, path: str, value: Callable = little_endian,
+                     kind: str = "binary") -> DataFrame:
+    """(part, chunk, doc_id, at, n_tokens, value): documents of the files below ``path``.
+
+    ``part`` and ``chunk`` number the files, ``at`` counts the ids before the document in its
+    file (see ``with_global_start``). ``value`` is made from a document's ids where they are
+    unpacked and has the SQL type ``kind``; by default it is the ids as little-endian uint32.
     """
+    @as_task
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, chunk, content in zip(batch["part"], batch["chunk"], batch["content"]):
@@ -163,14 +175,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pd.DataFrame({
                     "part": part, "chunk": chunk, "doc_id": file.doc_ids,
                     "at": file.starts[:-1], "n_tokens": np.diff(file.starts),
-                    "ids": [d.astype("<u4").tobytes() for d in file.documents()]})
+                    "value": [value(d) for d in file.documents()]})
 
     name = F.regexp_extract
     files = read_files(spark, path).select(
         name("path", r"/part-(\d+)-[^/]*$", 1).cast("long").alias("part"),
         name("path", r"-c(\d+)\.[a-z]+$", 1).cast("long").alias("chunk"), "content")
     return files.mapInPandas(
-        decode, "part long, chunk long, doc_id long, at long, n_tokens long, ids binary")
+        decode, f"part long, chunk long, doc_id long, at long, n_tokens long, value {kind}")
 
 
 def with_global_start(rows: DataFrame) -> DataFrame:
@@ -184,8 +196,3 @@ def with_global_start(rows: DataFrame) -> DataFrame:
     return (rows.join(totals.select("part", "chunk", before.alias("before")), ["part", "chunk"])
             .withColumn("start", F.col("before") + F.col("at"))
             .drop("part", "chunk", "before", "at"))
-
-
-def ids_crc32(rows: DataFrame) -> DataFrame:
-    """Replace ``ids`` by their unsigned crc32."""
-    return rows.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

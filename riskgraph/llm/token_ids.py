@@ -11,7 +11,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
-# Distinct pieces whose ids a worker remembers in each of two generations.
+from riskgraph.llm.memory import as_task
+
+# Distinct pieces whose ids a worker remembers before it starts afresh, about 200 bytes each.
 CACHE_PIECES = 500_000
 # Characters of text that are split into pieces at a time, apart from a longer single text.
 PART_CHARS = 8 << 20
@@ -26,7 +28,7 @@ def _byte_letters() -> dict[int, int]:
 
 
 class _Pieces(dict):
-    """Ids of pieces of text, each with ``lead`` before it, remembered while met lately.
+    """Ids of pieces of text, each with ``lead`` before it, remembered while there are few.
 
     A word of common letters goes to the model as it is, marks after it on their own; any other
     piece takes the whole tokenizer. None stands for a piece whose tokens depend on its neighbours.
@@ -35,12 +37,9 @@ class _Pieces(dict):
     def __init__(self, coder: TokenCoder, lead: str) -> None:
         super().__init__()
         self.coder, self.lead = coder, lead
-        self.older: dict[str, bytes | None] = {}
 
     def __missing__(self, piece: str) -> bytes | None:
-        if (ids := self.older.get(piece)) is not None:
-            pass
-        elif found := SIMPLE.fullmatch(piece):
+        if found := SIMPLE.fullmatch(piece):
             word, marks = found.groups()
             ids = (self[word] + self.coder.bare[marks] if marks else
                    self.coder.word(self.lead + word))
@@ -50,9 +49,8 @@ class _Pieces(dict):
             self[piece] = ids
         return ids
 
-    def age(self) -> None:
-        if len(self) > CACHE_PIECES:
-            self.older = dict(self)
+    def tidy(self, most: int) -> None:
+        if len(self) > most:
             self.clear()
 
 
@@ -64,17 +62,19 @@ class TokenCoder:
     text with more white space around a space goes to the tokenizer as a whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, cache: int = CACHE_PIECES) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.drops_space = self.tokenizer.normalizer is not None
         self.letters = _byte_letters()
+        self.space = chr(self.letters[ord(" ")])
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.bare = _Pieces(self, "")
         self.spaced = self.bare if self.drops_space else _Pieces(self, " ")
         self.line_feed = self.whole("\n")
+        self.cache = cache
 
     def whole(self, text: str) -> bytes:
         packed = self.packed
@@ -85,8 +85,10 @@ class TokenCoder:
         """Ids of one plain word, with a space before it or not."""
         if self.drops_space:
             word = word.lower()
-        if not word.isascii() or word[0] == " ":
+        if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
+        elif word[0] == " ":
+            word = self.space + word[1:]
         packed = self.packed
         return b"".join([packed[t.id] for t in self.model.tokenize(word)])
 
@@ -118,9 +120,8 @@ class TokenCoder:
             at = stop
 
     def _encode_part(self, texts: pa.Array) -> Iterator[bytes]:
-        self.bare.age()
-        if self.spaced is not self.bare:
-            self.spaced.age()
+        self.bare.tidy(self.cache)
+        self.spaced.tidy(self.cache)
         split = pc.split_pattern(texts, " ")
         bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.dictionary_encode()
@@ -147,8 +148,8 @@ class TokenCoder:
 
 
 @lru_cache(maxsize=4)
-def token_coder(path: str) -> TokenCoder:
-    return TokenCoder(path)
+def token_coder(path: str, cache: int = CACHE_PIECES) -> TokenCoder:
+    return TokenCoder(path, cache)
 
 
 def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
@@ -160,7 +161,9 @@ def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
     end = end_id.to_bytes(4, "little")
 
     @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        return pa.array([x + end for x in token_coder(vocabulary).encode(texts)], pa.binary())
+    @as_task
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([x + end for x in token_coder(vocabulary).encode(texts)], pa.binary())
 
     return ids(F.col(text) if isinstance(text, str) else text)
