@@ -39,8 +39,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in training sequences."""
-    return queries.packed_pieces(docs)
+    """Pieces of all documents with their places in training sequences. Workers that went through
+    the other stages remember fewer pieces of text than those of the packing query."""
+    return queries.packed_pieces(docs, cache=150_000)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskgraph.llm.token_ids import token_ids
+from riskgraph.llm.token_ids import CACHE_PIECES, token_ids
 from riskgraph.sources.staging import stage
 
 SEQUENCE_TOKENS = 2048
@@ -16,14 +16,15 @@ SEQUENCE_TOKENS = 2048
 RANK_ROWS = 5_000
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int = 1,
-           size: int = SEQUENCE_TOKENS) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, end_id: int = 1, size: int = SEQUENCE_TOKENS,
+           cache: int = CACHE_PIECES) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens): each document's ids cut every ``size`` ids.
 
     A null or empty text has the end id alone. ``ids`` are little-endian unsigned 32-bit
-    integers. Repeated doc_ids are packed as often as they come; other columns are left behind.
+    integers; ``cache`` pieces of text are remembered by a worker. Repeated doc_ids are packed as
+    often as they come; other columns are left behind.
     """
-    ids = docs.select("doc_id", token_ids("text", vocabulary, end_id).alias("ids"))
+    ids = docs.select("doc_id", token_ids("text", vocabulary, end_id, cache).alias("ids"))
     total = F.length("ids").cast("long") / 4
     cuts = ids.select("doc_id", "ids", F.floor(total).alias("doc_tokens"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.floor(total) - 1, F.lit(size).cast("long"))

@@ -33,9 +33,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                table(spark, sf_dir, "benchmark"))
 
 
-def packed_pieces(docs: DataFrame) -> DataFrame:
+def packed_pieces(docs: DataFrame, cache: int = packing.CACHE_PIECES) -> DataFrame:
     """Rows of the packing query; the ids themselves stay behind."""
-    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, cache=cache)
     digests = cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(digests).select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                         "sequence_id", "offset")

@@ -152,7 +152,8 @@ def token_coder(path: str, cache: int = CACHE_PIECES) -> TokenCoder:
     return TokenCoder(path, cache)
 
 
-def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
+def token_ids(text: str | Column, vocabulary: str, end_id: int,
+              cache: int = CACHE_PIECES) -> Column:
     """Binary column: the ids of the whole text (null: empty), then ``end_id``.
 
     Strings of special tokens inside a text are ordinary text. Works on Arrow batches; a task
@@ -164,6 +165,7 @@ def token_ids(text: str | Column, vocabulary: str, end_id: int) -> Column:
     @as_task
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([x + end for x in token_coder(vocabulary).encode(texts)], pa.binary())
+            yield pa.array([x + end for x in token_coder(vocabulary, cache).encode(texts)],
+                           pa.binary())
 
     return ids(F.col(text) if isinstance(text, str) else text)

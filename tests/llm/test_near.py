@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from riskgraph.llm import embedding_dedup as emb, groups, ngram_join as join
 
