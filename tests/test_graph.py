@@ -51,6 +51,21 @@ def test_person_sets(spark):
 
 def test_load_finds_heavy_entities(make_apps):
     apps = make_apps(*[(str(i), 1 + i, dict(mobile="5")) for i in range(10)])
-    assert graph.load(apps).blocks is None
-    g = graph.load(apps, block_rows=4)
-    assert g.blocks.agg(F.max("block"), F.max("last_block")).first()[:] == (2, 2)
+    assert graph.load(apps).blocks.isEmpty()
+    blocks = graph.load(apps, block_rows=4).blocks
+    found = blocks.selectExpr("count(*)", "max(last_block)", "max(day_start)").first()
+    assert tuple(found) == (10, 2, 9) and blocks.first().entity_value == "5"
+
+
+def test_first_line_of_a_person_counts(spark):
+    lines = [("p", "2020-01-02", "1@@2020-01-02", "b", 1), ("p", "2020-01-01", "2@@x", "a", 2),
+             ("q", "2020-01-03", "3@@y", "a", 3)]
+    sets = spark.createDataFrame(
+        [(c, d, m, "", "", "", "", "", "", f, k) for c, d, m, f, k in lines],
+        "cert_no string, apply_date string, mobile string, contact_mobile string, "
+        "emergency_contact_mobile string, device_id string, email string, comp_phone string, "
+        "loan_pan string, source_file string, source_pos int")
+    items, rejects = graph.unpack_person_sets(sets)
+    assert {(r.cert_no, r.apply_date, r.entity_value) for r in graph.person_edges(items).collect()
+            } == {("p", "2020-01-01", "2"), ("q", "2020-01-03", "3")}
+    assert rejects.isEmpty()
