@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskgraph.llm.shingles import token_hashes
 from riskgraph.sources.staging import broadcast_below, stage
 
-#: Fixed masks of 11 positions, 7 of them looked at (1); any one or two neighbouring positions
-#: are ignored by some mask at some place.
-MASKS = ("11101100101", "11010011011", "10111010011")
+#: Fixed masks, 7 positions of each looked at (1). Every stretch that counts at 80 % holds a hit: its
+#: first run of agreeing tokens is 7 or longer, or it is 4 to 6 long with one other token after it,
+#: and then 3 agreeing tokens follow, or 2 after a run of 6, or the stretch would have ended.
+MASKS = ("1111111", "11110111", "11111101")
 #: An item counts as leaked where this share of the stretch's tokens agrees ...
 AGREE = 0.8
 #: ... and at least so many tokens, or the whole of a shorter item, agree.
@@ -29,7 +30,10 @@ BROADCAST_IDS = 2_000_000
 
 @dataclass(frozen=True)
 class Rule:
-    """When an overlap counts, and the size up to which the benchmark is broadcast."""
+    """When an overlap counts, and the size up to which the benchmark is broadcast.
+
+    ``MASKS`` hit every overlap that counts for ``agree`` from 0.8 and ``least_tokens`` from 7.
+    """
 
     agree: float = AGREE
     least_tokens: int = LEAST_TOKENS
@@ -43,14 +47,14 @@ def seed_hash(tokens: Column, at: Column, mask: str, number: int) -> Column:
     return F.when(at + len(mask) <= F.size(tokens), value)
 
 
-def _item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def _item_seeds(items: DataFrame, masks: tuple[str, ...], general: int) -> DataFrame:
     """(seed, item_id, item_at) of all places and masks of the benchmark items.
 
-    A mask without a gap stands for the items of just its length.
+    A mask after the first ``general`` ones stands for the items of just its length.
     """
     places = items.select("item_id", "item", F.posexplode("item").alias("item_at", "token"))
     seeds = F.array(*[
-        F.when(F.lit("0" in m) | (F.size("item") == len(m)),
+        F.when(F.lit(k < general) | (F.size("item") == len(m)),
                seed_hash(F.col("item"), F.col("item_at"), m, k)) for k, m in enumerate(masks)])
     return (places.select("item_id", "item_at", F.explode(seeds).alias("seed"))
             .where("seed is not null").distinct())
@@ -120,8 +124,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
                   .where(F.size("item") > 0), "benchmark-items")
     span = min(map(len, masks))
     short = items.where(F.size("item") < span).select(F.size("item").alias("n")).distinct()
+    general = len(masks)
     masks += tuple("1" * r.n for r in short.orderBy("n").collect())
-    seeds = stage(_item_seeds(items, masks), "benchmark-seeds")
+    seeds = stage(_item_seeds(items, masks, general), "benchmark-seeds")
     tokens = docs.select("doc_id", token_hashes("text").alias("tokens"))
     # The outer form keeps the planner from computing the tokens once more for a filter.
     places = tokens.select("doc_id", "tokens",

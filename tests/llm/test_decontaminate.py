@@ -96,3 +96,48 @@ def test_empty_tables(spark, tables):
     df, bench, *_ = tables
     assert dec.leaks(df.limit(0), bench).count() == 0
     assert dec.leaks(df, bench.limit(0)).count() == 0
+
+
+def hit(same, masks=dec.MASKS):
+    return any(all(same[at + k] for k, bit in enumerate(m) if bit == "1")
+               for m in masks for at in range(len(same) - len(m) + 1))
+
+
+def test_masks_hit_every_stretch_that_counts():
+    """Grows all stretches without a hit token by token; none may count, at any length."""
+    cost = dec.AGREE / (1 - dec.AGREE) - 1e-6
+    span = max(map(len, dec.MASKS))
+    # the last tokens, their balance, the best balance before, and the agreeing tokens
+    states, seen = {((), 0.0, 0.0, 0)}, set()
+    for _ in range(300):
+        grown = set()
+        for last, total, top, hits in states:
+            for same in (True, False):
+                now = (*last, same)
+                value = round(total + (1.0 if same else -cost), 7)
+                if value <= 0 or hit(now):
+                    continue
+                count = min(hits + same, dec.LEAST_TOKENS)
+                assert not (value > top and count == dec.LEAST_TOKENS), now
+                grown.add((now[-span + 1:], value, max(top, value), count))
+        states = grown - seen
+        seen |= grown
+    assert seen
+
+
+def test_replaced_tokens(spark):
+    rng, docs, items, want = random.Random(8), [], [], set()
+    for n in range(15, 31):
+        patterns = [set(range(4, n, 5))] + [set(rng.sample(range(n), n // 5)) for _ in range(12)]
+        patterns += [{4, 9}, {5, 10}, {4, 10, 14}]
+        for gone in patterns:
+            k, item = len(items), words(rng, n)
+            doc = ["other" if i in gone else w for i, w in enumerate(item)]
+            items.append((k, " ".join(item)))
+            docs.append((k, " ".join(doc)))
+            if best(doc, item, dec.Rule()):
+                want.add((k, k))
+    found = dec.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                      spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found if r.doc_id == r.item_id} == want
+    assert len(want) > 60
