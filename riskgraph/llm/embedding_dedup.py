@@ -1,13 +1,18 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Each pass orders the vectors of a label lexicographically by the signs of their products with
-random directions, and compares every vector with its next neighbours in that order. Links of all
-passes are united; within a united group all pairs are then compared in blocks, which is the exact
-way for groups that are larger than a window.
+random directions, and compares every vector with its next neighbours in that order. How far the
+bits of each vector's key go until a window holds all that share them is measured, as vectors that
+are not centred share many; vectors whose passes do not reach the recall take part in more passes,
+or are compared pair by pair in blocks where that is less work. Links are united; within a united
+group all pairs are then compared in blocks, which is the exact way for groups that are larger than
+a window.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 
 import numpy as np
@@ -15,7 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskgraph.functions.joins import salted_lookup
-from riskgraph.llm.groups import components, exact_links, grouped_map, local_roots
+from riskgraph.llm.groups import (
+    components, exact_links, grouped_map, local_roots, pair_cells,
+)
 from riskgraph.sources.staging import stage
 
 COSINE = 0.93
@@ -25,12 +32,17 @@ NEIGHBOURS = 64
 RECALL = 0.999
 KEY_BITS = 64
 BLOCK = 2048
+#: Passes of a round at most; the first round takes those that evenly spread vectors need.
+MOST_PASSES = 64
+#: Vectors of a label short of the recall that are compared pair by pair: so many in any case, and
+#: as many as that times the comparisons that the passes they lack would make for each of them.
+EXACT_ROWS, EXACT_FACTOR = 4096, 4
 SEED = 20_240
 
 
 def passes_for(rows: int, cosine: float = COSINE, window: int = NEIGHBOURS,
                recall: float = RECALL) -> int:
-    """Passes that a label of ``rows`` vectors needs.
+    """Passes that a label of ``rows`` vectors needs if the bits part them evenly.
 
     Two vectors are at most a window apart if their keys agree in the first bits, as many as
     divide the rows into windows; a bit agrees with chance 1 - angle / pi.
@@ -51,14 +63,15 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _sort_keys(passes: int):
+def _sort_keys(passes: int, turn_of: int):
     @F.pandas_udf("array<bigint>")
     def keys(vectors: pd.Series) -> pd.Series:
         out: list[list[int] | None] = [None] * len(vectors)
         sizes = vectors.map(len).to_numpy()
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
-            turn = np.random.default_rng([SEED, size]).standard_normal((size, passes * KEY_BITS))
+            turn = np.random.default_rng([SEED, size, turn_of]).standard_normal(
+                (size, passes * KEY_BITS))
             signs = (_unit(vectors.iloc[rows]) @ turn > 0).reshape(len(rows), passes, KEY_BITS)
             packed = np.packbits(signs, axis=2).view(">u8")[..., 0]
             ordered = (packed.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
@@ -70,7 +83,7 @@ def _sort_keys(passes: int):
 
 
 def _ranked(keyed: DataFrame) -> DataFrame:
-    """(pass, label, size, id, rank): place of each key in the order over all passes.
+    """(pass, label, size, id, key, rank): place of each key in the order over all passes.
 
     Rows are sorted in ranges; a range's first rank is the number of rows of the ranges before.
     """
@@ -83,16 +96,39 @@ def _ranked(keyed: DataFrame) -> DataFrame:
                            .alias("first"))
     return (ordered.withColumn("part", part).join(firsts, "part")
             .withColumn("rank", F.col("first") + F.col("row").bitwiseAND((1 << 33) - 1))
-            .select("pass", "label", "size", "id", "rank"))
+            .select("pass", "label", "size", "id", "key", "rank"))
+
+
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """First bits that two columns of keys have in common."""
+    other = (a ^ b).view(np.uint64)
+    high, low = (np.frexp(x.astype(np.float64))[1]
+                 for x in (other >> np.uint64(32), other & np.uint64(0xFFFFFFFF)))
+    return KEY_BITS - np.where(high > 0, 32 + high, low)
+
+
+def _missed(key: np.ndarray, kind: np.ndarray, cosine: float, window: int) -> np.ndarray:
+    """Logarithm of the chance, for each row of a sorted pass, that the row and a vector at the
+    threshold do not meet: they do if they share the bits that no vector ``window`` places away has.
+    """
+    bits = np.zeros(len(key), np.int64)
+    if len(key) > window:
+        same = (kind[:-window] == kind[window:]).all(axis=1)
+        more = np.where(same, _shared_bits(key[:-window], key[window:]) + 1, 0)
+        bits[:-window] = more
+        bits[window:] = np.maximum(bits[window:], more)
+    meet = np.where(bits > KEY_BITS, 0.0, (1 - math.acos(cosine) / math.pi) ** bits)
+    return np.log(np.maximum(1 - meet, 1e-30))
 
 
 def _window_links(ranked: DataFrame, vectors: DataFrame, cosine: float, window: int,
                   rows: int) -> DataFrame:
-    """(a, b): links between vectors at most ``window`` ranks apart, joined up within a block."""
+    """(a, b, missed): links between vectors at most ``window`` ranks apart, joined up within a
+    block; and with a null ``b`` the sum of what ``_missed`` gives for the passes of ``a``."""
     block = F.floor(F.col("rank") / rows)
-    halo = (F.col("rank") % rows < window) & (block > 0)
-    placed = ranked.withColumn("block", F.explode(F.when(halo, F.array(block, block - 1))
-                                                  .otherwise(F.array(block))))
+    place = F.col("rank") % rows
+    placed = ranked.withColumn("block", F.explode(F.array_compact(F.array(
+        block, F.when(place < window, block - 1), F.when(place >= rows - window, block + 1)))))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["id"].to_numpy()
@@ -112,10 +148,82 @@ def _window_links(ranked: DataFrame, vectors: DataFrame, cosine: float, window:
         unique, place = np.unique(ids, return_inverse=True)
         a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
         root = unique[local_roots(len(unique), place[a], place[b])]
-        return pd.DataFrame({"a": unique, "b": root})[unique != root]
+        linked = unique != root
+        missed = np.bincount(place[home], _missed(group["key"].to_numpy(), kind, cosine,
+                                                  window)[home], len(unique))
+        own = np.unique(place[home])
+        return pd.DataFrame({
+            "a": np.append(unique[linked], unique[own]),
+            "b": pd.array(root[linked].tolist() + [None] * len(own), "Int64"),
+            "missed": np.append(np.zeros(linked.sum()), missed[own])})
 
     return grouped_map(placed.join(vectors.select("id", "embedding"), "id"), ["block"], ["rank"],
-                       compare, "a long, b long")
+                       compare, "a long, b long, missed double")
+
+
+def _block_links(members: DataFrame, cosine: float, rows: int) -> DataFrame:
+    """(a, b): links among all pairs of ``members`` (id, component, embedding) of a component,
+    joined up within a cell of two blocks."""
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        ids, unit = cell["id"].to_numpy(), _unit(cell["embedding"])
+        one, two = (np.flatnonzero(cell["block"] == cell[k].iloc[0]) for k in ("i", "j"))
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for at in range(0, len(one), 512):
+            a, b = np.nonzero(unit[one[at:at + 512]] @ unit[two].T >= cosine)
+            left.append(one[at + a])
+            right.append(two[b])
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        ids = ids[order]
+        root = ids[local_roots(len(ids), place[np.concatenate(left)], place[np.concatenate(right)])]
+        return pd.DataFrame({"a": ids, "b": root})[ids != root]
+
+    return grouped_map(pair_cells(members, rows), ["component", "i", "j"], ["id"], compare,
+                       "a long, b long")
+
+
+def _found_links(classes: DataFrame, cosine: float, window: int, recall: float) -> DataFrame:
+    """(a, b): links that unite vectors (id, label, embedding) of at least the threshold, so that a
+    pair just at the threshold is left out with a chance of ``1 - recall`` at most.
+
+    It is enough that one of the two reaches the recall, so a round after the first takes only the
+    vectors that do not yet; among them keys part sooner.
+    """
+    goal = math.log(1 - recall)
+    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    passes = passes_for(most, cosine, window, recall)
+    rows = classes.select("id", "label", F.size("embedding").alias("size"), "embedding",
+                          F.lit(0.0).alias("missed"))
+    links: list[DataFrame] = []
+    for turn_of in itertools.count():
+        keys = rows.select("id", "label", "size", F.posexplode(
+            _sort_keys(passes, turn_of)("embedding")).alias("pass", "key"))
+        seen = stage(_window_links(_ranked(keys), rows, cosine, window, BLOCK), "window-links")
+        links.append(seen.where("b is not null").select("a", "b"))
+        sums = seen.where("b is null").groupBy(F.col("a").alias("id")).agg(
+            F.sum("missed").alias("now"))
+        short = stage(
+            rows.join(sums, "id").withColumn("missed", F.col("missed") + F.col("now"))
+            .where(F.col("missed") > goal + 1e-9)
+            .withColumn("lacking", (F.col("missed") - goal)
+                        / F.greatest(-F.col("now") / passes, F.lit(1e-9))), "short-of-recall")
+        pairwise = F.col("n") <= F.greatest(
+            F.lit(EXACT_ROWS), F.lit(EXACT_FACTOR * window) * F.col("lacks"))
+        kinds = stage(short.groupBy("label", "size").agg(
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("component"),
+            F.percentile_approx("lacking", 0.5).alias("lacks"))
+            .withColumn("pairwise", pairwise), "kinds-short-of-recall")
+        lacks, some = kinds.agg(F.max(F.when(~F.col("pairwise"), F.col("lacks"))),
+                                F.max("pairwise")).first()
+        placed = salted_lookup(short.drop("now", "lacking"), kinds, ["label", "size"], F.col("id"))
+        if some:
+            links.append(stage(_block_links(placed.where("pairwise").select(
+                "id", "component", "embedding"), cosine, BLOCK), "block-links"))
+        if lacks is None:
+            return functools.reduce(DataFrame.unionAll, links)
+        passes = min(MOST_PASSES, max(1, math.ceil(lacks)))
+        rows = stage(placed.where("not pairwise").select(*rows.columns), "next-round")
 
 
 def _cosine_links(cosine: float):
@@ -150,12 +258,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, window: int = NEIGH
     classes = stage(keyed.where("k1 is not null").groupBy("label", "k1", "k2").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
         F.any_value("embedding").alias("embedding")), "vector-classes")
-    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    passes = passes_for(most, cosine, window, recall)
-    keys = classes.select("id", "label", F.size("embedding").alias("size"),
-                          F.posexplode(_sort_keys(passes)("embedding")).alias("pass", "key"))
-    links = stage(_window_links(_ranked(keys), classes, cosine, window, BLOCK), "window-links")
-    groups = components(links)
+    groups = components(_found_links(classes, cosine, window, recall))
     members = classes.join(groups, "id").select("id", "component", "copies", "embedding")
     exact = exact_links(members, _cosine_links(cosine), ["embedding"])
     known = (classes.select("label", "k1", "k2", "id", "copies").join(exact, "id", "left")

@@ -177,3 +177,37 @@ def test_few_vectors_need_one_pass(spark, vectors):
     df = spark.createDataFrame([r for r in vectors if r[1] == 0][:40],
                                "vec_id long, label int, embedding array<double>")
     assert emb.near_duplicates(df).count() == 40
+
+
+@pytest.mark.parametrize("common, exact", [(0.8, (4096, 4)), (0.85, (0, 4)), (0.3, (0, 0))])
+def test_vectors_off_centre(spark, monkeypatch, common, exact):
+    """Pairs just above the threshold among vectors with a common direction of that mean cosine."""
+    monkeypatch.setattr(emb, "EXACT_ROWS", exact[0], raising=False)
+    monkeypatch.setattr(emb, "EXACT_FACTOR", exact[1], raising=False)
+    rng, n, pairs = np.random.default_rng(21), 5000, 400
+    base = rng.standard_normal(64)
+    own = rng.standard_normal((n, 64))
+    unit = common ** 0.5 * base / np.linalg.norm(base) + (
+        1 - common) ** 0.5 * own / np.linalg.norm(own, axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    off = rng.standard_normal((pairs, 64))
+    off -= (off * unit[:pairs]).sum(axis=1, keepdims=True) * unit[:pairs]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    unit = np.vstack([unit, 0.935 * unit[:pairs] + (1 - 0.935 ** 2) ** 0.5 * off])
+    near = np.argwhere(np.triu(unit @ unit.T >= emb.COSINE, 1))
+    assert pairs <= len(near) < 10 * pairs
+    links = np.zeros(len(unit), int)
+    np.add.at(links, near.ravel(), 1)
+    df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(unit.tolist())],
+                               "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in emb.near_duplicates(df).collect()}
+    assert len(got) == len(unit) and all(got[i] <= n for i, n in enumerate(links))
+    assert sum(got.values()) >= 0.995 * links.sum()
+
+
+def test_equal_keys_meet_by_no_bits():
+    key = np.zeros(200, np.int64)
+    kind = np.zeros((200, 3), np.int64)
+    assert (emb._missed(key, kind, 0.93, 64) == 0).all()
+    assert (emb._missed(key[:64], kind[:64], 0.93, 64) < -50).all()
+    assert emb._shared_bits(np.array([0, 1, -1]), np.array([0, 0, 0])).tolist() == [64, 63, 0]
