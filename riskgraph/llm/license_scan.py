@@ -7,6 +7,9 @@ hashed once more with a constant of the band. Some document window holds a templ
 ``WINDOW - STEP + 1`` shingles as a whole and lies within a longer one as a whole or overlaps it by
 as much, so their similarity is at least ``LEAST_SHINGLES / WINDOW`` and the number of bands follows
 from the collision probability that is asked for.
+
+A template of fewer shingles has to be contained as a whole, so it is found by its first shingle: a
+window of one shingle that begins at every place, with similarity 1 and one band, the shingle's hash.
 """
 
 from __future__ import annotations
@@ -59,6 +62,7 @@ TEMPLATES = (
                 " or neighboring rights to this work"),
     ("All-Rights-Reserved", "Copyright. All rights reserved. No part of this publication may be"
                             " reproduced"),
+    ("All-Rights-Reserved", "All rights reserved"),
 )
 
 
@@ -85,11 +89,12 @@ def _permuted(shingle: Column, flip: Column) -> Column:
     return F.xxhash64(shingle.bitwiseXOR(flip))
 
 
-def _banded(places: DataFrame, kept: list[str]) -> DataFrame:
+def _banded(places: DataFrame, kept: list[str], singles: int = 0) -> DataFrame:
     """``places`` (tokens, at, kept columns) with ``window`` (its shingle hashes) and, one row per
     band, ``band`` and ``key``, the window's MinHash in the band.
 
-    Bands are rows before the MinHash is taken, so that the generated code stays small.
+    Bands are rows before the MinHash is taken, so that the generated code stays small. Bands from
+    ``BANDS`` on have the hash of one shingle each, of the window's first ``singles`` ones.
     """
     words, windows = range(WINDOW + SHINGLE - 1), range(WINDOW)
     read = places.select(*kept, *[F.get("tokens", F.col("at") + k).alias(f"t{k}") for k in words])
@@ -99,18 +104,30 @@ def _banded(places: DataFrame, kept: list[str]) -> DataFrame:
         for k in windows]).where("w0 is not null")
     own = ["w0", *[f"w{k}" for k in windows if k]]
     banded = hashed.select(*kept, *own, F.posexplode(F.array(
-        *[F.lit(c) for c in _constants()])).alias("band", "flip"))
-    return banded.select(*kept, "band", F.array(*own).alias("window"), F.least(
-        *[_permuted(F.col(w), F.col("flip")) for w in own]).alias("key"))
+        *[F.lit(c) for c in _constants()], *own[:singles])).alias("band", "flip"))
+    key = F.least(*[_permuted(F.col(w), F.col("flip")) for w in own])
+    if singles:
+        key = F.when(F.col("band") < BANDS, key).otherwise(F.col("flip"))
+    return banded.select(*kept, "band", F.array(*own).alias("window"), key.alias("key"))
+
+
+def _is_short() -> Column:
+    """True of templates that are found by one shingle."""
+    return F.size("tokens") < SHINGLE + LEAST_SHINGLES - 1
 
 
 def _template_keys(known: DataFrame) -> DataFrame:
     """(template_id, key) of all windows of the templates, beginning at every place. Near the end
-    of a template its windows are the shorter rests, down to LEAST_SHINGLES shingles."""
+    of a template its windows are the shorter rests, down to LEAST_SHINGLES shingles. A template
+    with fewer has its first shingle."""
     rests = F.size("tokens") - F.lit(SHINGLE + LEAST_SHINGLES - 2)
     places = known.select("template_id", "tokens",
                           F.posexplode("tokens").alias("at", "token")).where(F.col("at") < rests)
-    return _banded(places, ["template_id"]).select("template_id", "key").distinct()
+    short = known.where(_is_short()).select(
+        "template_id", F.xxhash64(*[F.get("tokens", F.lit(j)) for j in range(SHINGLE)])
+        .alias("key"))
+    return (_banded(places, ["template_id"]).select("template_id", "key").unionAll(short)
+            .distinct())
 
 
 def _first_hit(own: Column) -> Column:
@@ -146,16 +163,17 @@ def scan_licenses(docs: DataFrame, known: DataFrame,
 
     One row for each document and template: the best containment and the token at which the first
     verified window begins. ``known`` has template_id, license and text; a template needs
-    ``SHINGLE + LEAST_SHINGLES - 1`` words or more, a shorter one is an error. Null and empty texts
+    ``SHINGLE`` words or more, a shorter one is an error. Null and empty texts
     and tables have no notices; repeated doc_ids count as one document. While the templates have
     few keys these are broadcast and windows are verified where the documents are read.
     """
-    least = SHINGLE + LEAST_SHINGLES - 1
+    least = SHINGLE
     known = known.select("template_id", "license", token_hashes("text").alias("tokens"))
     known = known.withColumn("tokens", F.when(F.size("tokens") >= least, F.col("tokens")).otherwise(
         F.expr(f"raise_error('a template needs {least} words')")))
     known = stage(known.withColumn("shingles", _shingles(F.col("tokens"))), "license-templates")
     keys = stage(_template_keys(known), "license-keys")
+    short = not known.where(_is_short()).isEmpty()
     own = keys.groupBy("template_id").agg(F.collect_set("key").alias("own"))
     known = known.select("template_id", "license", F.col("tokens").alias("template"), "shingles")
     tokens = docs.select("doc_id", token_hashes("text").alias("tokens"))
@@ -163,15 +181,16 @@ def scan_licenses(docs: DataFrame, known: DataFrame,
     starts = F.explode_outer(F.sequence(
         F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(STEP)))
     banded = _banded(tokens.select("doc_id", "tokens", starts.alias("at")),
-                     ["doc_id", "tokens", "at"])
+                     ["doc_id", "tokens", "at"], STEP if short else 0)
+    place = (F.col("at") + F.greatest(F.col("band") - BANDS, F.lit(0))).alias("at")
     small = keys.count() <= broadcast_keys
     if small:
         hits = (banded.join(F.broadcast(keys), "key")
                 .join(F.broadcast(known.join(own, "template_id")), "template_id")
-                .where(_first_hit(F.col("own"))))
+                .where(_first_hit(F.col("own"))).withColumn("at", place))
     else:
-        pairs = (banded.select("doc_id", "at", "key").join(keys, "key")
-                 .select("doc_id", "at", "template_id").distinct())
+        pairs = (banded.select("doc_id", "band", "at", "key").join(keys, "key")
+                 .select("doc_id", place, "template_id").distinct())
         hits = pairs.join(tokens, "doc_id").join(known, "template_id")
     best = _verify(hits).groupBy("doc_id", "template_id").agg(
         F.max("containment").alias("containment"), F.min("at").alias("at"))

@@ -67,3 +67,30 @@ def test_empty_tables_and_short_templates(spark, docs):
     with pytest.raises(Exception, match="a template needs"):
         lic.scan_licenses(df, spark.createDataFrame(
             [(1, "x", "too short")], "template_id int, license string, text string"))
+
+
+def test_templates_of_three_and_four_words(spark):
+    known = [(0, "A", "All rights reserved"), (1, "B", "Use at own risk"),
+             (2, "C", "Released under the MIT License")]
+    rng, rows, want = random.Random(5), [], set()
+    for k in range(160):
+        ws = [rng.choice("klmnop") + str(rng.randrange(500)) for _ in range(k // 8)]
+        at, part = rng.randrange(len(ws) + 1), tokens(known[k % 3][2])
+        if k % 5 == 0:
+            part = part[:-1]
+        else:
+            want.add((k, k % 3, at))
+        ws[at:at] = part
+        rows.append((k, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(known, "template_id int, license string, text string")
+    for bound in (lic.BROADCAST_KEYS, 0):
+        got = lic.scan_licenses(df, known, bound).collect()
+        assert all(r.containment == 1.0 for r in got)
+        short = {(r.doc_id, r.template_id, r.at) for r in got if r.template_id < 2}
+        assert short == {w for w in want if w[1] < 2}
+        assert len(got) >= 0.97 * len(want)
+    found = lic.scan_licenses(spark.createDataFrame(
+        [(1, "(c) Someone. All Rights Reserved.")], "doc_id long, text string"),
+        lic.templates(spark)).collect()
+    assert [(r.license, r.at) for r in found] == [("All-Rights-Reserved", 2)]
