@@ -89,3 +89,16 @@ def test_identifiers_tell_strings_apart():
         ids, = dedup.identifiers(data, (length,))
         strings = [data[i:i + length].tobytes() for i in range(len(data) - length + 1)]
         assert len(set(ids.tolist())) == len(set(strings)) == len(set(zip(ids.tolist(), strings)))
+
+
+def test_repeated_rows_without_near_copies(spark):
+    rng = random.Random(6)
+    texts = {d: "".join(rng.choice("abcdefgh ") for _ in range(900)) for d in range(6)}
+    texts[5] = texts[2]
+    rows = [*texts.items(), (2, texts[2]), (3, texts[3]), (3, texts[3]), (None, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup.remove_repeats(df).where("doc_id is not null").collect()
+    want = brute(texts)
+    assert want[2][1] == want[3][1] == 0 and want[5][1] == 900 and len(got) == 9
+    for r in got:
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
