@@ -211,3 +211,13 @@ def test_equal_keys_meet_by_no_bits():
     assert (emb._missed(key, kind, 0.93, 64) == 0).all()
     assert (emb._missed(key[:64], kind[:64], 0.93, 64) < -50).all()
     assert emb._shared_bits(np.array([0, 1, -1]), np.array([0, 0, 0])).tolist() == [64, 63, 0]
+
+
+def test_filter_and_runs_keep_the_recall():
+    n, t = join.COORDINATES, join.JACCARD
+    least = math.ceil((t - join.MARGIN) * n)
+    dropped = sum(math.comb(n, k) * t ** k * (1 - t) ** (n - k) for k in range(least))
+    meet = 1.0
+    for _ in range(join.LEVELS):
+        meet = 1 - (1 - t * meet) ** join.SAMPLED
+    assert dropped + (1 - meet) ** join.runs_for() <= 1 - join.RECALL
