@@ -98,13 +98,25 @@ class TokenCoder:
                 return None if pieces.lead else b""
             if piece[0].isspace() or piece[-1].isspace():
                 return None
-            left, feed, right = piece.partition("\n")
-            if feed and not left[-1].isspace() and not right[0].isspace():
-                before, after = pieces[left], self.bare[right]
-                return None if before is None or after is None else (
-                    before + self.line_feed + after)
+            if "\n" in piece:
+                return self.lines(pieces, piece.split("\n"))
         return self.whole(pieces.lead + piece)
 
+    def lines(self, pieces: _Pieces, lines: list[str]) -> bytes:
+        """Ids of a piece cut at its line feeds; from the first one on that has more white space
+        around it, the rest goes to the tokenizer as a whole."""
+        ids = []
+        for k, line in enumerate(lines[:-1]):
+            after = lines[k + 1]
+            if not line or not after or line[-1].isspace() or after[0].isspace():
+                ids.append(self.whole(pieces.lead + "\n".join(lines[k:])))
+                break
+            ids += pieces[line], self.line_feed
+            pieces = self.bare
+        else:
+            ids.append(pieces[lines[-1]])
+        return b"".join(ids)
+
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """Ids of each text of an Arrow array of strings; null is empty.
 

@@ -47,6 +47,16 @@ def test_bit_packing_round_trip(ids, bits):
     assert token_files.unpack_bits(data, len(ids), bits).tolist() == ids
 
 
+def test_many_lines_without_a_space():
+    words = [f"word{k % 700}" + ".,;"[k % 3] * (k % 2) for k in range(5000)]
+    texts = ["\n".join(words), "a " + "\n".join(words) + " b",
+             "\n".join([*words[:900], "", *words[:900]]),
+             "\n".join([*words[:900], "\tx", *words[:900]])]
+    for path in (WORDS, BYTES):
+        coder = token_ids.TokenCoder(path)
+        assert list(coder.encode(pa.array(texts))) == [coder.whole(t) for t in texts]
+
+
 def test_token_file_random_access():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 50257, n).astype("<u4") for n in (0, 5, 70_000, 1, 140_001)]
