@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from riskgraph.functions.columns import numeric_or_zero
@@ -65,3 +65,22 @@ def describe_model(model: PipelineModel, names: list[str]) -> dict:
     weights = gbt.featureImportances
     return {"dump": gbt.toDebugString,
             "importances": {names[i]: float(w) for i, w in zip(weights.indices, weights.values)}}
+
+
+def tree_nodes(model, folder: str) -> DataFrame:
+    """(tree, weight, node, feature, threshold, left, right, value): the boosted trees as rows.
+
+    A fitted ensemble is saved below ``folder`` in the library's own format, whose tables the rows
+    come from. A row goes left where its feature is at most the threshold; a leaf has left -1.
+    """
+    spark = SparkSession.active()
+    model.write().overwrite().save(folder)
+    node = F.col("nodeData")
+    trees = spark.read.parquet(f"{folder}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"),
+        node["split"]["featureIndex"].alias("feature"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        node["prediction"].alias("value"))
+    weight = F.get(F.array(*map(F.lit, model.treeWeights)), F.col("tree"))
+    return trees.select("tree", weight.alias("weight"), *trees.columns[1:])

@@ -13,7 +13,7 @@ from riskgraph.plans import fixtures as fx
 from riskgraph.schemas import (ALL_EDGES, BLACK_GROUP, CONTRACT_GROUP, ENTITY_GROUP,
                                SLICE_GROUP, group_columns, title_suffixes, titles)
 from riskgraph.sources import readers
-from riskgraph.sources.staging import stage
+from riskgraph.sources.staging import stage, tidied
 
 TRAIN_TO, VALID_FROM, VALID_TO = "1999-12", "2000-01", "2001-08"
 SAMPLE_GOOD = 1000
@@ -360,3 +360,4 @@ GROUP_QUERIES = {
     "degree2_black_metrics": (2, BLACK_GROUP, False),
 }
 QUERIES.update({name: _group(*spec) for name, spec in GROUP_QUERIES.items()})
+QUERIES = {name: tidied(query) for name, query in QUERIES.items()}

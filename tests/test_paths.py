@@ -56,7 +56,7 @@ def test_blocks_give_the_same_result(spark):
 
 def test_one_day_of_a_heavy_entity_is_cut(spark, make_apps):
     """One value on one day and the next, far above the block size."""
-    apps = make_apps(*[(str(i), 1 + i // 60, dict(mobile="5", cert_no=str(i % 7)))
+    apps = make_apps(*[(str(i), 1 + i // 60, dict(mobile="5", cert_no=f"c{i % 7}"))
                        for i in range(150)])
     edges = graph.to_edges(apps)
     small = blocks(edges, 8)
