@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,9 +22,10 @@ from riskgraph.sources.staging import stage, unstage
 
 #: Labelled rows the model is fitted on, at most; taken in order of a hash of their doc_id.
 FIT_ROWS = 20_000
-#: Features of the model, at most.
+#: Features of the model, at most: the strongest. They bound the model that travels with a task.
 FEATURES = 2_000
-#: Documents of the fit that must hold a feature, and its least association (z of the log odds).
+#: Documents of the fit that must hold a feature, and its least association (z of the log odds);
+#: weaker ones are chance among the hundreds of thousands of features that are tried.
 LEAST_DOCS, LEAST_Z = 5, 4.0
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
@@ -33,6 +34,8 @@ WORD = re.compile(r"\w+")
 CACHE_WORDS = 100_000
 # Features that a task counts before it hands the counts on.
 COUNTED_FEATURES = 100_000
+# Values of the hash that the sample is cut from.
+HASHES = 1 << 32
 
 # Names of groups, each line of one kind within one language.
 IDENTITY_TERMS = tuple(tuple(line.split()) for line in """
@@ -125,13 +128,22 @@ def may_learn(doc_id: str = "doc_id") -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` learnable labelled texts (toxic, text).
+    """At most ``rows`` learnable labelled texts (toxic, text), those of the least hashes.
 
-    Only the bounded sample of ids is broadcast; no text is shuffled.
+    A range of the hash that holds about twice as many is cut out first, so that one task does not
+    merge ``rows`` of every partition. Only the bounded sample of ids is broadcast; no text is
+    shuffled. The sample is staged, as two passes read it.
     """
-    ids = (labels.where(may_learn() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("toxic", "text")
+    ids = labels.where(may_learn() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
+    total = ids.count()
+    if total > 4 * rows:
+        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < HASHES * 2 * rows // total)
+        order = [F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))]
+    else:
+        order = []
+    ids = ids.orderBy(*order, F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
+    return stage(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+                 .select("toxic", "text"), "toxicity-sample")
 
 
 def _choose_features(sample: DataFrame, limit: int) -> list[str]:
@@ -144,7 +156,8 @@ def _choose_features(sample: DataFrame, limit: int) -> list[str]:
                 docs[toxic].update({"", *(f for w in set(words(text)) for f in features_of(w))})
                 if len(docs[0]) + len(docs[1]) > COUNTED_FEATURES:
                     yield counted(docs)
-        yield counted(docs)
+        if docs[0] or docs[1]:  # a task may see no row, or have handed on all it counted
+            yield counted(docs)
 
     def counted(docs: tuple[Counter, Counter]) -> pd.DataFrame:
         keys = list(docs[0].keys() | docs[1].keys())
@@ -172,13 +185,14 @@ def _choose_features(sample: DataFrame, limit: int) -> list[str]:
     return names
 
 
-def _fit(sample: DataFrame, names: list[str], groups: tuple[tuple[str, ...], ...],
-         fairness: float, ridge: float) -> ToxicityModel:
-    """Fit on the bounded sample; only numbers of chosen features reach the driver."""
+def _encoded(sample: DataFrame, names: list[str],
+             groups: tuple[tuple[str, ...], ...]) -> pd.DataFrame:
+    """(toxic, own, gone, come): numbers of a text's chosen features, and for each swap of its
+    group names that changes them the features that go and those that come."""
     place = {name: k for k, name in enumerate(names)}
 
-    def present(found: list[str]) -> list[int]:
-        return sorted({place[f] for w in set(found) for f in features_of(w) if f in place})
+    def present(found: list[str]) -> set[int]:
+        return {place[f] for w in set(found) for f in features_of(w) if f in place}
 
     @as_task
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,37 +201,74 @@ def _fit(sample: DataFrame, names: list[str], groups: tuple[tuple[str, ...], ...
             for toxic, text in zip(batch["toxic"], batch["text"]):
                 found = words(text)
                 own = present(found)
-                rows.append((toxic, own, []))
-                rows += [(None, own, other) for other in map(present, swaps(found, groups))
-                         if other != own]
-            yield pd.DataFrame(rows, columns=["toxic", "own", "other"])
-
-    rows = sample.mapInPandas(encode, "toxic double, own array<int>, other array<int>").toPandas()
-    plain, pairs = rows[rows["toxic"].notna()], rows[rows["toxic"].isna()]
-    y = plain["toxic"].to_numpy(float)
-    bias = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+                others = [other for other in map(present, swaps(found, groups)) if other != own]
+                rows.append((toxic, sorted(own), [sorted(own - other) for other in others],
+                             [sorted(other - own) for other in others]))
+            if rows:
+                yield pd.DataFrame(rows, columns=["toxic", "own", "gone", "come"])
+
+    return sample.mapInPandas(encode, "toxic double, own array<int>, gone array<array<int>>, "
+                                      "come array<array<int>>").toPandas()
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+class Objective:
+    """Mean log loss, plus ``fairness`` times the mean squared change of the score under swapped
+    group names, plus a ridge; weights come first, the bias last."""
+
+    def __init__(self, rows: pd.DataFrame, columns: int, fairness: float, ridge: float) -> None:
+        self.y = rows["toxic"].to_numpy(float)
+        self.own = _Rows(rows["own"], columns)
+        self.pairs = np.repeat(np.arange(len(rows)), [len(g) for g in rows["gone"]])
+        self.gone = _Rows([s for g in rows["gone"] for s in g], columns)
+        self.come = _Rows([s for g in rows["come"] for s in g], columns)
+        self.fairness, self.ridge = fairness, ridge
+
+    def _scores(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        logit = self.own.dot(w[:-1]) + w[-1]
+        moved = logit[self.pairs] - self.gone.dot(w[:-1]) + self.come.dot(w[:-1])
+        scores = _sigmoid(logit)
+        return scores, scores[self.pairs], _sigmoid(moved)
+
+    def loss(self, w: np.ndarray) -> float:
+        scores, before, after = self._scores(w)
+        out = -(self.y * np.log(scores) + (1 - self.y) * np.log(1 - scores)).mean()
+        out += self.ridge / 2 * (w[:-1] ** 2).sum()
+        if len(self.pairs):
+            out += self.fairness * ((before - after) ** 2).mean()
+        return float(out)
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        scores, before, after = self._scores(w)
+        error = (scores - self.y) / len(self.y)
+        out = np.append(self.ridge * w[:-1], 0.0)
+        if len(self.pairs):
+            change = 2 * self.fairness * (before - after) / len(self.pairs)
+            first, second = change * before * (1 - before), change * after * (1 - after)
+            error += np.bincount(self.pairs, first - second, len(self.y))
+            out[:-1] += self.gone.back(second) - self.come.back(second)
+        out[:-1] += self.own.back(error)
+        out[-1] += error.sum()
+        return out
+
+
+def _fit(sample: DataFrame, names: list[str], groups: tuple[tuple[str, ...], ...],
+         fairness: float, ridge: float) -> ToxicityModel:
+    """Fit on the bounded sample; only numbers of chosen features reach the driver."""
+    rows = _encoded(sample, names, groups)
+    toxic = rows["toxic"].sum()
+    bias = math.log((toxic + 1) / (len(rows) - toxic + 1))
     if not names:
         return ToxicityModel(bias)
-    x = _Rows(plain["own"], len(names))
-    moved = _Rows(pairs["own"], len(names)), _Rows(pairs["other"], len(names))
+    goal = Objective(rows, len(names), fairness, ridge)
     w = np.zeros(len(names) + 1)
     w[-1] = bias
-
-    def gradient(w: np.ndarray) -> np.ndarray:
-        error = 1 / (1 + np.exp(-np.clip(x.dot(w[:-1]) + w[-1], -30, 30))) - y
-        out = np.append(x.back(error) / len(y) + ridge * w[:-1], error.mean())
-        if len(pairs):
-            before, after = (1 / (1 + np.exp(-np.clip(m.dot(w[:-1]) + w[-1], -30, 30)))
-                             for m in moved)
-            change = 2 * fairness * (before - after) / len(pairs)
-            first, second = change * before * (1 - before), change * after * (1 - after)
-            out += np.append(moved[0].back(first) - moved[1].back(second),
-                             (first - second).sum())
-        return out
-
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, 601):  # Adam on the whole sample, with a falling rate
-        g = gradient(w)
+        g = goal.gradient(w)
         mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
         rate = 0.1 * (1 - step / 700)
         w -= rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
@@ -227,7 +278,7 @@ def _fit(sample: DataFrame, names: list[str], groups: tuple[tuple[str, ...], ...
 class _Rows:
     """Rows of a 0/1 matrix, as lists of their columns."""
 
-    def __init__(self, lists: pd.Series, columns: int) -> None:
+    def __init__(self, lists: Sequence, columns: int) -> None:
         sizes = [len(a) for a in lists]
         self.rows = np.repeat(np.arange(len(sizes)), sizes)
         self.columns = np.concatenate([np.asarray(a, np.int64) for a in lists] or
@@ -252,7 +303,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame,
     text gets the share of toxic rows.
     """
     sample = _sample(docs, labels, rows)
-    return _fit(sample, _choose_features(sample, features), groups, fairness, ridge)
+    model = _fit(sample, _choose_features(sample, features), groups, fairness, ridge)
+    unstage(sample)
+    return model
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel,

@@ -1,5 +1,8 @@
+import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from riskgraph.llm import toxicity as tox
@@ -88,3 +91,42 @@ def test_fold(spark):
         "doc_id", tox.may_learn().alias("learn"))
     assert all(r.learn == (zlib.crc32(str(r.doc_id).encode()) % 3 != 1) for r in df.collect())
     assert not spark.sql("select cast(null as long) as doc_id").select(tox.may_learn()).first()[0]
+
+
+def test_a_text_is_scored_by_its_distinct_features():
+    model = tox.ToxicityModel(-1.0, {"abcdef": 2.0, "abcd*": 0.5, "xy": -3.0, "zz*": 9.0})
+    for text, logit in (("Abcdef abcdef", 1.5), ("abcdx, XY!", -3.5), ("", -1.0), (None, -1.0)):
+        assert model.scorer()(text) == pytest.approx(1 / (1 + math.exp(-logit)))
+
+
+def test_the_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({
+        "toxic": [1.0, 0.0, 1.0, 0.0], "own": [[0, 2], [1, 2, 4], [], [3]],
+        "gone": [[[0], [2]], [[1, 4]], [], []], "come": [[[1], [3, 4]], [[0]], [], []]})
+    goal = tox.Objective(rows, 5, fairness=3.0, ridge=0.1)
+    w = rng.standard_normal(6)
+    step = 1e-6
+    numeric = [(goal.loss(w + step * e) - goal.loss(w - step * e)) / (2 * step)
+               for e in np.eye(6)]
+    assert np.allclose(goal.gradient(w), numeric, atol=1e-7)
+    alone = tox.Objective(rows.iloc[2:], 5, fairness=3.0, ridge=0.0)
+    assert alone.loss(np.zeros(6)) == pytest.approx(math.log(2))
+
+
+def test_tasks_that_see_no_label(spark, tmp_path, monkeypatch):
+    """Two files of documents, labels for the first only; and counts handed on at a task's end."""
+    path = str(tmp_path / "docs")
+    first = [(i, "zorkish soti" if i % 2 else "bara soti") for i in range(40)]
+    second = [(i, "bara zorkish") for i in range(100, 140)]
+    for part in (first, second):
+        spark.createDataFrame(part, "doc_id long, text string").coalesce(1).write.mode(
+            "append").parquet(path)
+    docs = spark.read.parquet(path)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    want = tox.fit_toxicity(docs, labels)
+    assert want.scorer()("zorkish") > 0.7 > want.scorer()("bara")
+    # Every text is one more feature than the bound, so each is handed on by itself.
+    monkeypatch.setattr(tox, "COUNTED_FEATURES", 2)
+    assert tox.fit_toxicity(docs, labels) == want
+    assert tox._sample(docs, labels, 5).count() == 5
