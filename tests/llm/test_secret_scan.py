@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import math
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +72,29 @@ def test_against_plain_python(scanned):
     assert not [s for s in scanned[8].secrets]
 
 
+def test_a_text_full_of_secrets_takes_time_in_proportion(spark):
+    """50,000 matches in one text, and one candidate with thousands of spans."""
+    key = "q7Zp9+Lk2VxR8mNs4TyB1wCd6EfG3hJ"
+    texts = {1: "é\n".join(f"token=abc{i:06d}" for i in range(2_000)),
+             2: "é\n".join(f"token=abc{i:06d}" for i in range(50_000)),
+             3: (key + "a" * 60 + "1") * 3_000}
+    seconds = {}
+    for i, text in texts.items():
+        docs = spark.createDataFrame([(i, text)], "doc_id long, text string")
+        start = time.time()
+        found = scan.find_secrets(docs)
+        row = found.first()
+        clean = scan.redact(found).first().text
+        seconds[i] = time.time() - start
+        names = {"assign", "access", "hex"}
+        assert [(s.kind, s.start, s.end) for s in row.secrets if s.kind in names] == base(text)
+        assert all(s.value == text[s.start:s.end] for s in row.secrets)
+        ends = list(itertools.accumulate((s.end for s in row.secrets), max))
+        marks = sum(s.start > end for s, end in zip(row.secrets, [-1] + ends))
+        assert clean.count("[SECRET]") == marks
+    assert seconds[2] < 60
+
+
 def test_redact(spark, scanned):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(TEXTS)],
                                  "doc_id long, text string, n_chars long")
