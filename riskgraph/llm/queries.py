@@ -9,10 +9,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import (
-    decontaminate, embedding_dedup, license_scan, ngram_join, oracle, packing, secret_scan,
-    suffix_dedup, token_files, toxicity, warc,
+    conversation_repair, decontaminate, embedding_dedup, license_scan, ngram_join, oracle, packing,
+    pii, secret_scan, spelling_groups, suffix_dedup, token_files, toxicity, warc,
 )
-from riskgraph.sources.staging import new_path
+from riskgraph.sources.staging import new_path, tidied
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,12 +95,37 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       license_scan.templates(spark))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit_pii(docs))
+    spans = F.col("pii")
+    base = F.filter(spans, lambda s: s["rank"] < len(pii.KINDS))
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [count(rank).alias(f"n_{kind}") for rank, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts,
+                        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+                        secret_scan.span_text(spans).alias("spans"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_groups.count_words(table(spark, sf_dir, "documents"), slip=199)
+    return spelling_groups.group_variants(words)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, dropped = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.audit_conversations(turns, dropped)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {
+QUERIES: dict[str, Query] = {name: tidied(query) for name, query in {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_packing": op3_packing,
@@ -111,7 +136,10 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "op11_pii": op11_pii,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": pipeline,
-}
+}.items()}
 
 ORACLES: dict[str, str] = dict(oracle.STATEMENTS)
