@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.functions.joins import BLOCK_ROWS, day_blocks, salted_lookup
+from riskgraph.functions.joins import BLOCK_ROWS, counted_lookup, day_blocks, heavy_split
 from riskgraph.schemas import (APPLY_NODE_FIELDS, EDGES, MISSING,
                                NODE_PROPERTIES, PERSON_EDGES)
 from riskgraph.sources.staging import stage
+from riskgraph.sources.writers import bucketed_table
 
 
 def clean_applications(raw: DataFrame, order_by: tuple = ("source_file", "source_pos")) -> DataFrame:
@@ -52,13 +53,30 @@ class Graph:
 
 def load(applications: DataFrame, strict_idcard: bool = True,
          block_rows: int = BLOCK_ROWS) -> Graph:
-    """Load the graph: stage applications and edges once and look for heavy entities."""
-    nodes = stage(applications, "applications")
+    """Load the graph: stage applications and edges once and look for heavy entities.
+
+    Applications are dealt out by order first, so that few large input files, or one, do not bound
+    the tasks that the far larger edge table is made and read by.
+    """
+    nodes = stage(applications.repartition("order_id"), "applications")
     edges = stage(to_edges(nodes, strict_idcard=strict_idcard), "edges")
     blocks = stage(day_blocks(edges, "entity_value", "apply_date", block_rows), "blocks")
     return Graph(nodes, edges, blocks)
 
 
+def store_edges(graph: Graph, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(light, heavy): the edges stored by value, so that an export shuffles its sources only.
+
+    Edges of light entities are bucketed and sorted by value; those of heavy entities, which would
+    make a bucket large, are kept apart as plain files. ``buckets`` are the session's shuffle
+    partitions by default, as Spark takes fewer for too little parallelism.
+    """
+    light, heavy = heavy_split(graph.edges, "entity_value", graph.blocks)
+    buckets = buckets or int(light.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (bucketed_table(light, "entity_value", buckets, "edges-by-value"),
+            stage(heavy, "edges-of-heavy-values"))
+
+
 def entity_nodes(edges: DataFrame) -> DataFrame:
     """Distinct entity values with a label and the number of distinct orders."""
     per_order = edges.groupBy("entity_value", "order_id").agg(F.min("label").alias("label"))
@@ -108,7 +126,7 @@ def person_edges(items: DataFrame) -> DataFrame:
     """Distinct person-entity edges; an entity carries the earliest time seen anywhere."""
     links = items.select("cert_no", "apply_date", "edge_type", "entity_value", "label").distinct()
     dated = items.groupBy("entity_value").agg(F.min("entity_at").alias("entity_at"))
-    return salted_lookup(links, dated, ["entity_value"], F.col("cert_no"))
+    return counted_lookup(stage(links, "person-links"), dated, ["entity_value"], F.col("cert_no"))
 
 
 def person_sample(good: DataFrame, black: DataFrame) -> DataFrame:

@@ -10,14 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskgraph.functions import columns as C
-from riskgraph.functions.joins import block_join, salted_lookup
+from riskgraph.functions.joins import (LOOKUP_ROWS, block_join, heavy_keys, measured_lookup,
+                                       salted_lookup)
 from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, EDGES, ENTITY_METRICS,
                                PRODUCT_METRICS)
+from riskgraph.sources.staging import broadcast_below, stage
 
 N_EDGES = len(EDGES)
 if N_EDGES != 8:
     raise ValueError("masks hold 8 edge types: pairs of types fill a 64-bit integer")
+BLACKLIST_ROWS = 1_000_000            # entries up to which the blacklist is broadcast
 ALL_BIT = -1                          # bit number of the all-edge scope
 PAIR_KEYS = ["order_id_src", "cert_no_src", "apply_date_src", "order_id_dst", "apply_date_dst"]
 
@@ -65,8 +68,18 @@ def degree1_pairs(edges: DataFrame, blocks: DataFrame,
     return _with_self(_degree1_links(edges, blocks, sources, keep_far_type=False))
 
 
-def degree2_pairs(edges: DataFrame, blocks: DataFrame,
-                  sources: DataFrame | None = None) -> DataFrame:
+def busy_orders(edges: DataFrame, blocks: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
+    """(order_id, copies): orders that more than ``rows`` sources may reach, as an entity of theirs
+    has that many orders; copies spread their lookups. Broadcast only if few."""
+    shared = blocks.select("entity_value", ((F.col("last_block") + 1) * F.col("block_rows"))
+                           .alias("n")).where(F.col("n") > rows).distinct()
+    found = edges.join(shared, "entity_value").groupBy("order_id").agg(
+        F.ceil(F.max("n") / rows).cast("int").alias("copies"))
+    return broadcast_below(stage(found, "busy-orders"), 1_000_000, "order_id")
+
+
+def degree2_pairs(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None,
+                  busy: DataFrame | None = None) -> DataFrame:
     """Pairs two hops apart, without enumerating the paths.
 
     1. (source, middle) with an 8 x 8 mask of (outgoing type, type at the middle);
@@ -87,7 +100,7 @@ def degree2_pairs(edges: DataFrame, blocks: DataFrame,
     reach = " + ".join(
         f"if(shiftright(hop, {N_EDGES * e}) & 255 & ~shiftleft(1L, e2) != 0, "
         f"shiftleft(1L, {N_EDGES * e} + e2), 0L)" for e in range(N_EDGES))
-    hops = (salted_lookup(middle, out, ["order_id"], F.col("order_id_src"), salts=4)
+    hops = (_per_order(middle, out, busy)
             .withColumn("o", F.explode("out")).drop("out").select("*", "o.*").drop("o")
             .withColumn("mask", F.expr(reach)).where(F.col("mask") != 0)
             .groupBy("order_id_src", "cert_no_src", "apply_date_src", "entity_value", "mask")
@@ -101,6 +114,20 @@ def degree2_pairs(edges: DataFrame, blocks: DataFrame,
                                  "order_id_src", "order_id_dst", blocks, residual=other))
 
 
+def _per_order(facts: DataFrame, unique: DataFrame, busy: DataFrame | None) -> DataFrame:
+    """Look up ``unique`` by order for rows of (source, order)."""
+    if busy is None:
+        return salted_lookup(facts, unique, ["order_id"], F.col("order_id_src"), salts=4)
+    return measured_lookup(facts, unique, ["order_id"], F.col("order_id_src"), busy)
+
+
+def set_bits(mask: str, degree: int, also_all: bool = False) -> Column:
+    """Generator: one row per bit that is set in ``mask``, with ``also_all`` one more, -1."""
+    bits = N_EDGES if degree == 1 else N_EDGES * N_EDGES
+    return F.explode(F.expr(f"filter(sequence({-1 if also_all else 0}, {bits - 1}), "
+                            f"b -> b < 0 or shiftright({mask}, b) & 1L = 1)"))
+
+
 def bits_of(mask: str, degree: int, also_all: bool = False) -> Column:
     """Generator: one row per edge type (or pair) set in ``mask``, with ``also_all`` one more.
 
@@ -135,8 +162,8 @@ def pairs_by_edge(pairs: DataFrame, degree: int = 1) -> DataFrame:
 def blacklisted_orders(attributes: DataFrame, blacklist: DataFrame) -> DataFrame:
     """(order_id, <metric>_black ...): 0/1 per attribute kind, computed once per order.
 
-    Only orders with a hit are returned. The blacklist is reduced to distinct entries first,
-    and orders are spread over salts, so an entry shared by very many orders stays balanced.
+    Only orders with a hit are returned. The blacklist is reduced to distinct entries first; a small
+    one is broadcast, else entries shared by very many orders are counted and spread.
     """
     kinds = [(m.black_type, m.column) for m in ENTITY_METRICS if m.black_type]
     kinds.append((BLACK_CONTRACT, "order_id"))
@@ -144,8 +171,15 @@ def blacklisted_orders(attributes: DataFrame, blacklist: DataFrame) -> DataFrame
         F.struct(F.lit(k).alias("type"), F.col(col).alias("content")) for k, col in kinds])
     probe = (attributes.select("order_id", F.explode(values).alias("v"))
              .select("order_id", "v.type", "v.content"))
-    hits = salted_lookup(probe, blacklist.select("type", "content").distinct(),
-                         ["type", "content"], F.col("order_id"))
+    entries = stage(blacklist.select("type", "content").distinct(), "blacklist")
+    small = broadcast_below(entries, BLACKLIST_ROWS, "content")
+    on = ["type", "content"]
+    if small is entries:
+        listed = probe.join(entries, on, "left_semi")
+        hits = measured_lookup(probe, entries, on, F.col("order_id"), broadcast_below(
+            heavy_keys(listed, on), 1_000_000))
+    else:
+        hits = probe.join(small, on)
     return hits.groupBy("order_id").agg(
         *[F.max(C.flag(F.col("type") == k)).alias(k) for k, _ in kinds])
 
@@ -162,14 +196,14 @@ def prepare_attributes(attributes: DataFrame, blacklist: DataFrame | None = None
     return out.join(marks, "order_id", "left").na.fill(0, kinds)
 
 
-def with_attributes(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
+def with_attributes(pairs: DataFrame, prepared: DataFrame,
+                    busy: DataFrame | None = None) -> DataFrame:
     """Attach the neighbour's attributes; pairs whose neighbour has none are dropped.
 
     Attributes are unique per order; an order that very many sources reach is looked up by
-    several tasks.
+    several tasks: those that ``busy`` names, or all of them four times.
     """
-    found = salted_lookup(pairs.withColumnRenamed("order_id_dst", "order_id"), prepared,
-                          ["order_id"], F.col("order_id_src"), salts=4)
+    found = _per_order(pairs.withColumnRenamed("order_id_dst", "order_id"), prepared, busy)
     return found.withColumnRenamed("order_id", "order_id_dst")
 
 

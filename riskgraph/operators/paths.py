@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.functions.joins import block_join, salted_lookup
+from riskgraph.functions.joins import block_join, measured_lookup, salted_lookup
 from riskgraph.schemas import NODE_PROPERTIES
 
 SRC = ["order_id_src"] + [f"{p}_src" for p in NODE_PROPERTIES]
@@ -34,10 +34,16 @@ def _end(edges: DataFrame, end: str, edge_col: str, value_col: str, *more: str)
         F.col("edge_type").alias(edge_col), F.col("entity_value").alias(value_col), *more)
 
 
-def degree1(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """Distinct paths order - value - earlier order (21 columns)."""
+def degree1(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None,
+            store: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Distinct paths order - value - earlier order (21 columns).
+
+    With ``store`` (from ``graph.store_edges``) the orders at the far end come from the stored edges:
+    only the sources' edges are shuffled.
+    """
     src = _end(from_orders(edges, sources), "src", "edg_type_src1", "contact_value1")
-    dst = _end(edges, "dst1", "edg_type_dst1", "contact_value1")
+    ends = [_end(part, "dst1", "edg_type_dst1", "contact_value1") for part in store or (edges,)]
+    dst = tuple(ends) if store else ends[0]
     paths = block_join(src, dst, "contact_value1", "apply_date_src", "apply_date_dst1",
                        "order_id_src", "order_id_dst1", blocks)
     # Edges are unique per (order, type), so the paths are distinct as they come.
@@ -64,11 +70,12 @@ def degree1_unordered(edges: DataFrame, blocks: DataFrame,
             .select("order_id_src", *HOP1, "order_id_dst1"))
 
 
-def degree2(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def degree2(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = None,
+            busy: DataFrame | None = None) -> DataFrame:
     """Distinct paths order - value - earlier order - value - still earlier order (33 columns).
 
-    A middle order has at most one edge per type, so its edges travel as one short list and are
-    looked up with salts: a middle order that very many paths share is joined by several tasks.
+    A middle order has at most one edge per type, so its edges travel as one short list; a middle
+    order that very many paths share (``busy``, from ``busy_orders``) is joined by several tasks.
     """
     first = degree1(edges, blocks, sources)
     out = edges.groupBy(F.col("order_id").alias("order_id_dst1")).agg(F.collect_list(
@@ -76,8 +83,12 @@ def degree2(edges: DataFrame, blocks: DataFrame, sources: DataFrame | None = Non
                  F.col("entity_value").alias("contact_value2"))).alias("out"))
     reused = ((F.col("edg_type_dst1") == F.col("edg_type_src2"))
               & (F.col("contact_value1") == F.col("contact_value2")))
-    middle = (salted_lookup(first, out, ["order_id_dst1"], F.col("order_id_src"), salts=4)
-              .withColumn("o", F.explode("out")).select(*DEGREE1_COLUMNS, "o.*").where(~reused))
+    if busy is None:
+        joined = salted_lookup(first, out, ["order_id_dst1"], F.col("order_id_src"), salts=4)
+    else:
+        joined = measured_lookup(first, out, ["order_id_dst1"], F.col("order_id_src"),
+                                 busy.withColumnRenamed("order_id", "order_id_dst1"))
+    middle = (joined.withColumn("o", F.explode("out")).select(*DEGREE1_COLUMNS, "o.*").where(~reused))
     far = _end(edges, "dst2", "edg_type_dst2", "contact_value2")
     other = ((F.col("order_id_src") != F.col("order_id_dst2"))
              & (F.col("cert_no_src") != F.col("cert_no_dst2")))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskgraph.functions import columns as C
 from riskgraph.operators.graph import to_edges
-from riskgraph.schemas import (BLACK_CONTRACT, ENTITY_METRICS, MISSING, PERSON_EDGES,
-                               PRODUCT_NAMES)
+from riskgraph.schemas import (APPLICATION_FIELDS, BLACK_CONTRACT, ENTITY_METRICS, MISSING,
+                               PERSON_EDGES, PERSON_FIELDS, PRODUCT_NAMES)
 
 PRODUCTS = tuple(PRODUCT_NAMES.values())
 
@@ -116,6 +116,30 @@ def person_sets(apps: DataFrame) -> DataFrame:
     return apps.groupBy("cert_no").agg(F.min(day).alias("apply_date"), *packed)
 
 
+def application_lines(apps: DataFrame) -> DataFrame:
+    """(part, line): the applications as lines of the CSV layout, fields padded with blanks.
+
+    Some lines are cut short, and some have a date that cannot be read.
+    """
+    k = F.col("order_id").cast("long")
+    known = {**{c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in apps.columns},
+             "apply_date": F.when(k % 55 == 9, "1996/13/45").otherwise(
+                 F.date_format("apply_date", "yyyy-MM-dd HH:mm:ss"))}
+    fields = [F.concat(F.lit(" "), known.get(c, F.lit("")), F.lit("  "))
+              for c in APPLICATION_FIELDS]
+    line = F.when(k % 40 == 7, F.concat_ws(",", *fields[:12])).otherwise(F.concat_ws(",", *fields))
+    return apps.select((k % 3).alias("part"), line.alias("line"))
+
+
+def person_lines(persons: DataFrame) -> DataFrame:
+    """(part, line): person sets as lines; some are cut short, some hold an item without a time."""
+    c = F.substring("cert_no", 2, 20).cast("long")
+    mobile = F.when(c % 9 == 0, F.concat("mobile", F.lit("##lost"))).otherwise(F.col("mobile"))
+    fields = [mobile if f == "mobile" else F.col(f) for f in PERSON_FIELDS]
+    line = F.when(c % 31 == 5, F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
+    return persons.select((c % 2).alias("part"), line.alias("line"))
+
+
 def person_samples(apps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, black): persons with a contract and no fraud order; persons with a fraud order."""
     black = apps.join(fraud(apps), "order_id", "left_semi").select("cert_no")

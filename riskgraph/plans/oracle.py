@@ -255,6 +255,14 @@ def _path_statements() -> dict[str, str]:
     hop1 = """n.edge_type AS edg_type_src1, n.entity_value AS contact_value1,
             m.edge_type AS edg_type_dst1"""
     step = "JOIN ends m ON n.entity_value = m.entity_value AND n.apply_date > m.apply_date"
+    within = "CAST(n.apply_date AS DATE) BETWEEN DATE '{}' AND DATE '{}'"
+
+    def one_hop(where: str) -> str:
+        """All columns of the paths of some sources."""
+        return _with(["ends"], f"""SELECT n.order_id AS order_id_src, {_props('n', 'src')},
+            {hop1}, m.order_id AS order_id_dst1, {_props('m', 'dst1')}
+          FROM ends n {step} {where} ORDER BY ALL""")
+
     return {
         "degree1_paths": _with(["ends"], f"""SELECT n.order_id AS order_id_src,
             {_props('n', 'src')}, {hop1}, m.order_id AS order_id_dst1, {_props('m', 'dst1')}
@@ -264,29 +272,70 @@ def _path_statements() -> dict[str, str]:
             r1.edge_type AS edg_type_dst1, r1.order_id AS order_id_dst1
           FROM edges r JOIN edges r1 ON r.entity_value = r1.entity_value
             AND (r.order_id <> r1.order_id OR r.edge_type <> r1.edge_type) ORDER BY ALL"""),
-        "degree1_backfill_range": _with(["ends"], f"""SELECT n.order_id AS order_id_src,
-            {_day('n.apply_date', 'apply_date_src')}, {hop1}, m.order_id AS order_id_dst1,
-            {_day('m.apply_date', 'apply_date_dst1')}
-          FROM ends n {step} WHERE {early.format('n')} ORDER BY ALL"""),
+        "degree1_backfill_range": one_hop(f"WHERE {early.format('n')}"),
+        "backfilled_paths": one_hop(f"WHERE {within.format(*q.FILL)}"),
+        "backfill_record": _with(["ends"], f"""SELECT strftime(d, '%Y-%m-%d') AS day,
+            'done' AS state, count(m.order_id) AS rows
+          FROM (SELECT unnest(range(DATE '{q.FILL[0]}', DATE '{q.FILL[1]}' + 1, INTERVAL 1 DAY))
+            AS d) LEFT JOIN (ends n {step}) ON CAST(n.apply_date AS DATE) = d GROUP BY d
+          UNION ALL SELECT '{q.FAILS_ONCE}', 'failed', 0"""),
+        "rewritten_paths": one_hop(f"""WHERE {within.format(*q.SHOWN_DAYS)} AND (n.edge_type <>
+            'MYPHONE' OR CAST(n.apply_date AS DATE) <> DATE '{q.REWRITTEN_DAY}')"""),
         "monthly_orders": _with(["apps"], """SELECT CAST(year(apply_date) AS INTEGER) AS year,
             CAST(month(apply_date) AS INTEGER) AS month, count(*) AS orders FROM apps
           WHERE apply_date >= DATE '1996-01-01' AND apply_date < DATE '1998-01-01'
           GROUP BY 1, 2"""),
-        "degree2_paths": _with(["ends"], f"""SELECT p.order_id_src, p.edg_type_src1,
-            p.contact_value1, p.edg_type_dst1, p.order_id_dst1, r.edge_type AS edg_type_src2,
-            r.entity_value AS contact_value2, f.edge_type AS edg_type_dst2,
-            f.order_id AS order_id_dst2, {_day('f.apply_date', 'apply_date_dst2')},
-            f.cert_no AS cert_no_dst2
+        "degree2_paths": _with(["ends"], f"""SELECT p.* EXCLUDE (at_dst1),
+            r.edge_type AS edg_type_src2, r.entity_value AS contact_value2,
+            f.edge_type AS edg_type_dst2, f.order_id AS order_id_dst2, {_props('f', 'dst2')}
           FROM one p JOIN edges r ON r.order_id = p.order_id_dst1
           JOIN ends f ON f.entity_value = r.entity_value AND f.apply_date < p.at_dst1
-          WHERE f.order_id <> p.order_id_src AND f.cert_no <> p.cert_src
+          WHERE f.order_id <> p.order_id_src AND f.cert_no <> p.cert_no_src
             AND NOT (p.edg_type_dst1 = r.edge_type AND p.contact_value1 = r.entity_value)
-          ORDER BY ALL""", {"one": f"""SELECT n.order_id AS order_id_src, n.cert_no AS cert_src,
-            {hop1}, m.order_id AS order_id_dst1, m.apply_date AS at_dst1
+          ORDER BY ALL""", {"one": f"""SELECT n.order_id AS order_id_src, {_props('n', 'src')},
+            {hop1}, m.order_id AS order_id_dst1, {_props('m', 'dst1')}, m.apply_date AS at_dst1
           FROM ends n {step} WHERE {early.format('n')}"""}),
     }
 
 
+# Positions of the application fields that the CSV lines fill, as the published loader reads them.
+CSV_FIELDS = {0: "order_id", 3: "loan_pan", 5: "told", 8: "cert_no", 9: "email", 11: "mobile",
+              13: "comp_phone", 14: "emergency_contact_mobile", 15: "contact_mobile",
+              19: "device_id", 20: "current_due_day", 21: "history_due_day", 22: "performance",
+              25: "product_name", 26: "apply_state", 27: "apply_last_state", 28: "fail_reason"}
+CSV_EMPTY = ("contract_no term_id return_pan recommend user_id company company_addr ipv4 msg_phone "
+             "telecode refuse_type product_no").split()
+
+
+def _csv_statements(persons: dict) -> dict[str, str]:
+    k = "CAST(order_id AS BIGINT)"
+    dated = f"""SELECT *, CASE WHEN {k} % 55 = 9 THEN '1996/13/45'
+        ELSE strftime(apply_date, '%Y-%m-%d %H:%M:%S') END AS told FROM apps"""
+    cells = [f"' ' || coalesce(CAST({CSV_FIELDS[i]} AS VARCHAR), '') || '  '" if i in CSV_FIELDS
+             else "'   '" for i in range(29)]
+    whole, short = (" || ',' || ".join(cells[:n]) for n in (29, 12))
+    empty = ", ".join(f"'' AS {c}" for c in CSV_EMPTY)
+    text = ", ".join(f"coalesce({c}, '') AS {c}" for c in CSV_FIELDS.values()
+                     if c not in ("told", "current_due_day", "history_due_day"))
+    c = "CAST(substr(cert_no, 2) AS BIGINT)"
+    read = {n: b.replace("FROM apps", f"FROM (SELECT * FROM apps WHERE {c} % 31 <> 5)")
+            for n, b in persons.items()}
+    first = "min(strftime(apply_date, '%Y-%m-%d'))"
+    return {
+        "csv_applications": _with(["apps"], f"""SELECT {text}, {empty}, current_due_day,
+            history_due_day, {_day('apply_date')} FROM apps
+          WHERE {k} % 40 <> 7 AND {k} % 55 <> 9"""),
+        "csv_application_rejects": _with(["apps"], f"""SELECT 'part=' || ({k} % 3) AS folder,
+            CASE WHEN {k} % 40 = 7 THEN {short} ELSE {whole} END AS line
+          FROM dated WHERE {k} % 40 = 7 OR {k} % 55 = 9""", {"dated": dated}),
+        "csv_person_edges": _with(["apps"], "SELECT * FROM person", read),
+        "csv_person_rejects": _with(["apps"], f"""SELECT DISTINCT cert_no AS folder,
+            'MYPHONE:lost' AS line FROM apps WHERE {c} % 9 = 0 AND {c} % 31 <> 5
+          UNION ALL SELECT 'part=' || ({c} % 2), cert_no || ',' || {first} FROM apps
+            WHERE {c} % 31 = 5 GROUP BY cert_no"""),
+    }
+
+
 def _graph_statements() -> dict[str, str]:
     items = "\n UNION ALL ".join(
         f"SELECT DISTINCT cert_no, '{e.name}' AS edge_type, '{e.label}' AS label, {e.column} "
@@ -328,6 +377,7 @@ def _graph_statements() -> dict[str, str]:
             {_digits('comp_phone')} AS as_attribute FROM apps"""),
         "unpack_person_sets": _with(["apps"], "SELECT * FROM person", extra),
         "application_edges": _with(["edges"], "SELECT * FROM edges"),
+        **_csv_statements(extra),
         "entity_nodes": _with(["edges"], """SELECT entity_value, min(label) AS label,
             count(DISTINCT order_id) AS degree FROM edges GROUP BY entity_value"""),
         "apply_nodes": _with(["apps"], f"SELECT {nodes} FROM apps"),
@@ -375,6 +425,10 @@ def _feature_statements() -> dict[str, str]:
           AS values
       FROM long2 JOIN numbers USING (title) GROUP BY order_id_src""",
         {"long2": LONG2, "numbers": f"SELECT * FROM (VALUES {numbers}) AS t(title, idx)"})
+    out["rewritten_features"] = _with(["ap1"], """SELECT order_id_src,
+        cnt + CASE WHEN title = 'order_cnt_idcard' THEN 1000 ELSE 0 END AS cnt, title
+      FROM long WHERE title IN ('order_cnt_idcard', 'order_cnt_device')""",
+        {"long": _long_sql("ap1", ["edge1"], [(CONTRACT_GROUP, False)], False)})
     out["feature_counts"] = _with(["d1c", "d2"], """SELECT 'degree2' AS table_name,
         count(DISTINCT order_id_src) AS n FROM d2
       UNION ALL SELECT 'degree1', count(DISTINCT order_id_src) FROM d1c""")
@@ -405,6 +459,7 @@ def _training_statements() -> dict[str, str]:
             " WHERE l.order_id IN (SELECT order_id FROM contracts)")
     training = _with(tables, "SELECT label, l.order_id, apply_time, " + ", ".join(
         f"coalesce({c}, 0) AS {n}" for n, c in names.items()) + rows, parts)
+    numbers = ", ".join(f"('{n}', {i})" for i, n in enumerate(names))
     # Opened to (column, value) with the missing ones counted by difference.
     values = ("SELECT l.order_id, 'degree1_' || title AS column_name, cnt FROM labels l"
               " JOIN long1 ON order_id_src = l.order_id WHERE l.order_id IN"
@@ -422,12 +477,23 @@ def _training_statements() -> dict[str, str]:
         {**labels, "long1": LONG1, "long2": LONG2, "vals": values, "listed": listed,
          "total": """SELECT count(*) AS n_rows FROM labels l
             WHERE l.order_id IN (SELECT order_id FROM contracts)"""})
+    vectors = _with(
+        tables, """SELECT label, l.order_id, apply_time,
+        coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS indices,
+        coalesce(string_agg(CAST(cnt AS VARCHAR), ',' ORDER BY idx), '') AS values
+      FROM labels l LEFT JOIN (SELECT v.*, idx FROM vals v JOIN numbers USING (column_name)
+        WHERE cnt <> 0) v ON v.order_id = l.order_id
+      WHERE l.order_id IN (SELECT order_id FROM contracts) GROUP BY label, l.order_id, apply_time""",
+        {**labels, "long1": LONG1, "long2": LONG2, "vals": values,
+         "numbers": f"SELECT * FROM (VALUES {numbers}) AS t(column_name, idx)"})
     key = f"md5('{q.SEED}:' || order_id)"
     share = f"{int(0.7 * 16 ** 8):08x}"
     return {
         "label_v1": _with(["fraud"], "SELECT * FROM labels", labels),
         "label_v2": _with(["fraud"], "SELECT * FROM labels", {"labels": _label_sql(False)}),
         "training_table": training,
+        "training_vectors": vectors,
+        "replaced_table": _with(["fraud"], "SELECT * FROM labels", {"labels": _label_sql(False)}),
         "column_profile": profile,
         "balanced_sample": _with(["fraud"], f"""SELECT * FROM labels WHERE label = 1
           UNION ALL (SELECT * FROM labels WHERE label = 0 ORDER BY {key}, order_id

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions import columns as C
 from riskgraph.operators import (evaluate, features as feat, graph, labels, model, neighbours,
-                                 paths, profile, reshape, sampling)
-from riskgraph.plans import fixtures as fx
+                                 paths, profile, reshape, running, sampling)
+from riskgraph.plans import backfill, fixtures as fx
 from riskgraph.schemas import (ALL_EDGES, BLACK_GROUP, CONTRACT_GROUP, ENTITY_GROUP,
                                SLICE_GROUP, group_columns, title_suffixes, titles)
-from riskgraph.sources import readers
-from riskgraph.sources.staging import stage, tidied
+from riskgraph.sources import readers, writers
+from riskgraph.sources.staging import new_path, stage, tidied
 
 TRAIN_TO, VALID_FROM, VALID_TO = "1999-12", "2000-01", "2001-08"
 SAMPLE_GOOD = 1000
@@ -21,6 +21,9 @@ SEED = 11
 LARGE_SAMPLE = 5000
 LABEL_YEAR = 1996
 RANGE = (date(1996, 1, 1), date(1996, 12, 31))
+FILL = (date(1996, 2, 1), date(1996, 2, 4))
+FAILS_ONCE = date(1996, 2, 3)
+SHOWN_DAYS, REWRITTEN_DAY = (date(1996, 1, 8), date(1996, 1, 12)), date(1996, 1, 10)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -72,6 +75,53 @@ def person_entities(spark, sf):
                                  graph.person_edges(items))
 
 
+# ------------------------------------------------------------------------- CSV sources
+def _csv(spark, lines: DataFrame, name: str) -> str:
+    """A tree of text files of the lines."""
+    path = new_path(spark, name)
+    lines.write.partitionBy("part").text(path)
+    return path
+
+
+def _lines(rejects: DataFrame) -> DataFrame:
+    """Rejected lines with the folder of their file."""
+    return rejects.select(F.regexp_extract("source_file", r"/(part=\d+)/", 1).alias("folder"),
+                          "line")
+
+
+def _csv_applications(spark, sf):
+    return readers.read_applications(spark, _csv(
+        spark, fx.application_lines(fx.applications(spark, sf)), "csv-applications"))
+
+
+def csv_applications(spark, sf):
+    """Applications through CSV files: fields trimmed, numbers and dates read."""
+    rows, _ = _csv_applications(spark, sf)
+    return as_text(rows.drop("source_file", "source_pos"))
+
+
+def csv_application_rejects(spark, sf):
+    _, rejects = _csv_applications(spark, sf)
+    return _lines(rejects)
+
+
+def _csv_persons(spark, sf):
+    rows, rejects = readers.read_person_sets(spark, _csv(
+        spark, fx.person_lines(fx.person_sets(fx.applications(spark, sf))), "csv-persons"))
+    return (*graph.unpack_person_sets(rows), rejects)
+
+
+def csv_person_edges(spark, sf):
+    return graph.person_edges(_csv_persons(spark, sf)[0])
+
+
+def csv_person_rejects(spark, sf):
+    """Lines with too few fields, and items of packed sets without a time."""
+    _, items, lines = _csv_persons(spark, sf)
+    return items.select(F.col("cert_no").alias("folder"), F.concat_ws(
+        ":", "edge_type", "item").alias("line")).unionByName(_lines(lines))
+
+
 # ------------------------------------------------------------------------------- paths
 def _graph(spark, sf) -> graph.Graph:
     return graph.load(fx.applications(spark, sf))
@@ -87,20 +137,63 @@ def degree1_paths_unordered(spark, sf):
     return paths.degree1_unordered(g.edges, g.blocks)
 
 
-def _days(g):
-    return readers.scan_days(fx.order_table(g.applications), *RANGE)
+def _order_store(spark, apps):
+    """The order table as it is stored, partitioned by day."""
+    path = new_path(spark, "orders")
+    writers.write_orders(fx.order_table(apps), path)
+    return readers.read_orders(spark, path)
 
 
 def degree1_backfill_range(spark, sf):
+    """Paths of the orders of a range of days, over edges that are stored by value."""
+    g = _graph(spark, sf)
+    days = readers.scan_days(_order_store(spark, g.applications), *RANGE)
+    return as_text(paths.degree1(g.edges, g.blocks, days, graph.store_edges(g)))
+
+
+def _back_fill(spark, sf) -> str:
+    """Two runs of a back-fill; one day fails in the first."""
+    g = _graph(spark, sf)
+    store, folder, failed = graph.store_edges(g), new_path(spark, "back-fill"), []
+
+    def export(orders, day):
+        if day == FAILS_ONCE and not failed:
+            failed.append(day)
+            raise RuntimeError("the export of the day failed")
+        return paths.degree1(g.edges, g.blocks, orders, store)
+
+    orders = _order_store(spark, g.applications)
+    for _ in range(2):
+        backfill.back_fill(orders, export, folder, *FILL)
+    return folder
+
+
+def backfilled_paths(spark, sf):
+    stored = spark.read.parquet(f"{_back_fill(spark, sf)}/paths")
+    return as_text(stored.select(*paths.DEGREE1_COLUMNS))
+
+
+def backfill_record(spark, sf):
+    record = backfill.run_record(spark, _back_fill(spark, sf))
+    return record.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "state", "rows")
+
+
+def rewritten_paths(spark, sf):
+    """Stored paths of a few days; of one of them all but those over the own phone were written anew."""
     g = _graph(spark, sf)
-    return as_text(paths.degree1(g.edges, g.blocks, _days(g))).select(
-        "order_id_src", "apply_date_src", "edg_type_src1", "contact_value1", "edg_type_dst1",
-        "order_id_dst1", "apply_date_dst1")
+    found = stage(paths.degree1(g.edges, g.blocks, readers.scan_days(
+        fx.order_table(g.applications), *RANGE)), "found-paths")
+    path = new_path(spark, "stored-paths")
+    writers.write_paths(found, path)
+    writers.write_paths(found.where((F.to_date("apply_date_src") == F.lit(REWRITTEN_DAY))
+                                    & (F.col("edg_type_src1") != "MYPHONE")), path)
+    return as_text(readers.scan_days(spark.read.parquet(path), *SHOWN_DAYS)
+                   .select(*paths.DEGREE1_COLUMNS))
 
 
 def monthly_orders(spark, sf):
     """Month back-fill: first month included, last month left out."""
-    orders = fx.order_table(fx.applications(spark, sf))
+    orders = _order_store(spark, fx.applications(spark, sf))
     return readers.scan_months(orders, date(1996, 1, 1), date(1998, 1, 1)).groupBy(
         "year", "month").agg(F.count(F.lit(1)).alias("orders"))
 
@@ -108,22 +201,26 @@ def monthly_orders(spark, sf):
 def degree2_paths(spark, sf):
     """Degree-2 export of all orders of a date range."""
     g = _graph(spark, sf)
-    cols = ["order_id_src"] + paths.HOP1 + ["order_id_dst1"] + paths.HOP2 + [
-        "order_id_dst2", "apply_date_dst2", "cert_no_dst2"]
-    return as_text(paths.degree2(g.edges, g.blocks, _days(g)).select(*cols))
+    days = readers.scan_days(fx.order_table(g.applications), *RANGE)
+    return as_text(paths.degree2(g.edges, g.blocks, days,
+                                 neighbours.busy_orders(g.edges, g.blocks)))
 
 
 # ---------------------------------------------------------------------------- features
-def _pairs(spark, sf, degree, g=None):
+def _pairs(spark, sf, degree, g=None, busy=None):
     g = g or _graph(spark, sf)
-    make = neighbours.degree1_pairs if degree == 1 else neighbours.degree2_pairs
-    return g.applications, make(g.edges, g.blocks, fx.contracts(g.applications))
+    sources = fx.contracts(g.applications)
+    if degree == 1:
+        return g.applications, neighbours.degree1_pairs(g.edges, g.blocks, sources)
+    return g.applications, neighbours.degree2_pairs(g.edges, g.blocks, sources, busy)
 
 
 def feature_frame(spark, sf, degree, metrics=None, g=None, prepared=None):
-    apps, pairs = _pairs(spark, sf, degree, g)
+    g = g or _graph(spark, sf)
+    busy = neighbours.busy_orders(g.edges, g.blocks)
+    apps, pairs = _pairs(spark, sf, degree, g, busy)
     prepared = prepared or neighbours.prepare_attributes(fx.attributes(apps), fx.blacklist(apps))
-    return feat.features(pairs, prepared, degree, metrics)
+    return feat.features(pairs, prepared, degree, metrics, busy)
 
 
 def degree1_pairs(spark, sf):
@@ -144,7 +241,14 @@ def degree1_attributes(spark, sf):
 
 def _group(degree, group, except_self=False):
     def query(spark, sf):
-        frame = feature_frame(spark, sf, degree, group_columns(group, except_self))
+        metrics = group_columns(group, except_self)
+        if degree == 1:
+            g = _graph(spark, sf)
+            prepared = neighbours.prepare_attributes(fx.attributes(g.applications),
+                                                     fx.blacklist(g.applications))
+            return running.single_edge_features(g.edges, g.blocks, prepared,
+                                                fx.contracts(g.applications), metrics)
+        frame = feature_frame(spark, sf, degree, metrics)
         return frame.where(F.col("edge1") != ALL_EDGES)
     return query
 
@@ -161,6 +265,18 @@ def features_long_by_title(spark, sf):
     return feat.to_long(feature_frame(spark, sf, 1), 1)
 
 
+def rewritten_features(spark, sf):
+    """Long features stored by title; one title was written anew, with 1,000 more."""
+    frame = _group(1, CONTRACT_GROUP)(spark, sf)
+    long = stage(feat.to_long(frame.select("order_id_src", "edge1", *CONTRACT_GROUP[:3])), "long")
+    path = new_path(spark, "features")
+    writers.write_features_by_title(long, path)
+    writers.write_features_by_title(long.where("title = 'order_cnt_idcard'").withColumn(
+        "cnt", F.col("cnt") + 1000), path)
+    stored = spark.read.schema(long.schema).parquet(path)
+    return stored.where(F.col("title").isin("order_cnt_idcard", "order_cnt_device"))
+
+
 def _metrics_of(columns: list[str], degree: int) -> tuple:
     """Metrics that some of the titles need."""
     wanted = set(columns)
@@ -215,6 +331,17 @@ def label_v2(spark, sf):
     return as_text(_labels(spark, sf, overdue_is_bad=False, year="performance"))
 
 
+def replaced_table(spark, sf):
+    """A table of labels that a query made and another replaced."""
+    path = new_path(spark, "labels")
+    name = "labels_" + path.rsplit("-", 1)[-1]
+    writers.create_table(_labels(spark, sf), name, path)
+    writers.overwrite_table(_labels(spark, sf, overdue_is_bad=False, year="performance"), name, path)
+    stored = as_text(spark.read.table(name))
+    spark.sql(f"drop table {name}")
+    return stored
+
+
 def _contract_labels(spark, sf, apps):
     return _labels(spark, sf, apps).join(fx.contracts(apps), "order_id", "left_semi")
 
@@ -234,6 +361,27 @@ def _training(spark, sf):
     return labels.training_table(found, one, two)
 
 
+def _sparse_training(spark, sf) -> DataFrame:
+    """Labelled contract orders with indices and values of all degree-1 and degree-2 columns."""
+    g = _graph(spark, sf)
+    prepared = _attributes(g.applications)
+    one, two = reshape.degree1_wide_titles(), titles(2)
+    first, second = (feat.to_long(feature_frame(spark, sf, d, _metrics_of(t, d), g, prepared), d)
+                     for d, t in ((1, one), (2, two)))
+    return reshape.sparse_training(_contract_labels(spark, sf, g.applications), first, second)
+
+
+def training_vectors(spark, sf):
+    rows = _sparse_training(spark, sf)
+
+    def text(values):
+        return F.array_join(values.cast("array<string>"), ",")
+
+    return as_text(rows).withColumns({
+        "indices": text(F.col("indices")),
+        "values": text(F.col("values").cast("array<bigint>"))})
+
+
 def training_table(spark, sf):
     table = _training(spark, sf)
     return as_text(table.select("label", "order_id", "apply_time", *[
@@ -275,7 +423,8 @@ def random_split(spark, sf):
 def scored_months(spark, sf) -> DataFrame:
     """The model chain: all bad and some good orders of the early months train the model, and the
     orders of the later months get its score."""
-    table = stage(model.vectors(_training(spark, sf)), "training").where("label <> 2")
+    rows = _sparse_training(spark, sf).select("label", "order_id", "apply_time", "indices", "values")
+    table = model.sparse_vectors(rows, len(reshape.training_titles())).where("label <> 2")
     data = sampling.out_of_time(table, TRAIN_TO, VALID_FROM, VALID_TO)
     train = sampling.balanced_sample(data.where(F.col("part") == "train"), SAMPLE_GOOD, seed=SEED)
     fitted = model.train(train, seed=SEED)
@@ -338,7 +487,9 @@ QUERIES = {
     f.__name__: f for f in (
         clean_applications, clean_company_phone, unpack_person_sets, application_edges,
         entity_nodes, apply_nodes, person_entities, degree1_paths, degree1_paths_unordered,
-        degree1_backfill_range, monthly_orders, degree2_paths,
+        degree1_backfill_range, monthly_orders, degree2_paths, csv_applications,
+        csv_application_rejects, csv_person_edges, csv_person_rejects, backfilled_paths,
+        backfill_record, rewritten_paths, rewritten_features, replaced_table, training_vectors,
         degree1_pairs, degree2_pairs, degree1_attributes, degree1_all_edges, degree2_all_edges,
         features_long_by_title, degree1_wide, degree2_wide, degree2_sparse, feature_counts,
         label_v1, label_v2, training_table, column_profile, balanced_sample, large_sample,

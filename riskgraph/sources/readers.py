@@ -86,5 +86,10 @@ def scan_months(orders: DataFrame, start: date, end: date) -> DataFrame:
     return orders.where(years & _from(_parts(start, names)) & ~_from(_parts(end, names)))
 
 
+def read_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Order table that ``write_orders`` wrote: order_id, and year, month and day by folder."""
+    return spark.read.schema("order_id string, year int, month int, day int").parquet(folder)
+
+
 def read_person_sample(spark: SparkSession, good_table: str, black_table: str) -> DataFrame:
     return person_sample(spark.read.table(good_table), spark.read.table(black_table))

@@ -52,6 +52,11 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new staged table and return the table."""
     spark = df.sparkSession

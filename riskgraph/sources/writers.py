@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.joins import salted_lookup
+from riskgraph.sources.staging import new_path, staged_table
 
 
 # Rows of one partition folder that go into one file.
@@ -37,13 +38,39 @@ def write_features_by_title(long: DataFrame, folder: str, file_rows: int = FILE_
      .partitionBy("title").parquet(folder))
 
 
-def create_table(df: DataFrame, name: str) -> None:
-    """Create a table from a query; fails if it exists."""
-    df.write.mode("errorifexists").format("parquet").saveAsTable(name)
+def write_orders(orders: DataFrame, folder: str, file_rows: int = FILE_ROWS) -> None:
+    """Order table partitioned by its columns year, month and day; only days present are replaced."""
+    (_by_folder(orders, ["year", "month", "day"], "order_id", file_rows)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day").parquet(folder))
+
+
+def bucketed_table(rows: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """``rows`` stored in the shared folder, in one file per bucket of ``key``, sorted by it.
+
+    A join on the key reads the buckets as they are, without a shuffle of this side. The table's name
+    is only needed while its files are listed, so it does not stay in the catalogue.
+    """
+    spark = rows.sparkSession
+    path = new_path(spark, name)
+    table = "t_" + path.rsplit("-", 1)[-1]
+    (rows.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    staged_table(spark, path, rows.schema)
+    stored = spark.read.table(table)
+    spark.sql(f"drop table {table}")
+    return stored
+
+
+def create_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Create a table from a query, at ``path`` if given; fails if it exists."""
+    writer = df.write.mode("errorifexists").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def overwrite_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def save_sample(df: DataFrame, folder: str, files: int | None = None) -> None:

@@ -13,7 +13,11 @@ CHECKED = ["clean_applications", "unpack_person_sets", "entity_nodes", "degree1_
            "degree1_exclude_self_slices", "degree2_slice_metrics", "degree1_black_metrics",
            "degree1_exclude_self_contract", "features_long_by_title", "label_v2",
            "balanced_sample", "large_sample", "auc_summary", "degree2_wide", "degree2_sparse",
-           "degree2_pairs", "degree2_paths", "degree1_paths_unordered", "person_split"]
+           "degree2_pairs", "degree2_paths", "degree1_paths_unordered", "person_split",
+           "csv_applications", "csv_application_rejects", "csv_person_edges", "csv_person_rejects",
+           "degree1_backfill_range", "backfilled_paths", "backfill_record", "rewritten_paths",
+           "rewritten_features", "replaced_table", "training_vectors", "monthly_orders",
+           "degree1_contract_metrics", "degree1_slice_metrics"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
