@@ -31,6 +31,8 @@ NEIGHBOURS = 64
 #: Chance that a pair just at the threshold meets in some pass.
 RECALL = 0.999
 KEY_BITS = 64
+# Vectors that are projected together: so many rows of a double for each bit of all passes.
+KEYED_ROWS = 256
 BLOCK = 2048
 #: Passes of a round at most; the first round takes those that evenly spread vectors need.
 MOST_PASSES = 64
@@ -72,11 +74,13 @@ def _sort_keys(passes: int, turn_of: int):
             rows = np.flatnonzero(sizes == size)
             turn = np.random.default_rng([SEED, size, turn_of]).standard_normal(
                 (size, passes * KEY_BITS))
-            signs = (_unit(vectors.iloc[rows]) @ turn > 0).reshape(len(rows), passes, KEY_BITS)
-            packed = np.packbits(signs, axis=2).view(">u8")[..., 0]
-            ordered = (packed.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-            for r, row in zip(rows.tolist(), ordered.tolist()):
-                out[r] = row
+            for at in range(0, len(rows), KEYED_ROWS):
+                some = rows[at:at + KEYED_ROWS]
+                signs = (_unit(vectors.iloc[some]) @ turn > 0).reshape(-1, passes, KEY_BITS)
+                packed = np.packbits(signs, axis=2).view(">u8")[..., 0]
+                ordered = (packed.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+                for r, row in zip(some.tolist(), ordered.tolist()):
+                    out[r] = row
         return pd.Series(out, dtype=object)
 
     return keys
@@ -239,12 +243,13 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, window: int = NEIGH
     """(vec_id, n_links, component_id, kept) for every row of ``rows`` (vec_id, label, embedding).
 
     Only vectors of the same label and length are compared. A null label, a null, empty or zero
-    vector, and one with a null or non-finite component link with nothing. Equal vectors of a
+    vector, and one with a null or non-finite component link with nothing; nor does a row with a null
+    vec_id, which is in no other row's count, so that all links between named rows stay. Equal vectors of a
     label are one class that takes part once; its rows link with each other. ``n_links`` counts
     rows linked directly, ``component_id`` is the smallest vec_id reachable, the row's own included.
     Rows that repeat a vec_id count each.
     """
-    sound = (F.col("label").isNotNull() & F.col("embedding").isNotNull()
+    sound = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
              & (F.size("embedding") > 0)
              & F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
                                    & (F.abs(x) < float("inf"))), F.lit(False))

@@ -26,6 +26,8 @@ from riskgraph.sources.staging import stage
 
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 21
+# Stands for a null doc_id in a file.
+NO_ID = -(1 << 63)
 # Pieces that a worker remembers; more than elsewhere, as a task holds little besides.
 CACHE_PIECES = 1_200_000
 MAGIC = b"FIXBITS1"
@@ -121,9 +123,9 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                       file_ids: int | None = None) -> None:
     """Encode every whole text, append ``end_id`` and write token files in order of doc_id.
 
-    Null text is empty; rows with a null doc_id are refused, as the format has no place for them.
-    Texts are shuffled once, by ranges of doc_id; a task holds one file of
-    ``file_ids`` ids (``FILE_IDS`` by default).
+    Null text is empty. Rows with a null doc_id come after all others; the files hold ``NO_ID`` in
+    its place, the least 64-bit integer, which is therefore no id of a document. Texts are shuffled
+    once, by ranges of doc_id; a task holds one file of ``file_ids`` ids (``FILE_IDS`` by default).
     """
     from tokenizers import Tokenizer
     bits = bits_for(max(Tokenizer.from_file(vocabulary).get_vocab_size(), end_id + 1))
@@ -149,9 +151,11 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         content = pa.array([file_bytes(doc_ids, documents, bits)], pa.binary())
         return pa.RecordBatch.from_arrays([content], ["content"])
 
-    ordered = (docs.select(F.expr("coalesce(doc_id, raise_error('null doc_id'))").cast("long")
-                           .alias("doc_id"), "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    by = ["nameless", "doc_id", "text"]
+    ordered = (docs.select(F.col("doc_id").isNull().alias("nameless"),
+                           F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                           "text")
+               .repartitionByRange(*by[:2]).sortWithinPartitions(*by).select("doc_id", "text"))
     write_files(ordered.mapInArrow(encode, "content binary"), path, END)
 
 
@@ -181,8 +185,9 @@ def read_token_files(spark: SparkSession, path: str, value: Callable = little_en
     files = read_files(spark, path).select(
         name("path", r"/part-(\d+)-[^/]*$", 1).cast("long").alias("part"),
         name("path", r"-c(\d+)\.[a-z]+$", 1).cast("long").alias("chunk"), "content")
-    return files.mapInPandas(
+    rows = files.mapInPandas(
         decode, f"part long, chunk long, doc_id long, at long, n_tokens long, value {kind}")
+    return rows.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
 
 
 def with_global_start(rows: DataFrame) -> DataFrame:

@@ -80,15 +80,18 @@ def documents(spark):
 
 def test_token_files_query(spark, documents, tmp_path, monkeypatch):
     from riskgraph.llm import queries
-    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    nameless = [(None, t, "e", 5) for t in ("a b", "c d e", None)]
+    documents.unionAll(spark.createDataFrame(nameless, documents.schema)).write.parquet(
+        str(tmp_path / "documents.parquet"))
     monkeypatch.setattr(token_files, "FILE_IDS", 900)
-    got = sorted(queries.QUERIES["op9_token_files"](spark, str(tmp_path)).collect())
+    got = queries.QUERIES["op9_token_files"](spark, str(tmp_path)).collect()
     start, want = 0, []
-    for i, t in enumerate(TEXTS):
+    for doc_id, t in [*((i * 3, t) for i, t in enumerate(TEXTS)), (None, None), (None, "a b"),
+                      (None, "c d e")]:
         ids = np.array(ids_of(BYTES, t, 0), "<u4")
-        want.append((i * 3, start, len(ids), zlib.crc32(ids.tobytes())))
+        want.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
-    assert [tuple(r) for r in got] == want
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
     none = spark.createDataFrame([], "doc_id long, text string")
     token_files.write_token_files(none, str(tmp_path / "none"), BYTES)
     rows = token_files.read_token_files(spark, str(tmp_path / "none"))
@@ -146,6 +149,37 @@ def test_patterns_hold_the_histogram(counts):
     assert seen == counts
 
 
+def one_by_one(counts, size):
+    """Fills of the packs when pieces are placed one after the other, the longest first, each in the
+    shortest pack that was there before its length; new ones are opened when none has room."""
+    packs = []
+    for length in sorted(counts, reverse=True):
+        opened = []
+        for _ in range(counts[length]):
+            room = [k for k, fill in enumerate(packs) if fill + length <= size]
+            if room:
+                packs[min(room, key=packs.__getitem__)] += length
+            else:
+                opened.append(length)
+        packs += opened
+    return sorted(packs)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 9), min_size=1))
+def test_patterns_are_those_of_single_pieces(counts):
+    patterns = packing.packing_patterns(counts, 40)
+    fills = [sum(lengths) for repeats, lengths in patterns for _ in range(repeats)]
+    assert sorted(fills) == one_by_one(counts, 40)
+
+
+def test_padding_is_little():
+    rng = np.random.default_rng(0)
+    counts = {int(n): int(c) for n, c in zip(range(1, 2049), rng.integers(1, 60, 2048))}
+    packs = sum(repeats for repeats, _ in packing.packing_patterns(counts, 2048))
+    assert 1 - sum(n * c for n, c in counts.items()) / (packs * 2048) < 0.01
+
+
 def test_ranks_of_a_hot_length(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_ROWS", 10)
     rows = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(0).alias("start"),

@@ -168,6 +168,15 @@ def test_near_duplicate_vectors(spark, vectors, monkeypatch):
     assert emb.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_without_an_id_take_no_part(spark):
+    rows = [(1, 0, [1.0, 0.0]), (2, 0, [1.0, 0.01]), (None, 0, [1.0, 0.0]),
+            (None, 0, [1.0, 0.005]), (4, 0, [0.0, 1.0]), (None, 0, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = sorted(map(tuple, emb.near_duplicates(df).collect()), key=str)
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (4, 0, 4, True)] + [
+        (None, 0, None, True)] * 3
+
+
 def test_passes_grow_with_the_rows():
     sizes = [emb.passes_for(n) for n in (0, 1, 64, 5_000, 500_000)]
     assert sizes[0] == sizes[2] == 1 and sizes == sorted(sizes)
