@@ -130,14 +130,15 @@ def may_learn(doc_id: str = "doc_id") -> Column:
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` learnable labelled texts (toxic, text), those of the least hashes.
 
-    A range of the hash that holds about twice as many is cut out first, so that one task does not
-    merge ``rows`` of every partition. Only the bounded sample of ids is broadcast; no text is
+    A range of the hash that holds about twice as many and a thousand is cut out first, so that one
+    task does not merge ``rows`` of every partition. Only the bounded sample of ids is broadcast; no text is
     shuffled. The sample is staged, as two passes read it.
     """
     ids = labels.where(may_learn() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     total = ids.count()
-    if total > 4 * rows:
-        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < HASHES * 2 * rows // total)
+    cut = 2 * rows + 1000
+    if total > 2 * cut:
+        ids = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < HASHES * cut // total)
         order = [F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))]
     else:
         order = []
