@@ -11,7 +11,9 @@ same anchor are one unit.
    begin, which together see all bytes of the unit. Equal units repeat each other start by start,
    so only the first of each kind is refined on.
 3. Buckets in which kinds still differ are refined to the identifiers of the single strings, dealt
-   out by identifier where a bucket is large; the first start of each string is new.
+   out by identifier where a bucket is large; the first start of each string is new. A task sends
+   each string of a bucket once for all the units it looks at together, and the strings of a bucket
+   are read in order, so that only the identifiers met so far are held.
 
 A start in a bucket of step 1 that is not new repeats an earlier one, and its bytes are removed.
 """
@@ -21,12 +23,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.llm.groups import in_groups
 from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import broadcast_below, stage, unstage
 
@@ -35,6 +35,8 @@ LENGTH, GRAM = 100, 32
 CHUNK, PLACE_BITS = 1 << 17, 20
 #: Kinds of a bucket that one task refines together; more are dealt out by identifier.
 KINDS = 1024
+#: Bits of the number of shares of a bucket, and units whose strings a task sorts together.
+SHARE_BITS, UNITS = 24, 4_000
 #: Rows up to which documents' units and spans are broadcast to the texts.
 BROADCAST_ROWS = 2_000_000
 
@@ -120,7 +122,11 @@ def units(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow array of strings, end to end, and the bounds of each string."""
-    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    return _flat(pc.fill_null(texts, "").cast(pa.large_binary()))
+
+
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of an Arrow array of large binaries, end to end, and the bounds of each."""
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[
         texts.offset:texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
@@ -152,8 +158,9 @@ def _find_units(docs: DataFrame) -> DataFrame:
 
 def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """(bucket, share, doc_id, start, ids, places): identifiers of the strings that the first unit
-    of each kind begins, dealt out over the bucket's shares by identifier."""
-    place = F.expr("(cast(start as bigint) * 128 + n) * 65536 + shares")
+    of each kind begins, dealt out over the bucket's shares by identifier. Of the strings alike in
+    units that are looked at together only the first is left."""
+    place = F.expr(f"shiftleft(cast(start as bigint) * 128 + n, {SHARE_BITS}) + shares")
     units = F.flatten(F.transform("u", lambda u: F.array(u["bucket"], u["place"])))
     own = stage(kinds.groupBy("doc_id").agg(
         F.collect_list(F.struct("bucket", place.alias("place"))).alias("u")).select(
@@ -170,26 +177,38 @@ def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
             for k, found in enumerate(batch["units"].to_pylist()):
                 text = data[bounds[k]:bounds[k + 1]]
                 for bucket, place in zip(found[::2], found[1::2]):
-                    start, n, shares = place >> 23, place >> 16 & 127, place & 65535
+                    shares, unit = place & (1 << SHARE_BITS) - 1, place >> SHARE_BITS
+                    start, n = unit >> 7, unit & 127
                     rows.append((bucket, shares, ids[k], start, text[start:start + n + LENGTH - 1]))
-                if len(rows) > 4_000:
-                    yield dealt(rows)
-                    rows = []
+                    if len(rows) >= UNITS:
+                        yield dealt(rows)
+                        rows = []
             yield dealt(rows)
 
     def dealt(rows: list[tuple]) -> pa.RecordBatch:
         out: list[tuple] = []
         if rows:
             sizes = np.array([len(r[4]) for r in rows])
-            firsts = np.cumsum(sizes) - sizes
             strings, = identifiers(np.concatenate([r[4] for r in rows]), (LENGTH,))
-            for (bucket, shares, doc_id, start, part), at in zip(rows, firsts):
-                own = strings[at:at + len(part) - LENGTH + 1]
-                share = (own % np.uint64(shares)).astype(np.int64)
-                for s in [0] if shares == 1 else np.unique(share).tolist():
-                    places = np.flatnonzero(share == s)
-                    out.append((bucket, s, doc_id, start, own[places].tobytes(),
-                                places.astype(np.uint8).tobytes()))
+            counts = sizes - (LENGTH - 1)
+            row = np.repeat(np.arange(len(rows)), counts)
+            ends = np.cumsum(counts)
+            place = np.arange(len(row)) - (ends - counts)[row]
+            own = strings[(np.cumsum(sizes) - sizes)[row] + place]
+            bucket, doc, start = (np.array([r[k] for r in rows], np.int64) for k in (0, 2, 3))
+            order = np.lexsort((start[row] + place, doc[row], own, bucket[row]))
+            same = ((own[order[1:]] == own[order[:-1]])
+                    & (bucket[row[order[1:]]] == bucket[row[order[:-1]]]))
+            first = np.ones(len(order), bool)
+            first[order[1:][same]] = False
+            for k, (of, shares, doc_id, at, _) in enumerate(rows):
+                places = np.flatnonzero(first[ends[k] - counts[k]:ends[k]])
+                ids = own[ends[k] - counts[k] + places]
+                share = (ids % np.uint64(shares)).astype(np.int64)
+                for s in [0] if shares == 1 and len(ids) else np.unique(share).tolist():
+                    some = share == s
+                    out.append((of, s, doc_id, at, ids[some].tobytes(),
+                                places[some].astype(np.uint8).tobytes()))
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         columns = list(zip(*out)) or [()] * len(kinds)
         return pa.RecordBatch.from_arrays(
@@ -202,31 +221,41 @@ def _strings(kinds: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _new_starts(strings: DataFrame) -> DataFrame:
     """(doc_id, start, places): the starts whose string begins nowhere earlier."""
+    by = ["bucket", "share", "doc_id", "start"]
+
     @as_task
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for group in in_groups(batches, ["bucket", "share"]):
-            ids = np.frombuffer(b"".join(group["ids"]), np.uint64)
-            places = np.frombuffer(b"".join(group["places"]), np.uint8)
-            sizes = group["places"].map(len).to_numpy()
-            row = np.repeat(np.arange(len(group)), sizes)
-            doc = group["doc_id"].to_numpy()
-            at = group["start"].to_numpy(np.int64)[row] + places
-            order = np.lexsort((at, doc[row], ids))
-            new = order[np.append(True, ids[order][1:] != ids[order][:-1])]
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, np.empty(0, np.uint64)  # the group that may go on, its identifiers
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, share, doc, start = (batch[k].to_numpy(zero_copy_only=False) for k in by)
+            ids = _flat(batch["ids"].cast(pa.large_binary()))[0].view(np.uint64)
+            places, bounds = _flat(batch["places"].cast(pa.large_binary()))
+            row = np.repeat(np.arange(len(doc)), np.diff(bounds))
+            group = np.cumsum(np.append(False, (bucket[1:] != bucket[:-1])
+                                        | (share[1:] != share[:-1])))
+            of = group[row]
+            order = np.lexsort((ids, of))  # rows alike stay in the order of their starts
+            new = order[np.append(True, (ids[order[1:]] != ids[order[:-1]])
+                                  | (of[order[1:]] != of[order[:-1]]))]
+            if last != (bucket[0], share[0]):
+                seen = seen[:0]
+            new = new[(of[new] > 0) | ~np.isin(ids[new], seen)]
+            own = ids[new[of[new] == group[-1]]]
+            seen = np.append(seen, own) if group[-1] == 0 else own
+            last = bucket[-1], share[-1]
             new.sort()
-            cuts = np.searchsorted(row[new], np.arange(len(group) + 1))
-            start = group["start"].to_numpy()
-            rows += [(doc[k], start[k], places[new[a:b]].tobytes())
-                     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
-            if len(rows) > 20_000:
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "places"])
-                rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "places"])
+            cuts = np.searchsorted(row[new], np.arange(len(doc) + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            found = places[new]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[some]), pa.array(start[some]),
+                 pa.array([found[cuts[k]:cuts[k + 1]].tobytes() for k in some], pa.binary())],
+                ["doc_id", "start", "places"])
 
-    return (strings.repartition("bucket", "share").sortWithinPartitions("bucket", "share")
-            .mapInPandas(first, "doc_id long, start int, places binary"))
+    return (strings.repartition("bucket", "share").sortWithinPartitions(*by)
+            .mapInArrow(first, "doc_id long, start int, places binary"))
 
 
 def _marks(docs: DataFrame) -> DataFrame:
@@ -246,7 +275,7 @@ def _marks(docs: DataFrame) -> DataFrame:
     sizes = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds"))
     sized = stage(kinds.join(stage(sizes, "bucket-sizes"), "bucket"), "sized-kinds")
     differing = sized.where("kinds > 1").withColumn(
-        "shares", F.least(F.ceil(F.col("kinds") / KINDS), F.lit(65_535)).cast("int"))
+        "shares", F.least(F.ceil(F.col("kinds") / KINDS), F.lit((1 << SHARE_BITS) - 1)).cast("int"))
     parts = _new_starts(_strings(differing, docs))
     repeated = (kept.select("doc_id", code).unionAll(again).groupBy("doc_id")
                 .agg(F.collect_list("code").alias("repeated")))
@@ -300,20 +329,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Texts are UTF-8 bytes, null ones empty. Each byte goes that a string of ``LENGTH`` bytes covers
     which also begins earlier: in a document of smaller doc_id, or earlier in the same one. Strings
     are judged on the input. ``kept`` may begin or end within a character. Rows that repeat doc_id
-    and text are one document and get the same result each; a doc_id with two texts is an error;
-    rows with a null doc_id stay as they are and repeat nothing.
+    and text are one document and get the same result each. Of a doc_id with several texts the one
+    of the least ``xxhash64`` is the document. Rows with its other texts, like rows with a null
+    doc_id, stay as they are and repeat nothing.
     """
+    docs = docs.select("doc_id", "text", F.col("doc_id").alias("shown"))
     text = F.xxhash64(F.coalesce("text", F.lit("")))
-    twice = (docs.where("doc_id is not null").select("doc_id", text.alias("h")).groupBy("doc_id")
-             .agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count(F.lit(1)).alias("n"))
-             .agg(F.max(F.col("a") != F.col("b")), F.max("n"))).first()
-    if twice[0]:
-        raise ValueError("a doc_id has two texts")
+    own = stage(docs.where("doc_id is not null").select("doc_id", text.alias("h")).groupBy("doc_id")
+                .agg(F.min("h").alias("least"), F.max("h").alias("most"),
+                     F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-ids")
+    several = own.where("least <> most").select("doc_id", "least")
+    repeated, odd = own.agg(F.count(F.lit(1)), F.count_if(F.col("least") != F.col("most"))).first()
+    if odd:
+        docs = docs.join(broadcast_below(several, BROADCAST_ROWS), "doc_id", "left").select(
+            F.when(F.col("least").isNull() | (text == F.col("least")), F.col("doc_id"))
+            .alias("doc_id"), "text", "shown")
     # Rows of one document take part once.
-    once = docs if (twice[1] or 1) == 1 else docs.dropDuplicates(["doc_id"])
+    once = docs.where("doc_id is not null").dropDuplicates(["doc_id"]) if repeated else docs
     spans = stage(_spans(_marks(once)), "spans")
-    rows = docs.select("doc_id", "text").join(
-        broadcast_below(spans, BROADCAST_ROWS, "spans"), "doc_id", "left")
+    rows = docs.join(broadcast_below(spans, BROADCAST_ROWS, "spans"), "doc_id", "left")
 
     @as_task
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,7 +363,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             columns = list(zip(*out)) or [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(c, t) for c, t in zip(columns, kinds))],
+                [batch["shown"], *(pa.array(c, t) for c, t in zip(columns, kinds))],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.mapInArrow(

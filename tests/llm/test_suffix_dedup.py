@@ -54,9 +54,10 @@ def test_against_brute_force(spark, texts, monkeypatch):
                                + [(None, texts[14], "x", 3), (14, texts[14], "x", 3)],
                                "doc_id long, text string, kind string, start int")
     want = brute(texts)
-    for bound, kinds in ((dedup.BROADCAST_ROWS, dedup.KINDS), (0, 4)):
+    for bound, kinds, units in ((dedup.BROADCAST_ROWS, dedup.KINDS, dedup.UNITS), (0, 4, 5)):
         monkeypatch.setattr(dedup, "BROADCAST_ROWS", bound)
         monkeypatch.setattr(dedup, "KINDS", kinds)
+        monkeypatch.setattr(dedup, "UNITS", units)
         rows = dedup.remove_repeats(df).collect()
         assert len(rows) == len(texts) + 2
         for r in rows:
@@ -66,8 +67,6 @@ def test_against_brute_force(spark, texts, monkeypatch):
             else:
                 assert got == want[r.doc_id], r.doc_id
     assert dedup.remove_repeats(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        dedup.remove_repeats(df.selectExpr("1L as doc_id", "text"))
 
 
 def test_units_do_not_depend_on_the_neighbours():
@@ -102,3 +101,40 @@ def test_repeated_rows_without_near_copies(spark):
     assert want[2][1] == want[3][1] == 0 and want[5][1] == 900 and len(got) == 9
     for r in got:
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
+
+
+def test_texts_of_one_id(spark):
+    """One of the texts is the document, the others stay and repeat nothing."""
+    rng = random.Random(8)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(3))
+    df = spark.createDataFrame([(1, a), (1, b), (1, a), (1, b), (2, a + c), (3, b + c), (4, None),
+                                (4, "")], "doc_id long, text string")
+    first = min((a, b), key=lambda t: spark.range(1).selectExpr(f"xxhash64('{t}')").first()[0])
+    want = brute({1: first, 2: a + c, 3: b + c})
+    got = {}
+    for r in dedup.remove_repeats(df).collect():
+        got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)))
+    assert got.pop(4) == [(0, 0, 0, b"")] * 2
+    assert sorted(got.pop(1)) == sorted([(400, 0, 0, t.encode()) for t in (a, a, b, b)])
+    assert {k: v[0] for k, v in got.items()} == {k: want[k] for k in got}
+
+
+def test_a_passage_of_very_many_altered_copies(spark):
+    """One passage in 20,000 documents, each with another word before it: tasks send its strings
+    a few times each, not once for each document."""
+    passage = "".join(random.Random(9).choice("abcdefgh ") for _ in range(180))
+    df = spark.range(20_000).selectExpr(
+        "id as doc_id", f"concat(id * 7919 % 20011, ' ', '{passage}', ' ', id) as text")
+    df = df.repartition(4)
+    got = {r.doc_id: r.n_removed for r in dedup.remove_repeats(df).collect()}
+    seen, want = set(), {}
+    for r in sorted(df.collect()):
+        data = r.text.encode()
+        gone = set()
+        for p in range(len(data) - dedup.LENGTH + 1):
+            s = data[p:p + dedup.LENGTH]
+            if s in seen:
+                gone.update(range(p, p + dedup.LENGTH))
+            seen.add(s)
+        want[r.doc_id] = len(gone)
+    assert got == want
