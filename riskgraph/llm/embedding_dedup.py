@@ -1,8 +1,10 @@
 """Embedding near-duplicates by sorted projection passes.
 
 Each pass orders the vectors of a label lexicographically by the signs of their products with
-random directions, and compares every vector with its next neighbours in that order. How far the
-bits of each vector's key go until a window holds all that share them is measured, as vectors that
+random directions, and compares every vector with its next neighbours in that order. Passes carry
+no vectors but sketches of further signs; a task reads its range of the order as a stream, and the
+rows at the ends of ranges meet in blocks. Only rows whose sketch is like a neighbour's are compared
+by their vectors. How far the bits of each vector's key go until a window holds all that share them is measured, as vectors that
 are not centred share many; vectors whose passes do not reach the recall take part in more passes,
 or are compared pair by pair in blocks where that is less work. Links are united; within a united
 group all pairs are then compared in blocks, which is the exact way for groups that are larger than
@@ -14,23 +16,31 @@ from __future__ import annotations
 import functools
 import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskgraph.functions.joins import salted_lookup
 from riskgraph.llm.groups import (
     components, exact_links, grouped_map, local_roots, pair_cells,
 )
-from riskgraph.sources.staging import stage
+from riskgraph.llm.memory import as_task
+from riskgraph.sources.staging import broadcast_below, stage
 
 COSINE = 0.93
 #: Later neighbours that a vector is compared with in each pass.
-NEIGHBOURS = 64
+NEIGHBOURS = 256
 #: Chance that a pair just at the threshold meets in some pass.
 RECALL = 0.999
 KEY_BITS = 64
+#: Words of 64 signs of a sketch, and the chance that the sketches keep a pair at the threshold apart.
+SKETCH, SKETCH_LOSS = 4, 1e-6
+#: Rows up to which those with a neighbour alike are broadcast to the vectors.
+BROADCAST_ROWS = 2_000_000
 # Vectors that are projected together: so many rows of a double for each bit of all passes.
 KEYED_ROWS = 256
 BLOCK = 2048
@@ -54,6 +64,16 @@ def passes_for(rows: int, cosine: float = COSINE, window: int = NEIGHBOURS,
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet))) if meet < 1 else 1
 
 
+def most_differing(cosine: float, bits: int = 64 * SKETCH, lost: float = SKETCH_LOSS) -> int:
+    """Signs of a sketch in which a pair at the threshold differs at most, but for that chance."""
+    p = math.acos(cosine) / math.pi
+    tail, most = 0.0, bits
+    while most and (tail := tail + math.comb(bits, most) * p ** most * (1 - p) ** (bits - most)
+                    ) <= lost:
+        most -= 1
+    return most
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in vectors])
 
@@ -66,6 +86,7 @@ def _unit(vectors: pd.Series) -> np.ndarray:
 
 
 def _sort_keys(passes: int, turn_of: int):
+    """A vector's keys of all passes, then the words of its sketch."""
     @F.pandas_udf("array<bigint>")
     def keys(vectors: pd.Series) -> pd.Series:
         out: list[list[int] | None] = [None] * len(vectors)
@@ -73,10 +94,11 @@ def _sort_keys(passes: int, turn_of: int):
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             turn = np.random.default_rng([SEED, size, turn_of]).standard_normal(
-                (size, passes * KEY_BITS))
+                (size, (passes + SKETCH) * KEY_BITS))
             for at in range(0, len(rows), KEYED_ROWS):
                 some = rows[at:at + KEYED_ROWS]
-                signs = (_unit(vectors.iloc[some]) @ turn > 0).reshape(-1, passes, KEY_BITS)
+                signs = (_unit(vectors.iloc[some]) @ turn > 0).reshape(
+                    -1, passes + SKETCH, KEY_BITS)
                 packed = np.packbits(signs, axis=2).view(">u8")[..., 0]
                 ordered = (packed.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
                 for r, row in zip(some.tolist(), ordered.tolist()):
@@ -86,23 +108,6 @@ def _sort_keys(passes: int, turn_of: int):
     return keys
 
 
-def _ranked(keyed: DataFrame) -> DataFrame:
-    """(pass, label, size, id, key, rank): place of each key in the order over all passes.
-
-    Rows are sorted in ranges; a range's first rank is the number of rows of the ranges before.
-    """
-    by = ["pass", "label", "size", "key", "id"]
-    ordered = stage(keyed.repartitionByRange(*by).sortWithinPartitions(*by).select(
-        *by, F.monotonically_increasing_id().alias("row")), "sorted-keys")
-    part = F.shiftright("row", 33).alias("part")
-    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
-    firsts = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n"))
-                           .alias("first"))
-    return (ordered.withColumn("part", part).join(firsts, "part")
-            .withColumn("rank", F.col("first") + F.col("row").bitwiseAND((1 << 33) - 1))
-            .select("pass", "label", "size", "id", "key", "rank"))
-
-
 def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """First bits that two columns of keys have in common."""
     other = (a ^ b).view(np.uint64)
@@ -111,58 +116,170 @@ def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return KEY_BITS - np.where(high > 0, 32 + high, low)
 
 
-def _missed(key: np.ndarray, kind: np.ndarray, cosine: float, window: int) -> np.ndarray:
+def _missed(key: np.ndarray, kind: np.ndarray, cosine: float, window: int,
+            rank: np.ndarray | None = None) -> np.ndarray:
     """Logarithm of the chance, for each row of a sorted pass, that the row and a vector at the
     threshold do not meet: they do if they share the bits that no vector ``window`` places away has.
+    ``rank`` gives the places of rows with gaps between them; no row is ``window`` places away
+    from one that has a gap there.
     """
     bits = np.zeros(len(key), np.int64)
-    if len(key) > window:
-        same = (kind[:-window] == kind[window:]).all(axis=1)
-        more = np.where(same, _shared_bits(key[:-window], key[window:]) + 1, 0)
-        bits[:-window] = more
-        bits[window:] = np.maximum(bits[window:], more)
+    rank = np.arange(len(key)) if rank is None else rank
+    later = np.minimum(np.searchsorted(rank, rank + window), max(len(rank) - 1, 0))
+    left = np.flatnonzero(rank[later] == rank + window)
+    right = later[left]
+    same = (kind[left] == kind[right]).all(axis=1)
+    more = np.where(same, _shared_bits(key[left], key[right]) + 1, 0)
+    bits[left] = more
+    bits[right] = np.maximum(bits[right], more)
     meet = np.where(bits > KEY_BITS, 0.0, (1 - math.acos(cosine) / math.pi) ** bits)
     return np.log(np.maximum(1 - meet, 1e-30))
 
 
-def _window_links(ranked: DataFrame, vectors: DataFrame, cosine: float, window: int,
-                  rows: int) -> DataFrame:
-    """(a, b, missed): links between vectors at most ``window`` ranks apart, joined up within a
-    block; and with a null ``b`` the sum of what ``_missed`` gives for the passes of ``a``."""
-    block = F.floor(F.col("rank") / rows)
-    place = F.col("rank") % rows
-    placed = ranked.withColumn("block", F.explode(F.array_compact(F.array(
+def _mark_alike(near: np.ndarray, sketch: np.ndarray, kind: np.ndarray, rank: np.ndarray,
+                most: int, window: int, old: int = 0) -> None:
+    """Set ``near`` of rows whose sketch differs from that of a row of the same kind at most
+    ``window`` places away in ``most`` signs or fewer; pairs of the ``old`` first rows are known."""
+    run = np.cumsum(np.append(False, (kind[1:] != kind[:-1]).any(axis=1)))
+    n = len(near)
+    for step in range(1, min(window, n - 1) + 1):
+        i, j = slice(max(old - step, 0), n - step), slice(max(old, step), n)
+        differ = np.bitwise_count((sketch[i] ^ sketch[j]).view(np.uint64)).sum(axis=1, dtype=np.uint16)
+        alike = (differ <= most) & (run[i] == run[j]) & (rank[j] - rank[i] <= window)
+        near[i] |= alike
+        near[j] |= alike
+
+
+KIND = ["pass", "label", "size"]
+WORDS = [f"s{k}" for k in range(SKETCH)]
+
+
+def _scan(cosine: float, window: int, most: int):
+    """A task that reads its range of a sorted order and gives each row's place, whether a sketch
+    within the window is alike, and what ``_missed`` gives. That is null for rows whose window is
+    cut by an end of the range; ``edge`` marks these rows and those in their windows."""
+    columns = ["id", "key", *KIND, *WORDS]
+
+    @as_task
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held, near = np.empty((0, len(columns)), np.int64), np.empty(0, bool)
+        first = known = 0  # place of the first row held, rows held that were given out
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                old = len(held)
+                held = np.concatenate([held, np.column_stack(
+                    [batch[c].to_numpy().astype(np.int64) for c in columns])])
+                near = np.append(near, np.zeros(len(held) - old, bool))
+                _mark_alike(near, np.ascontiguousarray(held[:, 5:]), held[:, 2:5],
+                            np.arange(len(held)), most, window, old)
+            n = len(held)
+            ready = n if batch is None else max(n - 2 * window, known)
+            if ready > known:
+                place = first + np.arange(known, ready)
+                edge, cut = place < 2 * window, place < window
+                if batch is None:
+                    edge |= place >= first + n - 2 * window
+                    cut |= place >= first + n - window
+                missed = _missed(held[:, 1], held[:, 2:5], cosine, window)[known:ready]
+                rows, alike = held[known:ready], near[known:ready]
+                placed = ~(edge | alike)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[:, 0]), pa.array(np.full(len(rows), part, np.int32)),
+                     pa.array(place, mask=placed), pa.array(alike), pa.array(edge),
+                     pa.array(missed, mask=cut),
+                     *(pa.array(rows[:, k], mask=placed) for k in (2, 3, 4)),
+                     *(pa.array(rows[:, k], mask=~edge) for k in (1, *range(5, 5 + SKETCH)))],
+                    ["id", "part", "place", "near", "edge", "missed", *KIND, "key", *WORDS])
+            keep = max(ready - window, 0)
+            held, near, first, known = held[keep:], near[keep:], first + keep, ready - keep
+
+    return scan
+
+
+def _in_blocks(ranked: DataFrame, window: int, rows: int) -> DataFrame:
+    """``ranked`` copied to the blocks of ranks that hold a row within the window."""
+    block, place = F.floor(F.col("rank") / rows), F.col("rank") % rows
+    return ranked.withColumn("block", F.explode(F.array_compact(F.array(
         block, F.when(place < window, block - 1), F.when(place >= rows - window, block + 1)))))
 
+
+def _edge_rows(edges: DataFrame, cosine: float, window: int, most: int, rows: int) -> DataFrame:
+    """(id, pass, label, size, rank, near, missed) of the rows whose window a range's end cuts."""
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        rank, kind = group["rank"].to_numpy(), group[KIND].to_numpy(np.int64)
+        near = np.zeros(len(group), bool)
+        _mark_alike(near, np.ascontiguousarray(group[WORDS].to_numpy(np.int64)), kind, rank, most, window)
+        missed = _missed(group["key"].to_numpy(), kind, cosine, window, rank)
+        out = group[["id", *KIND, "rank"]].assign(near=near, missed=missed)
+        return out[group["cut"].to_numpy() & (rank // rows == group["block"].to_numpy())]
+
+    cut = edges.withColumn("cut", F.col("missed").isNull()).drop("missed", "near")
+    return grouped_map(_in_blocks(cut, window, rows), ["block"], ["rank"], compare,
+                       "id long, pass long, label long, size long, rank long, near boolean, "
+                       "missed double")
+
+
+def _near_links(near: DataFrame, vectors: DataFrame, cosine: float, window: int,
+                rows: int) -> DataFrame:
+    """(a, b): links between the vectors of rows (id, pass, label, size, rank) at most ``window``
+    ranks apart, joined up within a block."""
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        ids = group["id"].to_numpy()
-        home = (group["rank"] // rows == group["block"]).to_numpy()
-        kind = group[["pass", "label", "size"]].to_numpy(np.int64)
-        lists = group["embedding"]
-        left, right = [], []
+        ids, rank = group["id"].to_numpy(), group["rank"].to_numpy()
+        kind = group[KIND].to_numpy(np.int64)
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for size in np.unique(kind[:, 2]):
             at = np.flatnonzero(kind[:, 2] == size)
-            unit = _unit(lists.iloc[at])
+            unit = _unit(group["embedding"].iloc[at])
             for step in range(1, min(window, len(at) - 1) + 1):
-                near = np.einsum("ij,ij->i", unit[:-step], unit[step:]) >= cosine
-                near &= (kind[at[:-step]] == kind[at[step:]]).all(axis=1) & home[at[:-step]]
-                near &= at[step:] - at[:-step] <= window
-                left.append(at[:-step][near])
-                right.append(at[step:][near])
+                close = np.flatnonzero((rank[at[step:]] - rank[at[:-step]] <= window)
+                                       & (kind[at[:-step]] == kind[at[step:]]).all(axis=1))
+                if not len(close):
+                    break
+                dots = np.einsum("ij,ij->i", unit[close], unit[close + step])
+                close = close[dots >= cosine]
+                left.append(at[close])
+                right.append(at[close + step])
         unique, place = np.unique(ids, return_inverse=True)
-        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
-        root = unique[local_roots(len(unique), place[a], place[b])]
-        linked = unique != root
-        missed = np.bincount(place[home], _missed(group["key"].to_numpy(), kind, cosine,
-                                                  window)[home], len(unique))
-        own = np.unique(place[home])
-        return pd.DataFrame({
-            "a": np.append(unique[linked], unique[own]),
-            "b": pd.array(root[linked].tolist() + [None] * len(own), "Int64"),
-            "missed": np.append(np.zeros(linked.sum()), missed[own])})
+        root = unique[local_roots(len(unique), place[np.concatenate(left)],
+                                  place[np.concatenate(right)])]
+        return pd.DataFrame({"a": unique, "b": root})[unique != root]
+
+    placed = vectors.select("id", "embedding").join(broadcast_below(near, BROADCAST_ROWS), "id")
+    return grouped_map(_in_blocks(placed, window, rows), ["block"], ["rank"], compare,
+                       "a long, b long")
+
 
-    return grouped_map(placed.join(vectors.select("id", "embedding"), "id"), ["block"], ["rank"],
-                       compare, "a long, b long, missed double")
+def _pass_links(rows: DataFrame, passes: int, turn_of: int, cosine: float, window: int,
+                block: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) links found by ``passes`` passes over ``rows`` (id, label, size, embedding), and
+    (id, now): the sum of what ``_missed`` gives for the passes of each row."""
+    keys = stage(rows.select("id", "label", "size", _sort_keys(passes, turn_of)("embedding")
+                             .alias("keys")), "sort-keys")
+    words = [F.col("keys")[passes + k].alias(name) for k, name in enumerate(WORDS)]
+    by = [*KIND, "key", "id"]
+    order = keys.select("id", "label", "size", *words, F.posexplode(
+        F.slice("keys", 1, passes)).alias("pass", "key"))
+    most = most_differing(cosine)
+    seen = stage(order.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(
+        _scan(cosine, window, most),
+        "id long, part int, place long, near boolean, edge boolean, missed double, "
+        + ", ".join(f"{c} long" for c in (*KIND, "key", *WORDS))), "scanned-passes")
+    counts = seen.where("edge").groupBy("part").agg((F.max("place") + 1).alias("n"))
+    firsts = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n"))
+                           .alias("first"))
+    placed = seen.where("edge or near").join(F.broadcast(firsts), "part").withColumn(
+        "rank", F.col("first") + F.col("place"))
+    edges = stage(_edge_rows(placed.where("edge"), cosine, window, most, block), "edge-rows")
+    columns = ["id", *KIND, "rank"]
+    near = stage(placed.where("near and missed is not null").select(*columns).unionAll(
+        edges.where("near").select(*columns)), "rows-alike")
+    links = stage(_near_links(near, rows, cosine, window, block), "window-links")
+    sums = (seen.where("missed is not null").select("id", "missed")
+            .unionAll(edges.select("id", "missed")).groupBy("id").agg(F.sum("missed").alias("now")))
+    return links, sums
 
 
 def _block_links(members: DataFrame, cosine: float, rows: int) -> DataFrame:
@@ -201,17 +318,16 @@ def _found_links(classes: DataFrame, cosine: float, window: int, recall: float)
                           F.lit(0.0).alias("missed"))
     links: list[DataFrame] = []
     for turn_of in itertools.count():
-        keys = rows.select("id", "label", "size", F.posexplode(
-            _sort_keys(passes, turn_of)("embedding")).alias("pass", "key"))
-        seen = stage(_window_links(_ranked(keys), rows, cosine, window, BLOCK), "window-links")
-        links.append(seen.where("b is not null").select("a", "b"))
-        sums = seen.where("b is null").groupBy(F.col("a").alias("id")).agg(
-            F.sum("missed").alias("now"))
-        short = stage(
-            rows.join(sums, "id").withColumn("missed", F.col("missed") + F.col("now"))
-            .where(F.col("missed") > goal + 1e-9)
-            .withColumn("lacking", (F.col("missed") - goal)
-                        / F.greatest(-F.col("now") / passes, F.lit(1e-9))), "short-of-recall")
+        found, sums = _pass_links(rows, passes, turn_of, cosine, window, BLOCK)
+        links.append(found)
+        before = rows.select("id", "missed") if turn_of else None
+        known = sums.withColumn("missed", F.col("now")) if before is None else sums.join(
+            before, "id").withColumn("missed", F.col("missed") + F.col("now"))
+        lacking = stage(known.where(F.col("missed") > goal + 1e-9).withColumn(
+            "lacking", (F.col("missed") - goal) / F.greatest(-F.col("now") / passes, F.lit(1e-9)))
+            .drop("now"), "lacking")
+        short = stage(rows.drop("missed").join(broadcast_below(lacking, BROADCAST_ROWS), "id"),
+                      "short-of-recall")
         pairwise = F.col("n") <= F.greatest(
             F.lit(EXACT_ROWS), F.lit(EXACT_FACTOR * window) * F.col("lacks"))
         kinds = stage(short.groupBy("label", "size").agg(
@@ -220,7 +336,7 @@ def _found_links(classes: DataFrame, cosine: float, window: int, recall: float)
             .withColumn("pairwise", pairwise), "kinds-short-of-recall")
         lacks, some = kinds.agg(F.max(F.when(~F.col("pairwise"), F.col("lacks"))),
                                 F.max("pairwise")).first()
-        placed = salted_lookup(short.drop("now", "lacking"), kinds, ["label", "size"], F.col("id"))
+        placed = salted_lookup(short.drop("lacking"), kinds, ["label", "size"], F.col("id"))
         if some:
             links.append(stage(_block_links(placed.where("pairwise").select(
                 "id", "component", "embedding"), cosine, BLOCK), "block-links"))
@@ -254,10 +370,11 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, window: int = NEIGH
              & F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
                                    & (F.abs(x) < float("inf"))), F.lit(False))
              & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False)))
-    rows = rows.select("vec_id", F.col("label").cast("long").alias("label"),
-                       F.col("embedding").cast("array<double>").alias("embedding"))
+    own = dict(rows.dtypes)["embedding"]
+    rows = rows.select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast(
+        own if own == "array<float>" else "array<double>").alias("embedding"))
     # Adding zero turns -0.0 into 0.0, so that equal vectors have equal keys.
-    plain = F.transform("embedding", lambda x: x + F.lit(0.0))
+    plain = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
     keyed = rows.withColumns({
         "k1": F.when(sound, F.xxhash64(plain)), "k2": F.when(sound, F.xxhash64(F.lit(7), plain))})
     classes = stage(keyed.where("k1 is not null").groupBy("label", "k1", "k2").agg(

@@ -178,7 +178,7 @@ def test_vectors_without_an_id_take_no_part(spark):
 
 
 def test_passes_grow_with_the_rows():
-    sizes = [emb.passes_for(n) for n in (0, 1, 64, 5_000, 500_000)]
+    sizes = [emb.passes_for(n) for n in (0, 1, emb.NEIGHBOURS, 5_000, 500_000)]
     assert sizes[0] == sizes[2] == 1 and sizes == sorted(sizes)
 
 
@@ -222,6 +222,51 @@ def test_equal_keys_meet_by_no_bits():
     assert emb._shared_bits(np.array([0, 1, -1]), np.array([0, 0, 0])).tolist() == [64, 63, 0]
 
 
+def test_rows_with_gaps_between_them():
+    """Only a row just ``window`` ranks away tells how far keys must agree."""
+    rng = np.random.default_rng(3)
+    key, kind = np.sort(rng.integers(-1 << 62, 1 << 62, 300)), np.zeros((300, 3), np.int64)
+    whole = emb._missed(key, kind, 0.93, 16)
+    some = np.r_[0:64, 200:300]
+    part = emb._missed(key[some], kind[some], 0.93, 16, some)
+    inner = (some < 48) | (some >= 216)
+    assert (part[inner] == whole[some[inner]]).all()
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    n, p, most = 64 * emb.SKETCH, math.acos(0.93) / math.pi, emb.most_differing(0.93)
+    lost = [sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(m + 1, n + 1))
+            for m in (most, most - 1)]
+    assert lost[0] <= emb.SKETCH_LOSS < lost[1]
+    words = np.array([[0] * 4, [-1, 0, 0, 0], [1, 0, 0, 0], [0] * 4], np.int64)
+    near = np.zeros(4, bool)
+    emb._mark_alike(near, words, np.array([[0], [0], [0], [1]]), np.arange(4), 1, 2)
+    assert near.tolist() == [True, False, True, False]
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_ranges_of_any_size(spark, monkeypatch, parts):
+    """Streams with little ahead, and ranges that are smaller than a window."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((700, 16))
+    rows = np.vstack([base, base + 0.02 * rng.standard_normal(base.shape)])
+    df = spark.createDataFrame([(i, i % 700 % 3, v) for i, v in enumerate(rows.tolist())],
+                               "vec_id long, label int, embedding array<double>")
+    monkeypatch.setattr(emb, "EXACT_ROWS", 0)
+    monkeypatch.setattr(emb, "EXACT_FACTOR", 0)
+    was = {k: spark.conf.get(k) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch",
+        "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(was, (str(parts), "50", "false")):
+            spark.conf.set(k, v)
+        got = emb.near_duplicates(df, window=32).collect()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert all(r.n_links >= 1 and r.component_id <= r.vec_id % 700 for r in got)
+
+
 def test_filter_and_runs_keep_the_recall():
     n, t = join.COORDINATES, join.JACCARD
     least = math.ceil((t - join.MARGIN) * n)
