@@ -141,13 +141,17 @@ def _mark_alike(near: np.ndarray, sketch: np.ndarray, kind: np.ndarray, rank: np
     """Set ``near`` of rows whose sketch differs from that of a row of the same kind at most
     ``window`` places away in ``most`` signs or fewer; pairs of the ``old`` first rows are known."""
     run = np.cumsum(np.append(False, (kind[1:] != kind[:-1]).any(axis=1)))
+    words = np.ascontiguousarray(sketch.T).view(np.uint64)
     n = len(near)
     for step in range(1, min(window, n - 1) + 1):
         i, j = slice(max(old - step, 0), n - step), slice(max(old, step), n)
-        differ = np.bitwise_count((sketch[i] ^ sketch[j]).view(np.uint64)).sum(axis=1, dtype=np.uint16)
-        alike = (differ <= most) & (run[i] == run[j]) & (rank[j] - rank[i] <= window)
-        near[i] |= alike
-        near[j] |= alike
+        differ = np.zeros(n - j.start, np.uint16)
+        for word in words:
+            differ += np.bitwise_count(word[i] ^ word[j])
+        at = np.flatnonzero(differ <= most)
+        at = at[(run[i][at] == run[j][at]) & (rank[j][at] - rank[i][at] <= window)]
+        near[i.start + at] = True
+        near[j.start + at] = True
 
 
 KIND = ["pass", "label", "size"]
@@ -173,7 +177,7 @@ def _scan(cosine: float, window: int, most: int):
                 held = np.concatenate([held, np.column_stack(
                     [batch[c].to_numpy().astype(np.int64) for c in columns])])
                 near = np.append(near, np.zeros(len(held) - old, bool))
-                _mark_alike(near, np.ascontiguousarray(held[:, 5:]), held[:, 2:5],
+                _mark_alike(near, held[:, 5:], held[:, 2:5],
                             np.arange(len(held)), most, window, old)
             n = len(held)
             ready = n if batch is None else max(n - 2 * window, known)
@@ -211,7 +215,7 @@ def _edge_rows(edges: DataFrame, cosine: float, window: int, most: int, rows: in
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         rank, kind = group["rank"].to_numpy(), group[KIND].to_numpy(np.int64)
         near = np.zeros(len(group), bool)
-        _mark_alike(near, np.ascontiguousarray(group[WORDS].to_numpy(np.int64)), kind, rank, most, window)
+        _mark_alike(near, group[WORDS].to_numpy(np.int64), kind, rank, most, window)
         missed = _missed(group["key"].to_numpy(), kind, cosine, window, rank)
         out = group[["id", *KIND, "rank"]].assign(near=near, missed=missed)
         return out[group["cut"].to_numpy() & (rank // rows == group["block"].to_numpy())]
@@ -233,15 +237,14 @@ def _near_links(near: DataFrame, vectors: DataFrame, cosine: float, window: int,
         for size in np.unique(kind[:, 2]):
             at = np.flatnonzero(kind[:, 2] == size)
             unit = _unit(group["embedding"].iloc[at])
-            for step in range(1, min(window, len(at) - 1) + 1):
-                close = np.flatnonzero((rank[at[step:]] - rank[at[:-step]] <= window)
-                                       & (kind[at[:-step]] == kind[at[step:]]).all(axis=1))
-                if not len(close):
-                    break
-                dots = np.einsum("ij,ij->i", unit[close], unit[close + step])
-                close = close[dots >= cosine]
-                left.append(at[close])
-                right.append(at[close + step])
+            for lo in range(0, len(at), window):
+                ahead = slice(lo, lo + 2 * window)
+                # A little below the threshold, as groups are decided exactly afterwards.
+                a, b = np.nonzero(unit[lo:lo + window] @ unit[ahead].T >= cosine - 1e-9)
+                a, b = at[lo + a[a < b]], at[lo + b[a < b]]
+                close = (rank[b] - rank[a] <= window) & (kind[a] == kind[b]).all(axis=1)
+                left.append(a[close])
+                right.append(b[close])
         unique, place = np.unique(ids, return_inverse=True)
         root = unique[local_roots(len(unique), place[np.concatenate(left)],
                                   place[np.concatenate(right)])]
