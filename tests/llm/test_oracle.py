@@ -9,7 +9,7 @@ from tests.conftest import SF
 def test_query_matches_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     con.register("got", got)
     columns = ", ".join(sorted(got.columns))
