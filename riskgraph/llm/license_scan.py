@@ -86,7 +86,9 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def _permuted(shingle: Column, flip: Column) -> Column:
-    return F.xxhash64(shingle.bitwiseXOR(flip))
+    """Hash of a shingle in a band; null for none, whose own hash would be one key of all windows at
+    the end of a text or template."""
+    return F.when(shingle.isNotNull(), F.xxhash64(shingle.bitwiseXOR(flip)))
 
 
 def _banded(places: DataFrame, kept: list[str], singles: int = 0) -> DataFrame:

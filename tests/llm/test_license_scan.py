@@ -59,6 +59,22 @@ def test_bands_keep_their_promise():
     assert 1 - (1 - lic.LEAST_SHINGLES / lic.WINDOW) ** lic.BANDS >= lic.COLLISION
 
 
+def test_ends_of_texts_share_no_key(spark):
+    """Windows at the end of a text or template lack shingles, and what they lack is no hash."""
+    known = lic.templates(spark).select("template_id", lic.token_hashes("text").alias("tokens"))
+    keys = {}
+    for r in lic._template_keys(known).collect():
+        keys.setdefault(r.key, set()).add(r.template_id)
+    assert max(map(len, keys.values())) <= 4  # the notices of one wording
+    texts = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(3 + k % 10)))
+                                   for k in range(300)], "doc_id long, text string")
+    places = texts.select("doc_id", lic.token_hashes("text").alias("tokens")).selectExpr(
+        "doc_id", "tokens", "explode(sequence(0, size(tokens) - 1)) as at")
+    own = lic._banded(places, ["doc_id", "at"]).where("key is null or key in (%s)" % ", ".join(
+        f"{k}L" for k in keys))
+    assert own.count() == 0
+
+
 def test_empty_tables_and_short_templates(spark, docs):
     df, _ = docs
     known = lic.templates(spark)
