@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import random
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,6 +30,9 @@ CONTAINMENT = 0.8
 #: Template keys (two numbers each) that are broadcast; more are joined by shuffling.
 BROADCAST_KEYS = 1_000_000
 
+#: Whole texts of licenses, a file each.
+TEXTS = Path(__file__).parent / "license_texts"
+
 # Notices of public licenses.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -80,11 +84,25 @@ def _constants() -> list[int]:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(template_id, license, text) of the built-in notices."""
-    return spark.createDataFrame([(k, *row) for k, row in enumerate(TEMPLATES)],
+    """(template_id, license, text) of the built-in notices, then of the whole license texts that
+    stand beside this module. They are few and of fixed size; ``read_templates`` takes larger sets."""
+    texts = [(p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+    return spark.createDataFrame([(k, *row) for k, row in enumerate([*TEMPLATES, *texts])],
                                  "template_id int, license string, text string")
 
 
+def read_templates(spark: SparkSession, path: str) -> DataFrame:
+    """(template_id, license, text) of a folder of text files, each named after its license and
+    holding one whole text. Ids are hashes of the file names, so they do not change as files are
+    added; files without words are left out. The folder may lie in any store that Spark reads."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select(
+        F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name"),
+        F.col("value").alias("text"))
+    return files.where(F.col("text").rlike(r"[\p{L}\p{N}]")).select(
+        F.xxhash64("name").alias("template_id"),
+        F.url_decode(F.regexp_replace("name", r"\.txt$", "")).alias("license"), "text")
+
+
 def _permuted(shingle: Column, flip: Column) -> Column:
     """Hash of a shingle in a band; null for none, whose own hash would be one key of all windows at
     the end of a text or template."""
@@ -139,12 +157,12 @@ def _first_hit(own: Column) -> Column:
         F.transform("window", lambda w: _permuted(w, c)))))
 
 
-def _shingles(tokens: Column) -> Column:
-    """Distinct shingle hashes of an array of token hashes."""
-    last = F.size(tokens) - SHINGLE
+def _shingles(tokens: str, first: Column, end: Column) -> Column:
+    """Distinct shingle hashes of the places from ``first`` up to ``end`` of a column of token
+    hashes. Places are read one by one, as a slice in the lambda would be cut anew for each."""
     return F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(SHINGLE)])))
+        F.sequence(first, F.greatest(F.least(end, F.size(tokens)) - SHINGLE, first)),
+        lambda i: F.xxhash64(*[F.get(F.col(tokens), i + j) for j in range(SHINGLE)])))
 
 
 def _verify(hits: DataFrame) -> DataFrame:
@@ -152,8 +170,8 @@ def _verify(hits: DataFrame) -> DataFrame:
     template_id, template)."""
     reach = F.size("template")
     first = F.greatest(F.col("at") - reach, F.lit(0))
-    region = F.slice("tokens", first + 1, F.lit(WINDOW + SHINGLE) + 2 * reach)
-    found = F.array_intersect(F.col("shingles"), _shingles(region))
+    end = first + WINDOW + SHINGLE + 2 * reach
+    found = F.array_intersect(F.col("shingles"), _shingles("tokens", first, end))
     return (hits.withColumn("containment", F.size(found) / F.size("shingles"))
             .where(F.col("containment") >= CONTAINMENT)
             .select("doc_id", "template_id", "at", "containment"))
@@ -173,7 +191,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame,
     known = known.select("template_id", "license", token_hashes("text").alias("tokens"))
     known = known.withColumn("tokens", F.when(F.size("tokens") >= least, F.col("tokens")).otherwise(
         F.expr(f"raise_error('a template needs {least} words')")))
-    known = stage(known.withColumn("shingles", _shingles(F.col("tokens"))), "license-templates")
+    known = stage(known.withColumn("shingles", _shingles(
+        "tokens", F.lit(0), F.size("tokens"))), "license-templates")
     keys = stage(_template_keys(known), "license-keys")
     short = not known.where(_is_short()).isEmpty()
     own = keys.groupBy("template_id").agg(F.collect_set("key").alias("own"))
