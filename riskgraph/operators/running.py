@@ -11,6 +11,9 @@ total over dated events of the value, read off at the date of the source:
 What only the source's own person brings is told by events of (value, person), which are taken off
 where other persons alone count. The order's own values are added if they are not in sight yet.
 
+Of a value with few orders, as nearly all have, no event is made: its orders travel once, as one short
+list, and every counter of a source is read off that list. Lists are bounded by ``LIST_ROWS``.
+
 Work and tables grow with the edges, however many orders share a value. Totals of heavy values run
 within spans of time, and each span starts from the total of the spans before it. Of the values of
 an attribute only the first sight of each day matters, so that a heavy value has few of them.
@@ -29,8 +32,9 @@ from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, ENTITY_METRICS, EXCEPT_SELF,
                                EXCLUDE_METRICS, INCLUDE_METRICS, ORDER_METRIC, PRODUCT_METRICS,
                                SLICE_DAYS)
-from riskgraph.sources.staging import broadcast_below
+from riskgraph.sources.staging import broadcast_below, stage
 
+LIST_ROWS = 100                       # edges of a value up to which its orders travel as a list
 ORDER = len(ENTITY_METRICS)           # attribute number of the neighbour order itself
 WINDOWS = (None,) + SLICE_DAYS        # None = no time limit; bits of an event say which
 SCOPES = ("inc", "exc")               # with the source's own person, and without
@@ -396,20 +400,83 @@ def heavy_values(blocks: DataFrame) -> DataFrame:
     return broadcast_below(heavy, 1_000_000, "entity_value")
 
 
-def single_edge_features(edges: DataFrame, blocks: DataFrame, prepared: DataFrame,
-                         sources: DataFrame | None = None, metrics: tuple | None = None
-                         ) -> DataFrame:
-    """One row per (order_id_src, edge1) with one column per metric.
-
-    The same rows as ``features`` of ``degree1_pairs`` has for single edge types. ``blocks`` comes
-    from ``graph.load``, ``prepared`` from ``prepare_attributes``. ``metrics`` restricts the pass;
-    only the attributes and windows that they need are touched.
+def common_values(edges: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
+    """Values with more than ``list_rows`` edges, and those that an order without a date has."""
+    n, dated = F.count(F.lit(1)), F.count("apply_date")
+    counted = edges.groupBy("entity_value").agg(n.alias("n"), dated.alias("dated"))
+    return stage(counted.where((F.col("n") > list_rows) | (F.col("dated") < F.col("n")))
+                 .select("entity_value"), "common-values")
+
+
+def _listed_orders(edges: DataFrame, prepared: DataFrame, wanted: _Wanted) -> DataFrame:
+    """(entity_value, first, orders): the first date of a value's edges and its orders, each with
+    its date, person, mark and flags as bits, and the wanted attributes with their marks."""
+    attributes = sorted({*wanted.attributes(False), *wanted.attributes(True)})
+    marks = F.lit(0)
+    for a in attributes:
+        marks = marks + F.shiftleft(_black(ENTITY_METRICS[a]), a)
+    known = F.struct(F.lit(True).alias("known"), F.col("cert_no").alias("person"),
+                     _order_bits(1).alias("bits"), marks.alias("marks"),
+                     *[F.col(ENTITY_METRICS[a].column).alias(f"v{a}") for a in attributes])
+    orders = edges.groupBy("order_id").agg(
+        F.max("apply_date").alias("at"),
+        F.collect_set(F.struct("entity_value", "apply_date")).alias("links"))
+    rows = (orders.join(prepared.select("order_id", known.alias("own")), "order_id", "left")
+            .select("at", "own", "links", F.explode(F.array_distinct("links.entity_value"))
+                    .alias("entity_value")))
+    first = F.expr("array_min(transform(filter(links, l -> l.entity_value = entity_value), "
+                   "l -> l.apply_date))")
+    order = F.when(F.col("own.known"), F.struct("at", "own.*"))
+    return (rows.select("entity_value", first.alias("first"), order.alias("o"))
+            .repartition("entity_value").groupBy("entity_value")
+            .agg(F.min("first").alias("first"), F.collect_list("o").alias("orders")))
+
+
+def _listed_answers(edges: DataFrame, prepared: DataFrame, asked: DataFrame,
+                    wanted: _Wanted) -> DataFrame:
+    """(order_id, edge, self, counters) of sources by the lists of their values' orders.
+
+    A value that an order brings itself counts where no earlier order in sight brought it.
     """
-    metrics = tuple(metrics) if metrics else INCLUDE_METRICS + EXCLUDE_METRICS
-    wanted = _Wanted(metrics)
+    rows = (asked.join(_listed_orders(edges, prepared, wanted), "entity_value")
+            .where(F.col("first") < F.col("at")))
+    own = sorted({*wanted.attributes(False), *wanted.attributes(True)})
+    other = "x.person is not null and (person is null or x.person <> person)"
+    rows = rows.select(
+        "order_id", "edge", "self", *[F.col(ENTITY_METRICS[a].column).alias(f"own{a}") for a in own],
+        F.expr("transform(filter(orders, x -> x.at < at), x -> named_struct('gap', "
+               f"datediff(at, x.at), 'other', {other}, 'bits', x.bits"
+               + "".join(f", 'v{a}', x.v{a}" for a in own) + "))").alias("seen"),
+        *[F.expr(f"transform(filter(orders, x -> x.marks & {1 << a} <> 0), x -> x.v{a})")
+          .alias(f"black{a}") for a in own if (lane("inc", a), BLACK_BIT) in wanted.counters
+          or (lane("exc", a), BLACK_BIT) in wanted.counters])
+    cols = []
+    for counter in wanted.counters:
+        place, bit = counter
+        scope, attr = SCOPES[place // (ORDER + 1) % 2], place % (ORDER + 1)
+        within = f"x.gap <= {WINDOWS[bit]}" if 0 < bit < len(WINDOWS) else "true"
+        if scope == "exc":
+            within += " and x.other"
+        if place == LINK:
+            n = "1"
+        elif attr == ORDER:
+            has = "true" if bit < len(WINDOWS) else f"x.bits & {1 << bit} <> 0"
+            n = f"size(filter(seen, x -> {within} and {has}))"
+        else:
+            itself = f"self & {KNOWN if scope == 'inc' else OTHER} <> 0 and own{attr} is not null"
+            values = (f"concat(transform(filter(seen, x -> {within} and x.v{attr} is not null), "
+                      f"x -> x.v{attr}), if({itself}, array(own{attr}), array()))")
+            n = (f"size(array_intersect({values}, black{attr}))" if bit == BLACK_BIT
+                 else f"size(array_distinct({values}))")
+        cols.append(F.expr(n).cast("long").alias(_name(counter)))
+    return rows.select("order_id", "edge", "self", *cols)
+
+
+def _running_answers(edges: DataFrame, blocks: DataFrame, prepared: DataFrame, asked: DataFrame,
+                     wanted: _Wanted) -> DataFrame:
+    """(order_id, edge, self, counters) of sources by running totals over dated events."""
     scopes, windows, persons = wanted.scopes, wanted.windows, "exc" in wanted.scopes
     heavy = heavy_values(blocks)
-    asked = _source_rows(edges, prepared, sources)
     linked = edges.groupBy("entity_value").agg(F.min("apply_date").alias("first"))
     events = [_opened(linked, [_event(F.lit(ALL_PERSONS), F.col("first"), LINK, 1, 1)])]
     own = []
@@ -435,6 +502,29 @@ def single_edge_features(edges: DataFrame, blocks: DataFrame, prepared: DataFram
         rows = rows.unionByName(part.select(
             "order_id", "edge", F.lit(None).cast("int").alias("self"),
             *[_holds(c, F.lit(1)).cast("long").alias(_name(c)) for c in wanted.counters]))
+    return rows
+
+
+def single_edge_features(edges: DataFrame, blocks: DataFrame, prepared: DataFrame,
+                         sources: DataFrame | None = None, metrics: tuple | None = None,
+                         list_rows: int = LIST_ROWS) -> DataFrame:
+    """One row per (order_id_src, edge1) with one column per metric.
+
+    The same rows as ``features`` of ``degree1_pairs`` has for single edge types. ``blocks`` comes
+    from ``graph.load``, ``prepared`` from ``prepare_attributes``. ``metrics`` restricts the pass;
+    only the attributes and windows that they need are touched. Values with more than ``list_rows``
+    edges are counted by running totals, all others by lists of their orders.
+    """
+    metrics = tuple(metrics) if metrics else INCLUDE_METRICS + EXCLUDE_METRICS
+    wanted = _Wanted(metrics)
+    common = common_values(edges, list_rows)
+    some = not common.isEmpty()
+    few = edges.join(common, "entity_value", "left_anti") if some else edges
+    rows = _listed_answers(few, prepared, _source_rows(few, prepared, sources), wanted)
+    if some:
+        many = edges.join(common, "entity_value", "left_semi")
+        rows = rows.unionByName(_running_answers(
+            many, blocks, prepared, _source_rows(many, prepared, sources), wanted))
     totals = rows.groupBy("order_id", "edge").agg(
         F.max("self").alias("self"), *[F.sum(_name(c)).alias(_name(c)) for c in wanted.counters])
     return _metrics(totals.where(F.col(_name((LINK, 0))) > 0), metrics)

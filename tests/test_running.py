@@ -110,3 +110,30 @@ def test_plan_of_the_query_has_no_pairs(spark):
     for name in ("degree1_contract_metrics", "degree1_slice_metrics", "degree1_black_metrics"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
         assert "order_id_dst" not in plan
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_lists_of_light_values_equal_running_totals(spark, seed):
+    """Few orders share a value: they are counted by a list, without events, windows or spans."""
+    nodes = spark.createDataFrame(odd_orders(seed, 60), f"order_id string, apply_date timestamp, {TYPES}")
+    g = graph.load(nodes, block_rows=5)
+    listed = spark.createDataFrame([("black_mobile", "p1"), ("black_contract", "7")],
+                                   "type string, content string")
+    prepared = stage(neighbours.prepare_attributes(fx.attributes(nodes), listed), "prepared")
+    metrics = CONTRACT_GROUP[:3] + ENTITY_GROUP[:4] + ENTITY_GROUP[-2:] + BLACK_GROUP[-4:] + SLICE_GROUP[
+        ::5] + tuple(group_columns(CONTRACT_GROUP[:2] + ENTITY_GROUP[1:3] + SLICE_GROUP[::7], True))
+    lists = running.single_edge_features(g.edges, g.blocks, prepared, None, metrics)
+    assert "Window" not in lists._jdf.queryExecution().executedPlan().toString()
+    assert_same(lists, running.single_edge_features(g.edges, g.blocks, prepared, None, metrics,
+                                                    list_rows=0))
+
+
+def test_days_are_counted_of_heavy_keys_only(spark):
+    rows = spark.createDataFrame([("a", datetime(2020, 1, 1 + i % 3)) for i in range(9)]
+                                 + [("b", datetime(2020, 1, 1)), (None, datetime(2020, 1, 1))],
+                                 "entity_value string, apply_date timestamp")
+    cut = blocks(rows, 4)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    assert sorted(map(tuple, cut.collect())) == [
+        ("a", datetime(2020, 1, 1 + d).date(), 3, 3 * d, 2, 4) for d in range(3)]
