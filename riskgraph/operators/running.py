@@ -27,14 +27,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskgraph.functions import columns as C
 from riskgraph.functions.joins import LOOKUP_ROWS, measured_lookup
-from riskgraph.operators.neighbours import FLAG_METRICS
+from riskgraph.operators.neighbours import FLAG_METRICS, LIST_ROWS, common_values
 from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, ENTITY_METRICS, EXCEPT_SELF,
                                EXCLUDE_METRICS, INCLUDE_METRICS, ORDER_METRIC, PRODUCT_METRICS,
                                SLICE_DAYS)
-from riskgraph.sources.staging import broadcast_below, stage
+from riskgraph.sources.staging import broadcast_below
 
-LIST_ROWS = 100                       # edges of a value up to which its orders travel as a list
 ORDER = len(ENTITY_METRICS)           # attribute number of the neighbour order itself
 WINDOWS = (None,) + SLICE_DAYS        # None = no time limit; bits of an event say which
 SCOPES = ("inc", "exc")               # with the source's own person, and without
@@ -400,14 +399,6 @@ def heavy_values(blocks: DataFrame) -> DataFrame:
     return broadcast_below(heavy, 1_000_000, "entity_value")
 
 
-def common_values(edges: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Values with more than ``list_rows`` edges, and those that an order without a date has."""
-    n, dated = F.count(F.lit(1)), F.count("apply_date")
-    counted = edges.groupBy("entity_value").agg(n.alias("n"), dated.alias("dated"))
-    return stage(counted.where((F.col("n") > list_rows) | (F.col("dated") < F.col("n")))
-                 .select("entity_value"), "common-values")
-
-
 def _listed_orders(edges: DataFrame, prepared: DataFrame, wanted: _Wanted) -> DataFrame:
     """(entity_value, first, orders): the first date of a value's edges and its orders, each with
     its date, person, mark and flags as bits, and the wanted attributes with their marks."""

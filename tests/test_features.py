@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from riskgraph.operators import features, graph, neighbours, reshape
-from riskgraph.plans import oracle
+from riskgraph.plans import fixtures as fx, oracle
 from riskgraph.schemas import INCLUDE_METRICS, titles
 from riskgraph.sources import staging
-from tests.conftest import SF, blocks
+from riskgraph.sources.staging import stage
+from tests.conftest import SF, TYPES, blocks
+from tests.test_running import assert_same, odd_orders
 
 CHECKED = ["clean_applications", "unpack_person_sets", "entity_nodes", "degree1_paths",
            "degree1_exclude_self_slices", "degree2_slice_metrics", "degree1_black_metrics",
@@ -115,3 +117,23 @@ def test_title_lists():
     assert len(titles(2)) == 3835 and len(titles(1)) == 118 * 9
     assert len(reshape.degree1_wide_titles()) == 309
     assert oracle.TITLES2 == titles(2)
+
+
+@pytest.mark.parametrize("degree, list_rows", [(1, 100), (1, 2), (2, 100), (2, 2)])
+def test_lists_equal_features_of_pairs(spark, degree, list_rows):
+    """Links that come as lists give the features of the pairs; no row per attribute is shuffled."""
+    rows = odd_orders(5, 50)
+    nodes = spark.createDataFrame(rows + rows[:4], f"order_id string, apply_date timestamp, {TYPES}")
+    g = graph.load(nodes, block_rows=6)
+    prepared = stage(neighbours.prepare_attributes(fx.attributes(nodes)), "prepared")
+    make = neighbours.degree1_pairs if degree == 1 else neighbours.degree2_pairs
+    pairs = features.features(make(g.edges, g.blocks), prepared, degree)
+    lists = features.graph_features(g.edges, g.blocks, prepared, degree, list_rows=list_rows)
+    assert_same(lists, pairs)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_id_src" in plan and ", attr#" not in "".join(
+        line for line in plan.splitlines() if "Exchange" in line)
+    few = ["order_cnt", "pass_contract_cnt", "q_order_cnt"]
+    assert_same(features.graph_features(g.edges, g.blocks, prepared, degree, None, few),
+                pairs.select([c for c in pairs.columns if c.startswith(("order_id", "edge"))] + few)
+                .where(" or ".join(f"{m} is not null" for m in few)))
