@@ -124,9 +124,11 @@ def unpack_person_sets(persons: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def person_edges(items: DataFrame) -> DataFrame:
     """Distinct person-entity edges; an entity carries the earliest time seen anywhere."""
-    links = items.select("cert_no", "apply_date", "edge_type", "entity_value", "label").distinct()
-    dated = items.groupBy("entity_value").agg(F.min("entity_at").alias("entity_at"))
-    return counted_lookup(stage(links, "person-links"), dated, ["entity_value"], F.col("cert_no"))
+    keys = ["cert_no", "apply_date", "edge_type", "entity_value", "label"]
+    # The sets are unpacked once: links with their own earliest time hold all that is asked.
+    links = stage(items.groupBy(*keys).agg(F.min("entity_at").alias("own_at")), "person-links")
+    dated = links.groupBy("entity_value").agg(F.min("own_at").alias("entity_at"))
+    return counted_lookup(links.select(*keys), dated, ["entity_value"], F.col("cert_no"))
 
 
 def person_sample(good: DataFrame, black: DataFrame) -> DataFrame:

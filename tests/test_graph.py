@@ -69,3 +69,23 @@ def test_first_line_of_a_person_counts(spark):
     assert {(r.cert_no, r.apply_date, r.entity_value) for r in graph.person_edges(items).collect()
             } == {("p", "2020-01-01", "2"), ("q", "2020-01-03", "3")}
     assert rejects.isEmpty()
+
+
+def test_packed_sets_are_read_once(spark):
+    """Edges of persons come from one staged table, with the earliest time seen anywhere."""
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    schema = "cert_no string, apply_date string, edge_type string, entity_value string, label string, entity_at string"
+    items = spark.createDataFrame(
+        [("a", "d", "EMAIL", "e", "Email", "2020-01-02"), ("a", "d", "EMAIL", "e", "Email", "2020-01-03"),
+         ("b", "d", "EMAIL", "e", "Email", "2020-01-01"), (None, "d", "EMAIL", "f", "Email", "2020-01-04")],
+        schema).mapInPandas(passed, schema)
+    found = graph.person_edges(items).select("cert_no", "entity_value", "entity_at").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, [
+        ("a", "e", "2020-01-01"), ("b", "e", "2020-01-01"), (None, "f", "2020-01-04")]))
+    assert read.value == 4
