@@ -72,6 +72,32 @@ def test_null_person_drops_out_of_the_other_person_scope(make_apps):
     assert got["3"].cid_cnt_exception_self == 1 and got["3"].cid_cnt == 2
 
 
+def test_bits_are_opened_without_a_try_of_each(spark):
+    masks = [0, 1, 5, 255, (1 << 9) - (1 << 63), -1]
+    rows = spark.createDataFrame([(m,) for m in masks], "mask long")
+    for degree, bits in ((1, 8), (2, 64)):
+        got = neighbours.with_set_bits(rows, "mask", degree, also_all=True)
+        assert got.columns == ["mask", "bit"]
+        assert sorted(map(tuple, got.collect())) == sorted(
+            (m, b) for m in masks for b in range(-1, bits) if b < 0 or m >> b & 1)
+
+
+def test_wide_columns_cost_no_aggregate_each(spark):
+    frame = spark.createDataFrame(
+        [("1", "ALL", 3, 4), ("1", "DEVICE", None, 2), ("2", "MYPHONE", 1, 1)],
+        "order_id_src string, edge1 string, cid_cnt long, order_cnt long")
+    columns = ["order_cnt_device", "cid_cnt", "cid_cnt_device", "none", "order_cnt"]
+    wide = reshape.to_wide(frame, 1, columns)
+    assert wide.columns == ["order_id_src", *columns]
+    assert sorted(map(tuple, wide.collect())) == [
+        ("1", 2, 3, None, None, 4), ("2", None, None, None, None, None)]
+    assert "pivotfirst" not in wide._jdf.queryExecution().toString()
+    packed = reshape.pack_scopes(frame).withColumnRenamed("scopes", "degree1_scopes")
+    zeros = reshape.open_scopes(packed, ["order_id_src"], {"degree1_scopes": (1, columns)}, 0)
+    assert zeros.columns == ["order_id_src", *[f"degree1_{c}" for c in columns]]
+    assert sorted(map(tuple, zeros.collect())) == [("1", 2, 3, 0, 0, 4), ("2", 0, 0, 0, 0, 0)]
+
+
 def test_slices_scopes_and_wide_form(spark):
     frame = entry.QUERIES["degree1_all_edges"](spark, SF).withColumn("edge1", F.lit("ALL"))
     frame = frame.cache()
