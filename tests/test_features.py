@@ -98,6 +98,17 @@ def test_wide_columns_cost_no_aggregate_each(spark):
     assert sorted(map(tuple, zeros.collect())) == [("1", 2, 3, 0, 0, 4), ("2", 0, 0, 0, 0, 0)]
 
 
+def test_pairs_shuffle_far_edges_once(spark, make_apps):
+    """They are made distinct where the join by value needs them, not by all columns first."""
+    apps = make_apps(("1", 1, {"mobile": "7"}), ("2", 2, {"mobile": "7", "contact_mobile": "7"}))
+    edges = graph.to_edges(apps)
+    pairs = neighbours.degree1_pairs(edges, blocks(edges))
+    assert sorted((r.order_id_src, r.order_id_dst) for r in pairs.collect()) == [
+        ("2", "1"), ("2", "2")]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [entity_value" in plan
+
+
 def test_slices_scopes_and_wide_form(spark):
     frame = entry.QUERIES["degree1_all_edges"](spark, SF).withColumn("edge1", F.lit("ALL"))
     frame = frame.cache()
