@@ -23,12 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskgraph.llm.memory import as_task
 from riskgraph.llm.secret_scan import redact
+from riskgraph.operators import evaluate
 from riskgraph.operators.model import tree_nodes
 from riskgraph.sources.staging import drop_path, new_path, stage, unstage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the trees and thresholds are made from, at most; taken in order of a hash.
-FIT_DOCS = 4_000
 #: Share of right spans among those above a threshold, on documents not trained on.
 PRECISION = 0.98
 #: Right candidates of both folds that training needs; with fewer only base spans are found.
@@ -318,19 +317,25 @@ def calibrated(scores: np.ndarray, right: np.ndarray, precision: float) -> float
     return float(s[fit[-1]]) if len(fit) else 2.0
 
 
-def fit_pii(docs: DataFrame, rows: int = FIT_DOCS, precision: float = PRECISION) -> PiiModel:
-    """Trees and thresholds from at most ``rows`` documents of ``docs`` (doc_id, text).
+def least_scores(scored: DataFrame, precision: float) -> tuple[float, ...]:
+    """``calibrated`` of each kind for rows of (rank, label, score), none of which is gathered."""
+    out = []
+    for rank in range(len(KINDS)):
+        cum = evaluate.cumulative(evaluate.score_counts(scored.where(F.col("rank") == rank)))
+        share = F.col("tp") / (F.col("tp") + F.col("fp"))
+        least = cum.where(share >= precision).agg(F.min("score")).first()[0]
+        out.append(2.0 if least is None else least)
+    return tuple(out)
+
 
-    A hash of the doc_id picks them, and a quarter of them for the thresholds. Null texts are
-    empty. With too few right candidates, as in an empty table, only base spans will be found.
+def fit_pii(docs: DataFrame, precision: float = PRECISION) -> PiiModel:
+    """Trees and thresholds from all of ``docs`` (doc_id, text).
+
+    A hash of the doc_id keeps a quarter of them for the thresholds. Null texts are empty. With too
+    few right candidates, as in an empty table, only base spans will be found.
     """
-    share = HASHES
-    total = docs.count()
-    if total > 4 * rows:
-        share = HASHES * 2 * rows // total
     key = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(HASHES))
-    picked = (docs.select("text", key.alias("key")).where((F.col("key") < share))
-              .where(F.col("text").rlike("@|[0-9]{2}")).orderBy("key", "text").limit(rows))
+    keyed = docs.select(F.coalesce("text", F.lit("")).alias("text"), key.alias("key"))
 
     @as_task
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -340,7 +345,7 @@ def fit_pii(docs: DataFrame, rows: int = FIT_DOCS, precision: float = PRECISION)
             if out:
                 yield pd.DataFrame(out, columns=["kept_back", "rank", "right", "features"])
 
-    data = stage(picked.mapInPandas(
+    data = stage(keyed.mapInPandas(
         make, "kept_back boolean, rank int, right int, features array<double>"), "pii-examples")
     counts = {(r.kept_back, r.right): r["count"]
               for r in data.groupBy("kept_back", "right").count().collect()}
@@ -350,12 +355,19 @@ def fit_pii(docs: DataFrame, rows: int = FIT_DOCS, precision: float = PRECISION)
     learn = data.where("not kept_back").select(
         F.col("right").cast("double").alias("label"), array_to_vector("features").alias("features"))
     model = _trees(GBTClassifier(**TREES).fit(learn))
-    held = data.where("kept_back").toPandas()
+
+    @as_task
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"rank": batch["rank"], "label": batch["right"],
+                                    "score": model.scores(np.array(batch["features"].tolist()))})
+
+    scored = stage(data.where("kept_back").mapInPandas(
+        score, "rank int, label int, score double"), "pii-scores")
     unstage(data)
-    scores = model.scores(np.array(held["features"].tolist()))
-    right, rank = held["right"].to_numpy(), held["rank"].to_numpy()
-    model.thresholds = tuple(calibrated(scores[rank == k], right[rank == k], precision)
-                             for k in range(len(KINDS)))
+    model.thresholds = least_scores(scored, precision)
+    unstage(scored)
     return model
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
 
 from riskgraph.llm import pii, queries
 
@@ -141,6 +142,38 @@ def test_thresholds():
     assert pii.calibrated(np.array([]), np.array([]), 0.5) == 2.0
 
 
+def test_thresholds_of_rows(spark):
+    rng = np.random.default_rng(4)
+    rank, score = rng.integers(0, 3, 600), np.round(rng.random(600), 2)
+    right = (rng.random(600) < score).astype(int)
+    rows = spark.createDataFrame(zip(rank.tolist(), right.tolist(), score.tolist()),
+                                 "rank int, label int, score double")
+    assert pii.least_scores(rows, 0.9) == tuple(
+        pii.calibrated(score[rank == k], right[rank == k], 0.9) for k in range(4))
+
+
+def test_every_document_is_learned_from(spark, monkeypatch):
+    """More documents than the former sample of 4,000 had: the trees see the candidates of all."""
+    seen = []
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, data):
+        seen.append(data.count())
+        raise Seen
+
+    monkeypatch.setattr(pii.GBTClassifier, "fit", fit)
+    docs = spark.range(6_000).selectExpr(
+        "id as doc_id", "concat('mail me', id, '@x.org or call +49 170 ', 1000000 + id) as text")
+    with pytest.raises(Seen):
+        pii.fit_pii(docs)
+    key = F.pmod(F.xxhash64("doc_id", F.lit(pii.SEED)), F.lit(pii.HASHES))
+    wanted = sum(len(pii.examples(r.text, r.key >> 2)) for r in docs.select(
+        "text", key.alias("key")).collect() if r.key % 4)
+    assert seen == [wanted]
+
+
 def test_query_on_a_table(spark, tmp_path):
     texts = random_texts(300, seed=5) + [t for _, t in corpus(300, seed=6)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(7000, None), (7001, ""), (3, texts[3]),
