@@ -13,6 +13,9 @@ from riskgraph.schemas import (APPLY_NODE_FIELDS, EDGES, MISSING,
 from riskgraph.sources.staging import stage
 from riskgraph.sources.writers import bucketed_table
 
+# Edges of a bucket of the stored edges, and buckets that Spark allows in a table by default.
+BUCKET_ROWS, MOST_BUCKETS = 500_000, 100_000
+
 
 def clean_applications(raw: DataFrame, order_by: tuple = ("source_file", "source_pos")) -> DataFrame:
     """Clean ids, drop empty ones, keep the first row read of each order id.
@@ -64,15 +67,19 @@ def load(applications: DataFrame, strict_idcard: bool = True,
     return Graph(nodes, edges, blocks)
 
 
-def store_edges(graph: Graph, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+def store_edges(graph: Graph, buckets: int | None = None,
+                bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
     """(light, heavy): the edges stored by value, so that an export shuffles its sources only.
 
     Edges of light entities are bucketed and sorted by value; those of heavy entities, which would
-    make a bucket large, are kept apart as plain files. ``buckets`` are the session's shuffle
-    partitions by default, as Spark takes fewer for too little parallelism.
+    make a bucket large, are kept apart as plain files. ``buckets`` are by default as many as keep a
+    bucket at ``bucket_rows`` edges, so that a task sorts it in memory however many edges there are,
+    and at least the session's shuffle partitions, as Spark takes fewer for too little parallelism.
     """
     light, heavy = heavy_split(graph.edges, "entity_value", graph.blocks)
-    buckets = buckets or int(light.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not buckets:
+        least = int(light.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(max(least, -(-graph.edges.count() // bucket_rows)), MOST_BUCKETS)
     return (bucketed_table(light, "entity_value", buckets, "edges-by-value"),
             stage(heavy, "edges-of-heavy-values"))
 

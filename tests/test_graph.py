@@ -89,3 +89,10 @@ def test_packed_sets_are_read_once(spark):
     assert sorted(map(str, map(tuple, found))) == sorted(map(str, [
         ("a", "e", "2020-01-01"), ("b", "e", "2020-01-01"), (None, "f", "2020-01-04")]))
     assert read.value == 4
+
+
+def test_buckets_grow_with_the_edges(spark, make_apps):
+    g = graph.load(make_apps(*[(str(i), 1 + i % 9, {"mobile": str(i % 40)}) for i in range(200)]))
+    light, _ = graph.store_edges(g, bucket_rows=10)
+    assert len({int(f.rsplit("_", 1)[1].split(".")[0]) for f in light.inputFiles()}) > 8
+    assert light.exceptAll(g.edges).isEmpty() and light.count() == g.edges.count()
