@@ -88,6 +88,22 @@ def heavy_keys(facts: DataFrame, on: list[str], rows: int = LOOKUP_ROWS) -> Data
                  "heavy-keys")
 
 
+def spread_facts(facts: DataFrame, heavy: DataFrame, spread: Column) -> DataFrame:
+    """``facts`` with a ``__salt`` below the ``copies`` of their key in ``heavy``, 0 for other keys."""
+    heavy = heavy.withColumnRenamed("copies", "__copies")
+    by = [c for c in heavy.columns if c != "__copies"]
+    return facts.join(heavy, by, "left").withColumn("__salt", F.pmod(
+        F.xxhash64(spread), F.coalesce("__copies", F.lit(1))).cast("int")).drop("__copies")
+
+
+def copied_rows(rows: DataFrame, heavy: DataFrame) -> DataFrame:
+    """``rows`` once for each ``__salt`` that ``spread_facts`` gives their key."""
+    heavy = heavy.withColumnRenamed("copies", "__copies")
+    by = [c for c in heavy.columns if c != "__copies"]
+    return rows.join(heavy, by, "left").withColumn("__salt", F.explode(F.sequence(
+        F.lit(0), F.coalesce("__copies", F.lit(1)) - 1))).drop("__copies")
+
+
 def measured_lookup(facts: DataFrame, unique: DataFrame, on: list[str], spread: Column,
                     heavy: DataFrame, how: str = "inner") -> DataFrame:
     """Join a fact table to a table that is unique on ``on``, with hot keys spread by their size.
@@ -96,14 +112,9 @@ def measured_lookup(facts: DataFrame, unique: DataFrame, on: list[str], spread:
     facts are spread over them by ``spread``. Other keys have one copy. There is at most one heavy
     key for each ``LOOKUP_ROWS`` facts; give it through ``broadcast_below``.
     """
-    by = [c for c in heavy.columns if c in on]
-    heavy = heavy.select(*by, F.col("copies").alias("__copies"))
-    copies = F.coalesce("__copies", F.lit(1))
-    left = facts.join(heavy, by, "left").withColumn(
-        "__salt", F.pmod(F.xxhash64(spread), copies).cast("int")).drop("__copies")
-    right = unique.join(heavy, by, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__copies")
-    return left.join(right, on + ["__salt"], how).drop("__salt")
+    heavy = heavy.select(*[c for c in heavy.columns if c in on], "copies")
+    return spread_facts(facts, heavy, spread).join(
+        copied_rows(unique, heavy), on + ["__salt"], how).drop("__salt")
 
 
 def counted_lookup(facts: DataFrame, unique: DataFrame, on: list[str], spread: Column,

@@ -52,19 +52,41 @@ class Graph:
     applications: DataFrame
     edges: DataFrame
     blocks: DataFrame                    # time blocks of heavy entities
+    strict_idcard: bool = True
+
+    def edges_of(self, orders: DataFrame) -> DataFrame:
+        """Edges of some orders, which are looked up among the applications: there are several
+        edges to an application, and a long list of orders is joined by shuffling."""
+        wanted = orders.select("order_id").distinct()
+        return to_edges(self.applications.join(wanted, "order_id", "left_semi"),
+                        strict_idcard=self.strict_idcard)
+
+    def before(self, orders: DataFrame) -> DataFrame:
+        """Edges of the orders before the latest of ``orders``; no other is earlier than one of them."""
+        found = self.applications.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+        latest = found.agg(F.max(F.unix_micros("apply_date"))).first()[0]
+        return self.edges.where(F.unix_micros("apply_date") < F.lit(latest).cast("long"))
 
 
 def load(applications: DataFrame, strict_idcard: bool = True,
-         block_rows: int = BLOCK_ROWS) -> Graph:
+         block_rows: int = BLOCK_ROWS, stage_edges: bool = True) -> Graph:
     """Load the graph: stage applications and edges once and look for heavy entities.
 
-    Applications are dealt out by order first, so that few large input files, or one, do not bound
+    Without ``stage_edges`` the edges are unfolded from the staged applications where they are read,
+    which is less than writing them for the few reads of a path export, and the applications are
+    bucketed by order, so that those of some orders are found without a shuffle. Applications are dealt out by order first, so that few large input files, or one, do not bound
     the tasks that the far larger edge table is made and read by.
     """
-    nodes = stage(applications.repartition("order_id"), "applications")
-    edges = stage(to_edges(nodes, strict_idcard=strict_idcard), "edges")
+    if stage_edges:
+        nodes = stage(applications.repartition("order_id"), "applications")
+    else:
+        tasks = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        nodes = bucketed_table(applications, "order_id", tasks, "applications")
+    edges = to_edges(nodes, strict_idcard=strict_idcard)
+    if stage_edges:
+        edges = stage(edges, "edges")
     blocks = stage(day_blocks(edges, "entity_value", "apply_date", block_rows), "blocks")
-    return Graph(nodes, edges, blocks)
+    return Graph(nodes, edges, blocks, strict_idcard)
 
 
 def store_edges(graph: Graph, buckets: int | None = None,

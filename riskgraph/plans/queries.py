@@ -123,8 +123,8 @@ def csv_person_rejects(spark, sf):
 
 
 # ------------------------------------------------------------------------------- paths
-def _graph(spark, sf) -> graph.Graph:
-    return graph.load(fx.applications(spark, sf))
+def _graph(spark, sf, stage_edges: bool = True) -> graph.Graph:
+    return graph.load(fx.applications(spark, sf), stage_edges=stage_edges)
 
 
 def degree1_paths(spark, sf):
@@ -200,10 +200,10 @@ def monthly_orders(spark, sf):
 
 def degree2_paths(spark, sf):
     """Degree-2 export of all orders of a date range."""
-    g = _graph(spark, sf)
+    g = _graph(spark, sf, stage_edges=False)
     days = readers.scan_days(fx.order_table(g.applications), *RANGE)
-    return as_text(paths.degree2(g.edges, g.blocks, days,
-                                 neighbours.busy_orders(g.edges, g.blocks)))
+    return paths.degree2(g.edges, g.blocks, busy=neighbours.busy_orders(g.edges, g.blocks),
+                         day_text=True, near=g.edges_of(days), reach=g.before(days))
 
 
 # ---------------------------------------------------------------------------- features

@@ -96,3 +96,19 @@ def test_buckets_grow_with_the_edges(spark, make_apps):
     light, _ = graph.store_edges(g, bucket_rows=10)
     assert len({int(f.rsplit("_", 1)[1].split(".")[0]) for f in light.inputFiles()}) > 8
     assert light.exceptAll(g.edges).isEmpty() and light.count() == g.edges.count()
+
+
+def test_edges_of_some_orders_need_no_shuffle_of_the_edges(spark, make_apps):
+    apps = make_apps(*[(str(i), 1 + i % 9, {"mobile": str(i % 40)}) for i in range(200)])
+    g, staged = graph.load(apps, stage_edges=False), graph.load(apps)
+    assert "staged_path" not in g.edges.__dict__
+    assert g.edges.exceptAll(staged.edges).isEmpty() and g.edges.count() == staged.edges.count()
+    few = g.applications.where("apply_date < '2020-01-04'").select("order_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = g.edges_of(few)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert rows(got) == rows(staged.edges.join(few, "order_id", "left_semi").select(*got.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
