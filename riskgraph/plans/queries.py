@@ -180,9 +180,9 @@ def backfill_record(spark, sf):
 
 def rewritten_paths(spark, sf):
     """Stored paths of a few days; of one of them all but those over the own phone were written anew."""
-    g = _graph(spark, sf)
-    found = stage(paths.degree1(g.edges, g.blocks, readers.scan_days(
-        fx.order_table(g.applications), *RANGE)), "found-paths")
+    g = _graph(spark, sf, stage_edges=False)
+    days = readers.scan_days(fx.order_table(g.applications), *RANGE)
+    found = stage(paths.degree1(g.before(days), g.blocks, near=g.edges_of(days)), "found-paths")
     path = new_path(spark, "stored-paths")
     writers.write_paths(found, path)
     writers.write_paths(found.where((F.to_date("apply_date_src") == F.lit(REWRITTEN_DAY))

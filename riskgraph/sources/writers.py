@@ -6,17 +6,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.joins import salted_lookup
-from riskgraph.sources.staging import new_path, staged_table
+from riskgraph.sources.staging import broadcast_below, new_path, stage, staged_table
 
 
 # Rows of one partition folder that go into one file.
 FILE_ROWS = 2_000_000
+# Folders whose sizes are broadcast.
+MOST_FOLDERS = 100_000
 
 
 def _by_folder(rows: DataFrame, keys: list[str], spread: str, file_rows: int) -> DataFrame:
     """Rows dealt out by folder and, within large folders, by a hash of ``spread``, so that a file
-    holds about ``file_rows`` rows. Sizes are counted map-side, one row per folder."""
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("files"))
+    holds about ``file_rows`` rows. Sizes are counted map-side, one row per folder, and before they
+    are joined: planned as one query, all rows are shuffled to meet them."""
+    sizes = broadcast_below(stage(rows.groupBy(*keys).agg(
+        F.ceil(F.count(F.lit(1)) / file_rows).alias("files")), "folder-sizes"), MOST_FOLDERS)
     dealt = salted_lookup(rows, sizes, keys, F.col(spread))
     part = F.pmod(F.xxhash64(spread), F.col("files")).alias("part")
     return dealt.repartition(*keys, part).drop("files")

@@ -133,3 +133,15 @@ def test_profile_and_model(spark, tmp_path):
     writers.save_model(fitted, str(tmp_path / "m"))
     again = model.score(writers.load_model(str(tmp_path / "m")), df)
     assert again.exceptAll(out).isEmpty()
+
+
+def test_rows_are_not_shuffled_to_meet_the_sizes_of_their_folders(spark):
+    rows_ = spark.range(100).selectExpr("id", "id % 3 as day")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = writers._by_folder(rows_, ["day"], "id", 10)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert dealt.count() == 100 and dealt.selectExpr("max(part)").first()[0] == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
