@@ -128,8 +128,8 @@ def _graph(spark, sf, stage_edges: bool = True) -> graph.Graph:
 
 
 def degree1_paths(spark, sf):
-    g = _graph(spark, sf)
-    return as_text(paths.degree1(g.edges, g.blocks))
+    g = _graph(spark, sf, stage_edges=False)
+    return paths.degree1(g.edges, g.blocks, day_text=True)
 
 
 def degree1_paths_unordered(spark, sf):
