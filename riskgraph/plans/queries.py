@@ -146,9 +146,10 @@ def _order_store(spark, apps):
 
 def degree1_backfill_range(spark, sf):
     """Paths of the orders of a range of days, over edges that are stored by value."""
-    g = _graph(spark, sf)
+    g = _graph(spark, sf, stage_edges=False)
     days = readers.scan_days(_order_store(spark, g.applications), *RANGE)
-    return as_text(paths.degree1(g.edges, g.blocks, days, graph.store_edges(g)))
+    return as_text(paths.degree1(g.edges, g.blocks, store=graph.store_edges(g),
+                                 near=g.edges_of(days)))
 
 
 def _back_fill(spark, sf) -> str:
