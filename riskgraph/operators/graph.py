@@ -69,19 +69,21 @@ class Graph:
 
 
 def load(applications: DataFrame, strict_idcard: bool = True,
-         block_rows: int = BLOCK_ROWS, stage_edges: bool = True) -> Graph:
+         block_rows: int = BLOCK_ROWS, stage_edges: bool = True,
+         by_order: bool = False) -> Graph:
     """Load the graph: stage applications and edges once and look for heavy entities.
 
     Without ``stage_edges`` the edges are unfolded from the staged applications where they are read,
-    which is less than writing them for the few reads of a path export, and the applications are
-    bucketed by order, so that those of some orders are found without a shuffle. Applications are dealt out by order first, so that few large input files, or one, do not bound
+    which is less than writing them for the few reads of a path export. With ``by_order``
+    the applications are bucketed by order, so that those of some orders are found without a shuffle;
+    reading all of them takes more, shorter tasks. Applications are dealt out by order first, so that few large input files, or one, do not bound
     the tasks that the far larger edge table is made and read by.
     """
-    if stage_edges:
-        nodes = stage(applications.repartition("order_id"), "applications")
-    else:
+    if by_order:
         tasks = int(applications.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         nodes = bucketed_table(applications, "order_id", tasks, "applications")
+    else:
+        nodes = stage(applications.repartition("order_id"), "applications")
     edges = to_edges(nodes, strict_idcard=strict_idcard)
     if stage_edges:
         edges = stage(edges, "edges")

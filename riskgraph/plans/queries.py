@@ -123,8 +123,8 @@ def csv_person_rejects(spark, sf):
 
 
 # ------------------------------------------------------------------------------- paths
-def _graph(spark, sf, stage_edges: bool = True) -> graph.Graph:
-    return graph.load(fx.applications(spark, sf), stage_edges=stage_edges)
+def _graph(spark, sf, **how) -> graph.Graph:
+    return graph.load(fx.applications(spark, sf), **how)
 
 
 def degree1_paths(spark, sf):
@@ -146,7 +146,7 @@ def _order_store(spark, apps):
 
 def degree1_backfill_range(spark, sf):
     """Paths of the orders of a range of days, over edges that are stored by value."""
-    g = _graph(spark, sf, stage_edges=False)
+    g = _graph(spark, sf, stage_edges=False, by_order=True)
     days = readers.scan_days(_order_store(spark, g.applications), *RANGE)
     return as_text(paths.degree1(g.edges, g.blocks, store=graph.store_edges(g),
                                  near=g.edges_of(days)))
@@ -181,7 +181,7 @@ def backfill_record(spark, sf):
 
 def rewritten_paths(spark, sf):
     """Stored paths of a few days; of one of them all but those over the own phone were written anew."""
-    g = _graph(spark, sf, stage_edges=False)
+    g = _graph(spark, sf, stage_edges=False, by_order=True)
     days = readers.scan_days(fx.order_table(g.applications), *RANGE)
     found = stage(paths.degree1(g.before(days), g.blocks, near=g.edges_of(days)), "found-paths")
     path = new_path(spark, "stored-paths")
@@ -201,7 +201,7 @@ def monthly_orders(spark, sf):
 
 def degree2_paths(spark, sf):
     """Degree-2 export of all orders of a date range."""
-    g = _graph(spark, sf, stage_edges=False)
+    g = _graph(spark, sf, stage_edges=False, by_order=True)
     days = readers.scan_days(fx.order_table(g.applications), *RANGE)
     return paths.degree2(g.edges, g.blocks, busy=neighbours.busy_orders(g.edges, g.blocks),
                          day_text=True, near=g.edges_of(days), reach=g.before(days))

@@ -100,7 +100,7 @@ def test_buckets_grow_with_the_edges(spark, make_apps):
 
 def test_edges_of_some_orders_need_no_shuffle_of_the_edges(spark, make_apps):
     apps = make_apps(*[(str(i), 1 + i % 9, {"mobile": str(i % 40)}) for i in range(200)])
-    g, staged = graph.load(apps, stage_edges=False), graph.load(apps)
+    g, staged = graph.load(apps, stage_edges=False, by_order=True), graph.load(apps)
     assert "staged_path" not in g.edges.__dict__
     assert g.edges.exceptAll(staged.edges).isEmpty() and g.edges.count() == staged.edges.count()
     few = g.applications.where("apply_date < '2020-01-04'").select("order_id")
