@@ -48,7 +48,7 @@ def seed_hash(tokens: Column, at: Column, mask: str, number: int) -> Column:
 
 
 def _item_seeds(items: DataFrame, masks: tuple[str, ...], general: int) -> DataFrame:
-    """(seed, item_id, item_at) of all places and masks of the benchmark items.
+    """(seed, item_id, item_at, n_item) of all places and masks of the benchmark items.
 
     A mask after the first ``general`` ones stands for the items of just its length.
     """
@@ -56,34 +56,46 @@ def _item_seeds(items: DataFrame, masks: tuple[str, ...], general: int) -> DataF
     seeds = F.array(*[
         F.when(F.lit(k < general) | (F.size("item") == len(m)),
                seed_hash(F.col("item"), F.col("item_at"), m, k)) for k, m in enumerate(masks)])
-    return (places.select("item_id", "item_at", F.explode(seeds).alias("seed"))
+    return (places.select("item_id", "item_at", F.size("item").alias("n_item"),
+                          F.explode(seeds).alias("seed"))
             .where("seed is not null").distinct())
 
 
-def _run_start(tokens: Column, at: Column, item: Column, item_at: Column,
-               masks: tuple[str, ...]) -> Column:
+def _stretch(hits: DataFrame) -> DataFrame:
+    """(doc_id, item_id, first, part, item_first, ...) of hits with tokens, at, item_at and n_item:
+    the document's tokens along the item, which are those from ``first`` on.
+
+    A hit takes a stretch with it that is no longer than the item, so that the hits of a document,
+    which a task holds together, do not each hold all its tokens.
+    """
+    shift = F.col("at") - F.col("item_at")
+    first = F.greatest(shift, F.lit(0))
+    length = F.least(F.size("tokens") - first, F.col("n_item") - (first - shift))
+    return hits.withColumns({"first": first, "item_first": first - shift,
+                             "part": F.slice("tokens", first + 1, length)}).drop("tokens")
+
+
+def _run_start(masks: tuple[str, ...]) -> Column:
     """True unless the places one token earlier are a hit under the same mask."""
+    at, item_at = F.col("at") - F.col("first"), F.col("item_at")
     earlier = F.lit(False)
     for k, mask in enumerate(masks):
-        same = seed_hash(tokens, at - 1, mask, k) == seed_hash(item, item_at - 1, mask, k)
+        same = seed_hash(F.col("part"), at - 1, mask, k) == seed_hash(
+            F.col("item"), item_at - 1, mask, k)
         earlier = F.when(F.col("k") == k, same).otherwise(earlier)
-    return ~((at > 0) & (item_at > 0) & earlier)
+    return ~((F.col("at") > 0) & (item_at > 0) & earlier)
 
 
 def _verify(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Overlaps of (doc_id, tokens, item_id, item, shift) that count: the item's token k lies at
-    the document's token ``shift`` + k.
+    """Overlaps of rows of ``_stretch`` with their item that count.
 
     Of all stretches that begin and end with an agreeing token, the one with the best balance of
     agreeing tokens (+1) and others (-agree / (1 - agree)) is taken: the overlap may cover a part
     of the item, and a replaced token inside it costs its position only.
     """
     cost = rule.agree / (1 - rule.agree) - 1e-6  # just that share still counts
-    first = F.greatest(F.col("shift"), F.lit(0))
-    item_first = first - F.col("shift")
-    length = F.least(F.size("tokens") - first, F.size("item") - item_first)
-    same = F.zip_with(F.slice("tokens", first + 1, length), F.slice("item", item_first + 1, length),
-                      lambda a, b: a == b)
+    along = F.slice("item", F.col("item_first") + 1, F.size("part"))
+    same = F.zip_with("part", along, lambda a, b: a == b)
     start = F.expr("named_struct('sum', 0.0D, 'from', 0, 'hits', 0, 'k', 0, 'best', 0.0D, "
                    "'best_from', 0, 'best_to', 0, 'best_hits', 0)")
 
@@ -101,12 +113,11 @@ def _verify(rows: DataFrame, rule: Rule) -> DataFrame:
             F.when(best, hits).otherwise(acc["best_hits"]).alias("best_hits"))
 
     best = F.aggregate(same, start, step)
-    least = F.least(F.lit(rule.least_tokens), F.size("item"))
-    return (rows.withColumns({"best": best, "first": first, "least": least})
-            .where("best.best_hits >= least")
+    least = F.least(F.lit(rule.least_tokens), F.col("n_item"))
+    return (rows.withColumn("best", best).where(F.col("best.best_hits") >= least)
             .select("doc_id", "item_id", (F.col("first") + F.col("best.best_from")).alias("start"),
                     (F.col("first") + F.col("best.best_to")).alias("end"),
-                    F.col("best.best_hits").alias("n_agree"), F.size("item").alias("n_item")))
+                    F.col("best.best_hits").alias("n_agree"), "n_item"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
@@ -134,17 +145,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     seeded = places.select("doc_id", "tokens", "at", F.posexplode(F.array(
         *[seed_hash(F.col("tokens"), F.col("at"), m, k) for k, m in enumerate(masks)]
     )).alias("k", "seed")).where("seed is not null")
-    shift = (F.col("at") - F.col("item_at")).alias("shift")
     if seeds.count() <= rule.broadcast_seeds:
-        hits = (seeded.join(F.broadcast(seeds), "seed")
-                .join(F.broadcast(items), "item_id")
-                .where(_run_start(F.col("tokens"), F.col("at"), F.col("item"), F.col("item_at"),
-                                  masks))
-                .select("doc_id", "tokens", "item_id", "item", shift))
+        hits = (_stretch(seeded.join(F.broadcast(seeds), "seed"))
+                .join(F.broadcast(items), "item_id").where(_run_start(masks)))
     else:
-        pairs = (seeded.drop("tokens").join(seeds, "seed")
-                 .select("doc_id", "item_id", shift).distinct())
-        hits = pairs.join(tokens, "doc_id").join(items, "item_id")
+        pairs = seeded.drop("tokens").join(seeds, "seed").select(
+            "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("at"),
+            F.lit(0).alias("item_at"), "n_item").distinct()
+        hits = _stretch(pairs.join(tokens, "doc_id")).join(items, "item_id")
     overlap = F.struct("n_agree", -F.col("start"), "end", "n_item", "start")
     return (_verify(hits, rule).groupBy("doc_id", "item_id").agg(F.max(overlap).alias("o"))
             .select("doc_id", "item_id", "o.start", "o.end", "o.n_agree", "o.n_item"))

@@ -141,3 +141,24 @@ def test_replaced_tokens(spark):
                       spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in found if r.doc_id == r.item_id} == want
     assert len(want) > 60
+
+
+def test_hits_carry_stretches_not_documents(tables):
+    """A task holds all hits of a document at once: none may hold the document's tokens."""
+    df, bench, *_ = tables
+    plan = dec.leaks(df, bench)._jdf.queryExecution().optimizedPlan().toString()
+    verified = [line for line in plan.splitlines() if "aggregate(zip_with(" in line]
+    assert verified and not any("tokens#" in line for line in verified)
+
+
+def test_items_over_both_ends_of_a_document(spark):
+    item = [f"t{k}" for k in range(40)]
+    docs = [(1, item[20:] + ["x"] * 30), (2, ["x"] * 30 + item[:20]), (3, item[10:30]),
+            (4, item + ["x"] + item[:15])]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    for rule in (dec.Rule(), dec.Rule(broadcast_seeds=0)):
+        got = sorted((r.doc_id, r.start, r.end, r.n_agree, r.n_item)
+                     for r in dec.leaks(df, bench, rule=rule).collect())
+        assert got == [(1, 0, 20, 20, 40), (2, 30, 50, 20, 40), (3, 0, 20, 20, 40),
+                       (4, 0, 40, 40, 40)]
