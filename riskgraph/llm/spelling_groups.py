@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskgraph.functions.joins import salted_lookup
+from riskgraph.functions.joins import counted_lookup
 from riskgraph.llm.memory import as_task
 from riskgraph.sources.staging import broadcast_below, stage, unstage
 
@@ -207,12 +207,13 @@ def _roots(forms: DataFrame) -> DataFrame:
     """(word, root): the end of each word's chain of forms.
 
     Each round doubles the steps a root is away, and a form is at least ``RATIO`` times as
-    frequent as its word, so the rounds are few. Very many words may share a root.
+    frequent as its word, so the rounds are few. Very many words may share a root: such roots only are
+    copied, as a table that Spark broadcasts is held by the driver with all copies.
     """
     now = stage(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        after = stage(salted_lookup(now, onward, ["root"], F.col("word"), "left").select(
+        after = stage(counted_lookup(now, onward, ["root"], F.col("word"), "left").select(
             "word", F.coalesce("next", "root").alias("root"),
             F.col("next").isNotNull().alias("moved")), "roots")
         moved = not after.where("moved").isEmpty()

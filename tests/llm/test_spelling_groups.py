@@ -97,3 +97,20 @@ def test_query_on_a_table(spark, tmp_path, monkeypatch):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert spell.group_variants(spell.count_words(none)).count() == 0
+
+
+def test_roots_are_not_copied_for_each_salt(spark, monkeypatch):
+    """The driver broadcasts the table of roots: only roots of very many words are copied."""
+    plans = []
+
+    def spied(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, name)
+
+    stage = spell.stage
+    monkeypatch.setattr(spell, "stage", spied)
+    forms = [(f"w{k}", f"w{k // 2}") for k in range(2, 200)]
+    got = spell._roots(spark.createDataFrame(forms, "word string, form string"))
+    assert {tuple(r) for r in got.collect()} == {(w, "w1") for w, _ in forms}
+    copying = [line for plan in plans for line in plan.splitlines() if "Generate explode" in line]
+    assert len(plans) > 3 and all("__copies" in line for line in copying)
