@@ -32,7 +32,7 @@ from riskgraph.operators.paths import from_orders
 from riskgraph.schemas import (BLACK_CONTRACT, CONTRACT_METRICS, ENTITY_METRICS, EXCEPT_SELF,
                                EXCLUDE_METRICS, INCLUDE_METRICS, ORDER_METRIC, PRODUCT_METRICS,
                                SLICE_DAYS)
-from riskgraph.sources.staging import broadcast_below
+from riskgraph.sources.staging import broadcast_below, by_batches
 
 ORDER = len(ENTITY_METRICS)           # attribute number of the neighbour order itself
 WINDOWS = (None,) + SLICE_DAYS        # None = no time limit; bits of an event say which
@@ -43,6 +43,7 @@ ALL_PERSONS = ""
 # Bits of a source's own row: it has attributes, it counts as another person, its person is known.
 KNOWN, OTHER, PERSON = 1, 2, 4
 DAY_MICROS = 86_400_000_000
+BATCH_EDGES = 60_000_000              # edges whose values are on disk with their orders at a time
 KEYS = ["entity_value", "attr", "value"]
 EVENT = ["entity_value", "who", "at", "lane", "bits", "w"]
 
@@ -498,24 +499,31 @@ def _running_answers(edges: DataFrame, blocks: DataFrame, prepared: DataFrame, a
 
 def single_edge_features(edges: DataFrame, blocks: DataFrame, prepared: DataFrame,
                          sources: DataFrame | None = None, metrics: tuple | None = None,
-                         list_rows: int = LIST_ROWS) -> DataFrame:
+                         list_rows: int = LIST_ROWS,
+                         batch_edges: int = BATCH_EDGES) -> DataFrame:
     """One row per (order_id_src, edge1) with one column per metric.
 
     The same rows as ``features`` of ``degree1_pairs`` has for single edge types. ``blocks`` comes
     from ``graph.load``, ``prepared`` from ``prepare_attributes``. ``metrics`` restricts the pass;
     only the attributes and windows that they need are touched. Values with more than ``list_rows``
-    edges are counted by running totals, all others by lists of their orders.
+    edges are counted by running totals, all others by lists of their orders. A value asks for no
+    other one: more than ``batch_edges`` edges are taken in batches of whole values.
     """
     metrics = tuple(metrics) if metrics else INCLUDE_METRICS + EXCLUDE_METRICS
     wanted = _Wanted(metrics)
     common = common_values(edges, list_rows)
     some = not common.isEmpty()
-    few = edges.join(common, "entity_value", "left_anti") if some else edges
-    rows = _listed_answers(few, prepared, _source_rows(few, prepared, sources), wanted)
-    if some:
-        many = edges.join(common, "entity_value", "left_semi")
-        rows = rows.unionByName(_running_answers(
-            many, blocks, prepared, _source_rows(many, prepared, sources), wanted))
+
+    def answers(part: DataFrame) -> DataFrame:
+        few = part.join(common, "entity_value", "left_anti") if some else part
+        rows = _listed_answers(few, prepared, _source_rows(few, prepared, sources), wanted)
+        if some:
+            many = part.join(common, "entity_value", "left_semi")
+            rows = rows.unionByName(_running_answers(
+                many, blocks, prepared, _source_rows(many, prepared, sources), wanted))
+        return rows
+
+    rows = by_batches(edges, "entity_value", batch_edges, "answers", answers)
     totals = rows.groupBy("order_id", "edge").agg(
         F.max("self").alias("self"), *[F.sum(_name(c)).alias(_name(c)) for c in wanted.counters])
     return _metrics(totals.where(F.col(_name((LINK, 0))) > 0), metrics)

@@ -174,3 +174,25 @@ def test_lists_equal_features_of_pairs(spark, degree, list_rows):
     assert_same(features.graph_features(g.edges, g.blocks, prepared, degree, None, few),
                 pairs.select([c for c in pairs.columns if c.startswith(("order_id", "edge"))] + few)
                 .where(" or ".join(f"{m} is not null" for m in few)))
+
+
+@pytest.mark.parametrize("degree", [1, 2])
+def test_batches_of_sources_equal_all_at_once(spark, degree):
+    apps = stage(spark.createDataFrame(odd_orders(5, 60), f"order_id string, apply_date timestamp, "
+                                       f"{TYPES}"), "apps")
+    g = graph.load(apps)
+    prepared = stage(neighbours.prepare_attributes(g.applications), "prepared")
+    sources = apps.where(F.col("order_id").cast("int") % 3 > 0)
+    half = -(-sources.count() // 2)
+
+    def found(**how):
+        return features.graph_features(g.edges, g.blocks, prepared, degree, sources,
+                                       INCLUDE_METRICS[:3], only=F.col("edge1") != "EMAIL", **how)
+
+    one, more = found(), found(batch_sources=half)
+    named = f"features{degree}-1"
+    assert named in "".join(more.inputFiles()) and named not in "".join(one.inputFiles())
+    assert_same(one, more)
+    if degree == 2:
+        assert_same(neighbours.degree2_pairs(g.edges, g.blocks, sources),
+                    neighbours.degree2_pairs(g.edges, g.blocks, sources, batch_sources=half))

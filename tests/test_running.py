@@ -137,3 +137,15 @@ def test_days_are_counted_of_heavy_keys_only(spark):
     assert plan.count("Aggregate") == 1
     assert sorted(map(tuple, cut.collect())) == [
         ("a", datetime(2020, 1, 1 + d).date(), 3, 3 * d, 2, 4) for d in range(3)]
+
+
+def test_batches_of_values_equal_all_at_once(spark):
+    apps = stage(spark.createDataFrame(odd_orders(6), f"order_id string, apply_date timestamp, "
+                                       f"{TYPES}"), "apps")
+    g = graph.load(apps, block_rows=5)
+    prepared = stage(neighbours.prepare_attributes(g.applications), "prepared")
+    metrics = CONTRACT_GROUP[:2] + ENTITY_GROUP[:2]
+    one, more = (running.single_edge_features(g.edges, g.blocks, prepared, None, metrics, 9, size)
+                 for size in (10_000, -(-g.edges.count() // 2)))
+    assert "answers-1" in "".join(more.inputFiles()) and "answers" not in "".join(one.inputFiles())
+    assert_same(one, more)

@@ -1,5 +1,6 @@
 """Stored tables: pruning, stored edges, the back-fill's record, and what queries leave behind."""
 
+import time
 from datetime import date
 from pathlib import Path
 
@@ -11,6 +12,7 @@ from riskgraph.functions import joins
 from riskgraph.operators import evaluate, graph, model, paths, reshape, sampling
 from riskgraph.plans import backfill, fixtures as fx, queries
 from riskgraph.sources import readers, staging, writers
+from riskgraph.sources.staging import stage
 from tests.conftest import SF
 
 
@@ -172,3 +174,22 @@ def test_vectors_and_the_model_as_a_table(spark, tmp_path):
     areas = evaluate.areas(evaluate.cumulative(evaluate.score_counts(scores))).first()
     assert areas.area_under_roc == pytest.approx(roc) and areas.area_under_pr == pytest.approx(pr)
     assert evaluate.mean_squared_error(scores).first()[0] == pytest.approx(mse)
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    """The driver's garbage may live long: shuffle files go when their table is written."""
+    folder = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+                  .diskBlockManager().localDirs()[0].getPath())
+
+    def shuffled():
+        return {p for p in folder.rglob("shuffle_*") if p.is_file()}
+
+    before = shuffled()
+    table = stage(spark.range(5000).groupBy((F.col("id") % 999).alias("k")).count(), "counted")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert table.count() == 999
+    assert staging.FREE_SHUFFLES not in {r.key for r in spark.sql("set").collect()}
